@@ -157,6 +157,13 @@ def percent(part: ColumnOrName, whole: ColumnOrName) -> Column:
     return F.round(F.lit(100).cast("decimal(3,0)") * p / F.nullif(w, F.lit(0)), 2)
 
 
+def exact_mean(value: ColumnOrName, digits: int) -> Column:
+    """Mean of a decimal, rounded once, half up. The running sum keeps the input's scale,
+    so short decimals are added as plain longs."""
+    v = _col(value)
+    return F.round(F.sum(v) / F.nullif(F.count(v), F.lit(0)), digits)
+
+
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     return F.timestamp_diff("SECOND", _col(start), _col(end))
 

@@ -55,9 +55,17 @@ def column_report(
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and an order-insensitive content hash, one row."""
-    row_hash = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row_hash).alias("content_hash"))
+    """Row count and order-insensitive content sums, one row.
+
+    The 64-bit row hash is summed in three parts of at most 22 bits, so the sums stay
+    in bigint for about 10^12 rows and count duplicates.
+    """
+    row_hash = F.xxhash64(*sorted(df.columns))
+    parts = [F.shiftrightunsigned(row_hash, shift).bitwiseAND(F.lit((1 << 22) - 1)) for shift in (0, 22, 44)]
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.array(*[F.sum(part) for part in parts]).alias("content"),
+    )
 
 
 def reconcile(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -66,13 +74,14 @@ def reconcile(before: DataFrame, after: DataFrame) -> DataFrame:
         fingerprint(before).withColumn("side", F.lit("before"))
         .unionByName(fingerprint(after).withColumn("side", F.lit("after")))
     )
+
     def pick(column: str, side: str) -> Column:
         return F.max(F.when(F.col("side") == side, F.col(column)))
 
     rows_before, rows_after = pick("n_rows", "before"), pick("n_rows", "after")
-    same_hash = pick("content_hash", "before").eqNullSafe(pick("content_hash", "after"))
+    same_content = pick("content", "before").eqNullSafe(pick("content", "after"))
     return sides.agg(
         rows_before.alias("rows_before"),
         rows_after.alias("rows_after"),
-        (same_hash & (rows_before == rows_after)).alias("same_content"),
+        (same_content & (rows_before == rows_after)).alias("same_content"),
     )

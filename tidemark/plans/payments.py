@@ -14,7 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import calendar_attributes
-from tidemark.functions.columns import age_band, as_date, as_timestamp, card_expired, safe_ratio, sum_or_zero
+from tidemark.functions.columns import (
+    age_band,
+    as_date,
+    as_timestamp,
+    card_expired,
+    exact_mean,
+    safe_ratio,
+    sum_or_zero,
+)
 from tidemark.operators.keyed import latest_per_key
 
 # --- fixed values: fee rate per fee type --------------------------------------
@@ -149,7 +157,7 @@ def daily_revenue_by_merchant(
             F.count_if(F.col("status") == "completed").alias("success_count"),
             sum_or_zero("refund_amount").alias("refund_amount"),
             sum_or_zero("fee_amount").alias("fee_amount"),
-            F.round(F.avg(F.col("amount").cast("decimal(24,10)")), 2).alias("avg_ticket"),
+            exact_mean("amount", 2).alias("avg_ticket"),
         )
     )
     labels = merchants.select("merchant_id", F.col("name").alias("merchant_name"), "category_code")

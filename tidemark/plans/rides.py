@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import dim_date_observed
-from tidemark.functions.columns import as_date, percent, safe_ratio, seconds_between, sum_or_zero
+from tidemark.functions.columns import as_date, exact_mean, percent, safe_ratio, seconds_between, sum_or_zero
 from tidemark.operators.keyed import latest_per_key
 from tidemark.specs import spec
 
@@ -129,12 +129,6 @@ def fact_driver_payouts(payouts: DataFrame, drivers: DataFrame) -> DataFrame:
 # --- gold ---------------------------------------------------------------------
 
 
-def _mean(value, scale: int):
-    """Rounded mean of an exact number, averaged at ten more digits so it rounds once."""
-    exact = F.col(value) if isinstance(value, str) else value
-    return F.round(F.avg(exact.cast("decimal(24,10)")), scale)
-
-
 def daily_city_performance(rides: DataFrame, cities: DataFrame) -> DataFrame:
     """City and day. City labels are joined after the aggregation, on far fewer rows."""
     done = F.col("is_completed")
@@ -143,9 +137,9 @@ def daily_city_performance(rides: DataFrame, cities: DataFrame) -> DataFrame:
         F.count_if(done).alias("completed_rides"),
         F.count_if("is_cancelled").alias("cancelled_rides"),
         sum_or_zero("total_fare").alias("gross_fare"),
-        _mean("surge_multiplier", 3).alias("avg_surge"),
-        _mean(F.when(done, F.col("distance_km")), 2).alias("avg_distance_km"),
-        _mean(F.when(done, F.col("duration_min")), 2).alias("avg_duration_min"),
+        exact_mean("surge_multiplier", 3).alias("avg_surge"),
+        exact_mean(F.when(done, F.col("distance_km")), 2).alias("avg_distance_km"),
+        exact_mean(F.when(done, F.col("duration_min")), 2).alias("avg_duration_min"),
         F.count_distinct("rider_id").alias("unique_riders"),
         F.count_distinct("driver_id").alias("unique_drivers"),
     )
@@ -183,11 +177,11 @@ def rider_lifetime_value(rides: DataFrame, payments: DataFrame, riders: DataFram
         F.count_if("is_cancelled").alias("cancelled_rides"),
         F.min("ride_date").alias("first_ride_date"),
         F.max("ride_date").alias("last_ride_date"),
-        _mean(F.when(F.col("is_completed"), F.col("distance_km")), 2).alias("avg_distance_km"),
+        exact_mean(F.when(F.col("is_completed"), F.col("distance_km")), 2).alias("avg_distance_km"),
     )
     captured = F.when(F.col("status") == "captured", F.col("amount"))
     paid = payments.groupBy("rider_id").agg(
-        sum_or_zero(captured).alias("total_spend"), _mean(captured, 2).alias("avg_fare")
+        sum_or_zero(captured).alias("total_spend"), exact_mean(captured, 2).alias("avg_fare")
     )
     names = riders.select("rider_id", F.col("full_name").alias("rider_name"), "city_name", "country")
     return rode.join(paid, "rider_id", "left").join(names, "rider_id", "left").select(
@@ -201,7 +195,7 @@ def surge_pricing_analysis(rides: DataFrame, cities: DataFrame, categories: Data
     by_tier = rides.groupBy(F.col("ride_date").alias("day"), "city_id", "category_id").agg(
         F.count(F.lit(1)).alias("total_rides"),
         F.count_if("is_surge").alias("surge_rides"),
-        _mean("surge_multiplier", 3).alias("avg_surge_multiplier"),
+        exact_mean("surge_multiplier", 3).alias("avg_surge_multiplier"),
         F.max("surge_multiplier").alias("max_surge_multiplier"),
         sum_or_zero("surge_amount").alias("surge_revenue"),
         sum_or_zero("total_fare").alias("gross_fare"),

@@ -10,13 +10,15 @@ One writer per table and run is assumed.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import delete_where, upsert
 from tidemark.operators.scd import OPEN_END, open_versions, scd2_apply
+from tidemark.session import shared_folder
 from tidemark.sources.lake import has_rows, read_table, table_exists
 
 # Above this many touched partitions they are joined instead of listed in the filter.
@@ -58,18 +60,31 @@ def overwrite_slice(df: DataFrame, path: str, partition: Sequence[str]) -> None:
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def overwrite_slice_checked(df: DataFrame, path: str, partition: Sequence[str]) -> None:
-    """overwrite_slice that refuses an empty source."""
-    if df.isEmpty():
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write and return the number of rows, observed during the write itself."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
+def overwrite_slice_checked(df: DataFrame, path: str, partition: Sequence[str]) -> int:
+    """overwrite_slice that reports an empty source; no partition is touched then."""
+    rows = counted(df, lambda d: overwrite_slice(d, path, partition))
+    if rows == 0:
         raise EmptySourceError(f"no source rows for {path}")
-    overwrite_slice(df, path, partition)
+    return rows
 
 
 def swap_full(df: DataFrame, path: str) -> None:
-    """Replace a whole unpartitioned table; df may read the table itself."""
+    """Replace a whole unpartitioned table; df may read the table itself.
+
+    An empty result is refused and leaves the table as it is.
+    """
     spark, tag = df.sparkSession, uuid.uuid4().hex
     staged, old = f"{path}.staged-{tag}", f"{path}.old-{tag}"
-    _balanced(df, ()).write.parquet(staged)
+    if counted(df, lambda d: _balanced(d, ()).write.parquet(staged)) == 0:
+        _delete(spark, staged)
+        raise EmptySourceError(f"no source rows for {path}")
     if table_exists(spark, path):
         _rename(spark, path, old)
         _rename(spark, staged, path)
@@ -105,6 +120,17 @@ def _partition_folder(path: str, partition: Sequence[str], row) -> str:
     return "/".join([path, *[f"{c}={row[c]}" for c in partition]])
 
 
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame written once to the shared folder, so several passes do not recompute it."""
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession, "stage")
+    df.write.parquet(folder)
+    try:
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        _delete(spark, folder)
+
+
 def upsert_table(
     source: DataFrame, path: str, keys: Sequence[str], partition: Sequence[str] = (), moves: bool = False
 ) -> None:
@@ -114,24 +140,27 @@ def upsert_table(
     the source's partitions are all that is touched. With moves=True the old rows of a
     key are also looked for in other partitions.
     """
-    spark = source.sparkSession
-    if not table_exists(spark, path):
+    if not table_exists(source.sparkSession, path):
         append(source, path, partition)
         return
-    target = read_table(spark, path)
-    if not partition:
-        swap_full(upsert(target, source, keys), path)
-        return
-    parts = source.select(*partition).distinct()
+    with staged(source) as rows:
+        if not partition:
+            swap_full(upsert(read_table(rows.sparkSession, path), rows, keys), path)
+        else:
+            _upsert_partitions(rows, path, list(keys), list(partition), moves)
+
+
+def _upsert_partitions(source: DataFrame, path: str, keys: list[str], partition: list[str], moves: bool) -> None:
+    spark, emptied = source.sparkSession, []
+    target, parts = read_table(spark, path), source.select(*partition).distinct()
     if moves:
         held = target.select(*dict.fromkeys([*keys, *partition]))
-        parts = parts.union(held.join(source.select(*keys), list(keys), "left_semi").select(*partition)).distinct()
+        parts = parts.union(held.join(source.select(*keys), keys, "left_semi").select(*partition)).distinct()
     touched = _in_partitions(target, parts, partition)
-    emptied = []
     if moves:
-        kept = touched.join(source.select(*keys), list(keys), "left_anti").select(*partition)
-        left = kept.union(source.select(*partition)).distinct()
-        emptied = parts.join(left, list(partition), "left_anti").collect()
+        kept = touched.join(source.select(*keys), keys, "left_anti").select(*partition)
+        still_used = kept.union(source.select(*partition)).distinct()
+        emptied = parts.join(still_used, partition, "left_anti").collect()
     overwrite_slice(upsert(touched, source, keys), path, partition)
     for row in emptied:
         _delete(spark, _partition_folder(path, partition, row))

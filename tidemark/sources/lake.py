@@ -20,10 +20,15 @@ def _utc(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, utc(f.dataType), f.nullable) for f in schema])
 
 
-def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A Parquet table. Zone-less timestamps are read as UTC instants by the scan itself."""
-    found = spark.read.parquet(path)
-    if any(isinstance(f.dataType, T.TimestampNTZType) for f in found.schema):
+def read_table(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """A Parquet table. Zone-less timestamps are read as UTC instants by the scan itself.
+
+    A declared schema saves the schema lookup and fixes the types of partition columns.
+    """
+    found = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+    if schema is None and any(isinstance(f.dataType, T.TimestampNTZType) for f in found.schema):
         found = spark.read.schema(_utc(found.schema)).parquet(path)
     return found.select(*columns) if columns else found
 

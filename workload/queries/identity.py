@@ -256,21 +256,26 @@ def pit_sessions(f: Frames):
     return plan.fact_sessions(silver_of(f, "auth_sessions", "sessions"), versions(f), RUN_TS)
 
 
-# Prices as versions that open and close within a day: purchases against the last signup value.
-PRICES = """(SELECT CAST(user_id AS VARCHAR) AS nk, ts AS f, COALESCE(LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts,
-    event_id), TIMESTAMP '9999-12-31') AS u, CAST(event_id AS VARCHAR) AS sk FROM {events} WHERE event_type = 'signup')"""
+# Versions that open and close within a day: the first signup event of each user and hour opens one.
+SIGNUPS = """(SELECT CAST(user_id AS VARCHAR) AS nk, ts AS f, COALESCE(LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts),
+    TIMESTAMP '9999-12-31') AS u, CAST(event_id AS VARCHAR) AS sk FROM (SELECT * FROM {events}
+    WHERE event_type = 'signup' QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts)
+    ORDER BY ts, event_id) = 1))"""
 
 
 def _signup_versions(f: Frames):
-    w = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return f.events.where(F.col("event_type") == "signup").select(
+    """At most one version per user and hour, so the window over a user stays small."""
+    signups = f.events.where(F.col("event_type") == "signup").withColumn("hour", F.date_trunc("hour", "ts"))
+    first = latest_per_key(signups, ["user_id", "hour"], [F.asc("ts"), F.asc("event_id")])
+    until = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts"))
+    return first.select(
         F.col("user_id").cast("string").alias("nk"), F.col("ts").alias("_effective_from"),
-        F.coalesce(w, F.lit(scd.OPEN_END).cast("timestamp")).alias("_effective_to"),
+        F.coalesce(until, F.lit(scd.OPEN_END).cast("timestamp")).alias("_effective_to"),
         F.col("event_id").cast("string").alias("sk"),
     )
 
 
-PIT_ORACLE = f"""SELECT event_id, COALESCE(sk, '-1') AS sk FROM {{events}} e LEFT JOIN {PRICES} p
+PIT_ORACLE = f"""SELECT event_id, COALESCE(sk, '-1') AS sk FROM {{events}} e LEFT JOIN {SIGNUPS} p
     ON CAST(e.user_id AS VARCHAR) = p.nk AND p.f <= e.ts AND e.ts < p.u"""
 
 
