@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,7 +65,10 @@ def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Write and return the number of rows, observed during the write itself."""
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:  # Spark drops the observation from a plan it finds to be empty
+        return 0
 
 
 def overwrite_slice_checked(df: DataFrame, path: str, partition: Sequence[str]) -> int:
