@@ -214,6 +214,6 @@ def test_streams_restart_and_upsert(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         streams.upsert_stream(stream, out, state, ["user"], [F.desc("ts")]).awaitTermination()
         assert read(spark, out, "user", "event") == [(1, 2), (2, 3)]
-    land((2, 4, t + dt.timedelta(hours=2)), (3, 5, t))
+    land((2, 4, t + dt.timedelta(hours=2)), (3, 5, t), (1, 6, t - dt.timedelta(hours=9)))
     streams.upsert_stream(stream, out, state, ["user"], [F.desc("ts")]).awaitTermination()
-    assert read(spark, out, "user", "event") == [(1, 2), (2, 4), (3, 5)]
+    assert read(spark, out, "user", "event") == [(1, 2), (2, 4), (3, 5)]  # event 6 came too late

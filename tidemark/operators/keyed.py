@@ -28,6 +28,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return untouched.unionByName(source.select(*target.columns))
 
 
+def upsert_newest(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """Upsert that keeps, per key, the first row in the given order, wherever it comes from.
+
+    For sources that may deliver an older state late; on a tie the source wins.
+    """
+    both = target.withColumn("_arrived", F.lit(0)).unionByName(
+        source.select(*target.columns, F.lit(1).alias("_arrived"))
+    )
+    return latest_per_key(both, keys, [*order, F.desc("_arrived")]).drop("_arrived")
+
+
 def _differs(columns: Sequence[str], left: str, right: str) -> Column:
     tests = [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
     return reduce(lambda a, b: a | b, tests, F.lit(False))
@@ -51,14 +64,19 @@ def upsert_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 def insert_if_absent(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:
-    """Target plus the first source row of every key the target lacks."""
-    new = source.join(target.select(*keys), list(keys), "left_anti")
-    return target.unionByName(latest_per_key(new, keys, order).select(*target.columns))
+    """Target plus the first source row of every key the target lacks.
+
+    The source is reduced to one row per key first, so a repeated key is cheap and the
+    anti join reuses the partitioning of that step.
+    """
+    first = latest_per_key(source, keys, order)
+    new = first.join(target.select(*keys), list(keys), "left_anti")
+    return target.unionByName(new.select(*target.columns))
 
 
 def replace_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the source's keys, plus all source rows (several per key allowed)."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 

@@ -17,7 +17,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed import delete_where, upsert
+from tidemark.operators.keyed import delete_where, upsert, upsert_newest
 from tidemark.operators.scd import OPEN_END, open_versions, scd2_apply
 from tidemark.session import shared_folder
 from tidemark.sources.lake import has_rows, read_table, table_exists
@@ -136,25 +136,41 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def upsert_table(
-    source: DataFrame, path: str, keys: Sequence[str], partition: Sequence[str] = (), moves: bool = False
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition: Sequence[str] = (),
+    moves: bool = False,
+    order: Sequence[Column] = (),
 ) -> None:
     """Insert or replace by key, rewriting only partitions that hold or receive source keys.
 
     With moves=False the partition of a key is fixed (for example an event date) and
     the source's partitions are all that is touched. With moves=True the old rows of a
-    key are also looked for in other partitions.
+    key are also looked for in other partitions. With an order, a source row replaces
+    the table's row only if it comes first in that order.
     """
+    def merge(target: DataFrame, rows: DataFrame) -> DataFrame:
+        return upsert_newest(target, rows, keys, order) if order else upsert(target, rows, keys)
+
     if not table_exists(source.sparkSession, path):
         append(source, path, partition)
         return
     with staged(source) as rows:
         if not partition:
-            swap_full(upsert(read_table(rows.sparkSession, path), rows, keys), path)
+            swap_full(merge(read_table(rows.sparkSession, path), rows), path)
         else:
-            _upsert_partitions(rows, path, list(keys), list(partition), moves)
+            _upsert_partitions(rows, path, list(keys), list(partition), moves, merge)
 
 
-def _upsert_partitions(source: DataFrame, path: str, keys: list[str], partition: list[str], moves: bool) -> None:
+def _upsert_partitions(
+    source: DataFrame,
+    path: str,
+    keys: list[str],
+    partition: list[str],
+    moves: bool,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> None:
     spark, emptied = source.sparkSession, []
     target, parts = read_table(spark, path), source.select(*partition).distinct()
     if moves:
@@ -162,10 +178,9 @@ def _upsert_partitions(source: DataFrame, path: str, keys: list[str], partition:
         parts = parts.union(held.join(source.select(*keys), keys, "left_semi").select(*partition)).distinct()
     touched = _in_partitions(target, parts, partition)
     if moves:
-        kept = touched.join(source.select(*keys), keys, "left_anti").select(*partition)
-        still_used = kept.union(source.select(*partition)).distinct()
+        still_used = merge(touched, source).select(*partition).distinct()
         emptied = parts.join(still_used, partition, "left_anti").collect()
-    overwrite_slice(upsert(touched, source, keys), path, partition)
+    overwrite_slice(merge(touched, source), path, partition)
     for row in emptied:
         _delete(spark, _partition_folder(path, partition, row))
 

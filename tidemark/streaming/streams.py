@@ -67,9 +67,13 @@ def upsert_stream(
     order: Sequence[Column],
     partition: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Latest row per key of every micro-batch, upserted. A replayed batch changes nothing."""
+    """The newest row per key over everything that has arrived.
+
+    A row that arrives late and is older than the table's row is ignored; a replayed
+    batch changes nothing.
+    """
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_table(latest_per_key(batch, keys, order), path, keys, partition)
+        upsert_table(latest_per_key(batch, keys, order), path, keys, partition, order=order)
 
     return (
         stream.writeStream.foreachBatch(merge)
