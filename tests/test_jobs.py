@@ -168,6 +168,18 @@ def test_required_column_fails_the_write(spark):
     assert align(rows, contract.schema.__class__(contract.schema.fields[:2])).columns == ["fee_id", "payment_id"]
 
 
+def test_raw_payload_of_a_database_row(spark):
+    contract = spec("payments", "bronze", "payments_fees_raw")
+    rows = spark.sql("""SELECT 'f1' AS fee_id, CAST(NULL AS STRING) AS payment_id, 'x' AS fee_type,
+        CAST(2.5 AS DECIMAL(14,2)) AS amount, 'EUR' AS currency, TIMESTAMP '2024-01-01 10:00:00' AS created_at""")
+    row = to_bronze(rows, contract, DAY, TS).first()
+    assert json.loads(row.raw_payload) == {
+        "fee_id": "f1", "payment_id": None, "fee_type": "x", "amount": "2.50", "currency": "EUR",
+        "created_at": "2024-01-01T10:00:00+00:00",
+    }
+    assert (row.source, row.ingest_ts, row.logical_date) == ("postgres-source", TS, DAY)
+
+
 def test_source_queries(spark):
     fees = spec("payments", "bronze", "payments_fees_raw")
     assert jdbc.source_query(fees, "2024-01-31") == (

@@ -174,7 +174,7 @@ def test_session_lengths(spark):
         """session_id string, user_id string, created_at timestamp, expires_at timestamp, revoked_at timestamp,
         auth_method string, ip_address string, user_agent string""",
     )
-    got = identity.clean_sessions(df).orderBy("session_id").collect()
+    got = identity.clean(df, "sessions").orderBy("session_id").collect()
     assert [(r.auth_method, r.is_active, r.was_revoked, r.session_duration_seconds) for r in got] == [
         ("PASSWORD", True, False, 3600), ("MFA_SMS", False, True, 0),
     ]

@@ -110,7 +110,16 @@ def auth_method_family(method: ColumnOrName) -> Column:
     return lookup(method, AUTH_METHOD_FAMILIES, AUTH_METHOD_DEFAULT)
 
 
-def raw_payload(columns: Sequence[str], keep_nulls: bool = True) -> Column:
+def iso_text(ts: ColumnOrName) -> Column:
+    """ISO 8601 with offset; the fraction is written only if there is one."""
+    t = _col(ts)
+    whole = F.unix_micros(t) % 1_000_000 == 0
+    return F.when(whole, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ssxxx")).otherwise(
+        F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    )
+
+
+def raw_payload(columns: Sequence[ColumnOrName], keep_nulls: bool = True) -> Column:
     """The source row as JSON text."""
     options = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(F.struct(*columns), options)

@@ -149,7 +149,7 @@ def _users_today(run: Run) -> DataFrame:
 
 
 AUTH: dict[tuple[str, str], Build] = {
-    **{("silver", t): (lambda r, t=t: _clean(r, t)) for t in identity.CLEANERS},
+    **{("silver", t): (lambda r, t=t: _clean(r, t)) for t in identity.CLEANINGS},
     ("gold", "dim_date"): lambda r: identity.dim_date(r.spark, r.day, r.run_ts),
     ("gold", "dim_role"): lambda r: identity.dim_role(
         _auth(r, "roles"), r.day_of("auth", "bronze", "role_permissions_raw"), r.run_ts

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -35,6 +36,11 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's checkpoint folder.
 
@@ -46,6 +52,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

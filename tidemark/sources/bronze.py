@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import as_date, as_timestamp, raw_payload
+from tidemark.functions.columns import as_date, as_timestamp, iso_text, raw_payload
 from tidemark.specs import TableSpec
 
 
@@ -27,6 +27,20 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[field(f) for f in schema])
 
 
+def _payload(spec: TableSpec) -> Column:
+    def iso(f: T.StructField) -> Column:
+        match f.dataType:
+            case T.TimestampType():
+                return iso_text(f.name).alias(f.name)
+            case T.DecimalType():
+                return F.col(f.name).cast(f.dataType).cast("string").alias(f.name)
+        return F.col(f.name)
+
+    if not spec.payload_iso:
+        return raw_payload(spec.source_columns, keep_nulls=False)
+    return raw_payload([iso(spec.schema[c]) for c in spec.source_columns])
+
+
 def to_bronze(
     rows: DataFrame,
     spec: TableSpec,
@@ -40,9 +54,9 @@ def to_bronze(
         *source,
         as_timestamp(run_ts).alias("ingest_ts"),
         as_date(logical_date).alias("logical_date"),
-        F.lit(spec.source_system).alias("source"),
-        raw_payload(source, keep_nulls=spec.payload_nulls).alias("raw_payload"),
+        F.lit(spec.source_name).alias("source"),
+        _payload(spec).alias("raw_payload"),
         F.lit(run_id).cast("string").alias("_ingest_run_id"),
-        F.lit(spec.source_system).alias("_source_system"),
+        F.lit(spec.source_name).alias("_source_system"),
     )
     return align(landed, spec.schema)

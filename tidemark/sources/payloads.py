@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_date, as_timestamp
+from tidemark.specs import SOURCE_NAMES
 
 # --- fixed values: payload shapes -------------------------------------------
 WEATHER = """
@@ -61,11 +62,11 @@ WEATHER_MEASURES = (
 )
 
 
-def _housekeeping(run_ts, source: str, raw: Column, logical_date=None) -> list[Column]:
+def _housekeeping(run_ts, domain: str, raw: Column, logical_date=None) -> list[Column]:
     day = [] if logical_date is None else [as_date(logical_date).alias("logical_date")]
     return [
         as_timestamp(run_ts).alias("ingest_ts"), *day,
-        F.lit(source).alias("source"), raw.alias("raw_payload"),
+        F.lit(SOURCE_NAMES[domain]).alias("source"), raw.alias("raw_payload"),
     ]
 
 
@@ -80,7 +81,7 @@ def flatten_weather(payloads: DataFrame, run_ts: dt.datetime | str) -> DataFrame
         F.col("d.longitude").alias("lon"),
         F.to_timestamp("h.time").alias("observation_ts"),
         *[F.col(f"h.{m}").alias(m) for m in WEATHER_MEASURES],
-        *_housekeeping(run_ts, "open-meteo", F.col("payload")),
+        *_housekeeping(run_ts, "weather", F.col("payload")),
     )
 
 
@@ -100,7 +101,7 @@ def flatten_earthquake(payloads: DataFrame, logical_date: dt.date | str | Column
         F.get(xyz, F.lit(0)).alias("longitude"),
         F.get(xyz, F.lit(2)).alias("depth_km"),
         *[F.col(f"{p}.{c}").alias(c) for c in ("alert", "tsunami", "sig", "net", "status")],
-        *_housekeeping(run_ts, "usgs", F.to_json("f"), logical_date),
+        *_housekeeping(run_ts, "earthquake", F.to_json("f"), logical_date),
     )
 
 
@@ -113,7 +114,7 @@ def flatten_crypto(payloads: DataFrame, logical_date: dt.date | str | Column, ru
     return rows.select(
         *values,
         F.to_timestamp("c.last_updated").alias("last_updated"),
-        *_housekeeping(run_ts, "coingecko", F.to_json("c"), logical_date),
+        *_housekeeping(run_ts, "crypto", F.to_json("c"), logical_date),
     )
 
 
@@ -140,5 +141,5 @@ def flatten_airquality(payloads: DataFrame, logical_date: dt.date | str | Column
         *[F.col(f"h.summary.{c}").alias(f"summary_{c}") for c in ("min", "max", "sd")],
         F.col("h.coverage.percentComplete").alias("percent_coverage"),
         F.col("h.coverage.observedCount").cast("int").alias("observed_count"),
-        *_housekeeping(run_ts, "openaq", F.to_json("h"), logical_date),
+        *_housekeeping(run_ts, "airquality", F.to_json("h"), logical_date),
     )

@@ -10,11 +10,26 @@ from pyspark.sql import types as T
 HOUSEKEEPING = "ingest_ts timestamp NOT NULL, logical_date date NOT NULL, source string NOT NULL, raw_payload string"
 RUN_COLUMNS = "_ingest_run_id string, _source_system string"
 
+# --- fixed values: what a bronze row names as its source ------------------------
+SOURCE_NAMES = {
+    "payments": "postgres-source",
+    "rideon": "rideon-source",
+    "auth": "postgres.auth",
+    "weather": "open-meteo",
+    "crypto": "coingecko",
+    "earthquake": "usgs",
+    "airquality": "openaq",
+}
+# ------------------------------------------------------------------------------
+
 
 @dataclass(frozen=True)
 class TableSpec:
     """One table.
 
+    payload_iso: raw_payload keeps NULL fields, with decimals and ISO times as text;
+        otherwise it is Spark's own JSON without NULL fields
+
     mode: snapshot  replace the day's slice with a full reload
           incremental  the day's rows of an event table
           append    rows are only added
@@ -34,10 +49,13 @@ class TableSpec:
     day_column: str | None = None
     source_table: str | None = None
     text_columns: tuple[str, ...] = ()
-    source_system: str = ""
-    payload_nulls: bool = True
+    payload_iso: bool = True
     business_columns: tuple[str, ...] = field(default=())
 
+    @property
+    def source_name(self) -> str:
+        return SOURCE_NAMES[self.domain]
+
     @cached_property
     def schema(self) -> T.StructType:
         extra = ""
@@ -52,24 +70,24 @@ class TableSpec:
         return tuple(T.StructType.fromDDL(self.ddl).names)
 
 
-def _bronze(domain, system, table, source, ddl, keys, day=None, text=(), payload_nulls=True) -> TableSpec:
+def _bronze(domain, table, source, ddl, keys, day=None, text=(), payload_iso=True) -> TableSpec:
     return TableSpec(
         domain=domain, layer="bronze", name=table, ddl=ddl, keys=keys,
         mode="incremental" if day else "snapshot", partition=("logical_date",), day_column=day,
-        source_table=source, text_columns=text, source_system=system, payload_nulls=payload_nulls,
+        source_table=source, text_columns=text, payload_iso=payload_iso,
     )
 
 
 def _payments(table, source, ddl, key, day=None, text=()) -> TableSpec:
-    return _bronze("payments", "postgres.payments", f"payments_{table}_raw", source, ddl, (key,), day, (key, *text))
+    return _bronze("payments", f"payments_{table}_raw", source, ddl, (key,), day, (key, *text))
 
 
 def _rideon(table, ddl, key, day=None, text=()) -> TableSpec:
-    return _bronze("rideon", "postgres.rideon", f"rideon_{table}_raw", table, ddl, (key,), day, (key, *text))
+    return _bronze("rideon", f"rideon_{table}_raw", table, ddl, (key,), day, (key, *text))
 
 
 def _auth(source, ddl, keys, day=None, text=()) -> TableSpec:
-    return _bronze("auth", "auth_service", f"{source}_raw", source, ddl, keys, day, text, payload_nulls=False)
+    return _bronze("auth", f"{source}_raw", source, ddl, keys, day, text, payload_iso=False)
 
 
 def _api(domain, table, ddl, keys, day) -> TableSpec:

@@ -62,7 +62,7 @@ def daily_states(f: Frames):
     """One cleaned state per user and day."""
     newest = [F.desc("ingest_ts"), F.desc("event_id")]
     daily = latest_per_key(f.auth_users, ["user_id", "logical_date"], newest)
-    cleaned = plan.clean_users(daily.withColumn("last_login_at", F.col("logical_date").cast("timestamp")))
+    cleaned = plan.clean(daily.withColumn("last_login_at", F.col("logical_date").cast("timestamp")), "users")
     return cleaned.select(
         F.to_date("last_login_at").alias("day"), F.col("user_id").alias("user_nk"), *HISTORY_TRACKED
     )
