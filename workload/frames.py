@@ -37,11 +37,13 @@ class Frames:
         return self._known[name]
 
 
-def present(df: DataFrame) -> DataFrame:
+def present(df: DataFrame, doubles: frozenset[str] = frozenset()) -> DataFrame:
     """Plain output types: dates and times as text, exact and float numbers as rounded
-    doubles, integers and flags as bigint."""
+    doubles, integers and flags as bigint, or double where named (columns with NULLs)."""
     def plain(f: T.StructField):
         c = F.col(f"`{f.name}`")
+        if f.name in doubles:
+            return F.round(c.cast("double"), 6).alias(f.name)
         match f.dataType:
             case T.DateType():
                 c = F.date_format(c, "yyyy-MM-dd")

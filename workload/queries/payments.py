@@ -62,7 +62,7 @@ def pay_dim_merchant(f: Frames):
 
 
 @query(
-    "method_id customer_id type provider card_brand last4 expiry_month:i expiry_year:i is_default:b is_expired:b",
+    "method_id customer_id type provider card_brand last4 expiry_month:n expiry_year:n is_default:b is_expired:n",
     f"""SELECT *, expiry_year < 2001 OR (expiry_year = 2001 AND expiry_month < 8) AS is_expired
         FROM {METHODS}""",
 )

@@ -254,7 +254,7 @@ def city_performance(f: Frames):
 
 @query(
     """day:d driver_id driver_name city_id city_name rides_count:i gross_amount:n commission:n net_amount:n
-    currency avg_rating_received:n ratings_received:i""",
+    currency avg_rating_received:n ratings_received:n""",
     f"""WITH t AS (SELECT driver_id, rating_date, SUM(score) / COUNT(*) AS avg_rating_received,
             COUNT(*) AS ratings_received FROM {FACT_RATINGS} WHERE rater_role = 'rider' GROUP BY 1, 2),
         d AS (SELECT driver_id, first_name || ' ' || last_name AS driver_name, d.city_id, c.name AS city_name

@@ -78,8 +78,8 @@ def top_markets(f: Frames):
 
 
 @query(
-    """event_id mag:n mag_type place event_time:t updated_time:t latitude:n longitude:n depth_km:n alert tsunami:i
-    sig:i net status event_date:d magnitude_class""",
+    """event_id mag:n mag_type place event_time:t updated_time:t latitude:n longitude:n depth_km:n alert tsunami:n
+    sig:n net status event_date:d magnitude_class""",
     f"SELECT *, CAST(event_time AS DATE) AS event_date, {CLASS} AS magnitude_class FROM {QUAKES}",
 )
 def earthquake_events(f: Frames):
@@ -153,8 +153,8 @@ def flatten_weather(f: Frames):
 
 
 @query(
-    """event_id mag:n mag_type place event_time:t updated_time:t latitude:n longitude:n depth_km:n alert tsunami:i
-    sig:i net status logical_date:d source""",
+    """event_id mag:n mag_type place event_time:t updated_time:t latitude:n longitude:n depth_km:n alert tsunami:n
+    sig:n net status logical_date:d source""",
     "SELECT * FROM {quake_bronze}",
 )
 def flatten_earthquake(f: Frames):

@@ -48,10 +48,11 @@ def query(out: str | None = None, oracle: str | None = None):
     def register(build: Callable[[Frames], DataFrame]):
         columns = [c.partition(":")[::2] for c in (out or "").split()]
         names = [c for c, _ in columns]
+        doubles = frozenset(c for c, kind in columns if kind == "n")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
             result = build(Frames(spark, folder))
-            return present(result.select(*names) if names else result)
+            return present(result.select(*names) if names else result, doubles)
 
         QUERIES[build.__name__] = run
         if oracle:
