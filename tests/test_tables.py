@@ -85,6 +85,14 @@ def test_scd2_table_rerun_and_same_day_changes(spark, path):
     assert got == [("u1", "x", False), ("u1", "y", True), ("u2", "x", False), ("u2", "z", True), ("u3", "x", True)]
 
 
+def test_scd2_table_refuses_to_close_everything(spark, path):
+    ddl = "nk string, a string"
+    tables.scd2_table(spark.createDataFrame([("u1", "x")], ddl), path, "nk", ["a"], "2024-01-01", "sk")
+    with pytest.raises(tables.EmptySourceError):
+        tables.scd2_table(spark.createDataFrame([], ddl), path, "nk", ["a"], "2024-01-02", "sk", close_missing=True)
+    assert read(spark, path, "nk", "_is_current") == [("u1", True)]
+
+
 def test_forty_eight_small_files_become_five(spark, path):
     """48 one-row appends over six hours, one hour deleted, the rest compacted."""
     base = dt.datetime(2024, 3, 15, 9)

@@ -136,29 +136,30 @@ def compact(
     spread over its files by a hash of their position in the old files, which is the
     same in every retry; a partition of any size is written by many tasks.
     """
-    plan = compaction_plan(spark, path, min_input_files, target_bytes)
-    files = plan.agg(F.coalesce(F.sum("files_after"), F.lit(0)).alias("n")).first()["n"]
-    if files == 0:
+    plan = compaction_plan(spark, path, min_input_files, target_bytes).select("partition", "files_after")
+    listed = plan.limit(PARTITION_LIST_LIMIT + 1).collect()
+    if not listed:
         return 0
-    data = _read_folders(spark, path, plan.select("partition"))
+    reader = spark.read.schema(read_table(spark, path).schema)
+    if len(listed) <= PARTITION_LIST_LIMIT:
+        # Few partitions: read only their folders; the short list is a local, broadcast table.
+        files = sum(r["files_after"] for r in listed)
+        data = reader.option("basePath", path).parquet(*[f"{path}/{r['partition']}" for r in listed])
+        plan = spark.createDataFrame(listed, plan.schema)
+    else:
+        files = plan.agg(F.sum("files_after")).first()[0]
+        data = reader.parquet(path)
+    # The folder per row by plain cuts at slashes; the pattern above is only run per file.
+    tail = F.substring_index(F.col("_metadata.file_path"), "/", -len(partition) - 1)
     located = data.select(
         "*",
-        _partition_of(F.col("_metadata.file_path")).alias("_folder"),
+        F.substring_index(tail, "/", len(partition)).alias("partition_folder"),
         F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_at"),
     )
-    chosen = located.join(plan.select(F.col("partition").alias("_folder"), "files_after"), "_folder")
+    chosen = located.join(plan.withColumnRenamed("partition", "partition_folder"), "partition_folder")
     slot = F.pmod("_at", F.col("files_after"))
-    spread = chosen.withColumn("_slot", slot).repartition(int(files), "_folder", "_slot")
-    result = spread.drop("_folder", "_at", "_slot", "files_after")
+    spread = chosen.withColumn("_slot", slot).repartition(int(files), "partition_folder", "_slot")
+    result = spread.drop("partition_folder", "_at", "_slot", "files_after")
     writer = result.write.mode("overwrite").partitionBy(*partition)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return int(files)
-
-
-def _read_folders(spark: SparkSession, path: str, folders: DataFrame) -> DataFrame:
-    """The table, reading only the given partition folders when they are few."""
-    schema = read_table(spark, path).schema
-    names = [r[0] for r in folders.limit(PARTITION_LIST_LIMIT + 1).collect()]
-    if len(names) > PARTITION_LIST_LIMIT:
-        return spark.read.schema(schema).parquet(path)
-    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{n}" for n in names])

@@ -221,6 +221,8 @@ def scd2_table(
     Open versions share one partition and every run closes into its own, so a run
     reads and rewrites these two and never the older history.
     """
+    if close_missing and source.isEmpty():
+        raise EmptySourceError(f"an empty source would close every open version of {path}")
     spark, closed_on = source.sparkSession, F.to_date("_effective_to").alias("_closed_on")
     if table_exists(spark, path):
         dim = read_table(spark, path)

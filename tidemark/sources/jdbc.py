@@ -71,5 +71,6 @@ def jdbc_read(
     options = read_options(spec, day, url, partitions)
     if partitions > 1 and spec.mode == "snapshot":
         predicates = key_predicates(spec.keys, partitions)
-        return spark.read.jdbc(url, options["dbtable"], predicates=predicates, properties=properties)
+        settings = {**properties, "fetchsize": options["fetchsize"]}
+        return spark.read.jdbc(url, options["dbtable"], predicates=predicates, properties=settings)
     return spark.read.format("jdbc").options(**options, **properties).load()
