@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import license_index, mixing, quality_votes, secret_ledger, simhash_trees, url_rules
+from tidemark.llm import langid_codes, license_index, mixing, quality_votes, secret_ledger, simhash_trees, url_rules
 from tidemark.llm.common import n_words, table
 from tidemark.session import shared_folder
 
@@ -80,3 +80,8 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_trees.near_duplicates(table(spark, folder, "documents"), simhash_trees.CLOSE)
     bytes_ = [F.substring(F.hex("print"), at, 2) for at in range(15, 0, -2)]  # highest first
     return found.select("doc_id", F.lower(F.concat(*bytes_)).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid_codes.identify(table(spark, folder, "documents"))
