@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid_codes, license_index, mixing, quality_votes, secret_ledger, simhash_trees, url_rules
+from tidemark.llm import decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger, simhash_trees, url_rules
 from tidemark.llm.common import n_words, table
 from tidemark.session import shared_folder
 
@@ -85,3 +85,8 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid_codes.identify(table(spark, folder, "documents"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam_wand.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
