@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger, simhash_trees, url_rules
+from tidemark.llm import decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger, simhash_trees, token_coder, url_rules
 from tidemark.llm.common import n_words, table
 from tidemark.session import shared_folder
 
@@ -90,3 +90,12 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam_wand.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = shared_folder(spark, "token-files")
+    token_coder.write(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_coder.documents(spark, path)
