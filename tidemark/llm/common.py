@@ -22,19 +22,35 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+#: Rows that Python functions are given at a time; texts can be long.
+BATCH_ROWS = "1000"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def write_once(df: DataFrame, path: str, **options: str) -> None:
+    """Writes df, and drops its shuffle files: nothing else will read them."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, "false")
+    conf.set(CLEAN_UP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        conf.set(CLEAN_UP, before)
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """The frame written to a fresh folder that all executors share, and read back.
 
     Cuts the lineage: what follows survives lost executors without computing df again.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = shared_folder(df.sparkSession, purpose)
+    write_once(df, path, **options)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def words(text: Column) -> Column:

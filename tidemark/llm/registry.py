@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger, simhash_trees, token_coder, url_rules
+from tidemark.llm import decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger, simhash_trees, suffix_radix, token_coder, url_rules
 from tidemark.llm.common import n_words, table
 from tidemark.session import shared_folder
 
@@ -99,3 +99,8 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "token-files")
     token_coder.write(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_coder.documents(spark, path)
+
+
+@query
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_radix.removed(table(spark, folder, "documents"))

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import ship, write_once
 
 ship(__name__)
 
@@ -321,7 +321,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
         if held:
             yield cut(-(-held // BLOCK_IDS))
 
-    ordered.drop("tie").mapInArrow(run, BLOCK_SCHEMA).write.parquet(path)
+    write_once(ordered.drop("tie").mapInArrow(run, BLOCK_SCHEMA), path)
 
 
 def combine_crc32(first: int, second: int, size: int) -> int:
