@@ -115,3 +115,20 @@ def taken_per_document(schedule: DataFrame) -> DataFrame:
     return schedule.groupBy("skey", "bucket", "n").agg(
         *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")], F.sum("taken").alias("taken"),
     ).drop("skey", "bucket", "n")
+
+
+def take(docs: DataFrame, size: Column, weights: list[float], share: float, passes: int = 2, seed: int = 7,
+         key: str = "doc_id", source: str = "source") -> DataFrame:
+    """The rows of docs, with their columns, that the mix takes, each as often as it takes them.
+
+    A document in service where the budget ends is taken whole if half of its words are.
+    Documents without words are not taken. Rows with equal keys are queued one by one and
+    repeated alike, as often as the mix takes them on average.
+    """
+    schedule = mix(docs, size, weights, share, passes, seed, key, source)
+    counted = (F.col("size") > 0) & (2 * F.col("taken") >= F.col("size"))
+    times = schedule.groupBy("doc_id").agg(F.round(F.avg(counted.cast("int")) * passes).cast("int").alias("_times"))
+    times = times.where("_times > 0").withColumnRenamed("doc_id", "_taken")
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("_key"))
+    joined = rows.join(times, F.col("_key").eqNullSafe(F.col("_taken")))
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select("row.*")
