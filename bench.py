@@ -31,7 +31,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"},
+        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
+           "spark.checkpoint.dir": os.environ.get("CHECKPOINT_DIR", "/tmp/tidemark-shared")},
     )
     spark.sparkContext.setLogLevel("ERROR")
 

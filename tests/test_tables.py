@@ -60,11 +60,72 @@ def test_upsert_moves_a_key_and_drops_the_empty_partition(spark, path):
     assert layout.file_summary(spark, path).select("partition").collect()[0][0] == "p=y"
 
 
-def test_long_partition_lists_are_joined(spark, path, monkeypatch):
-    monkeypatch.setattr(tables, "PARTITION_LIST_LIMIT", 1)
-    tables.append(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], DDL), path, ["p"])
-    tables.upsert_table(spark.createDataFrame([(1, "A", "x"), (2, "B", "y")], DDL), path, ["k"], ["p"])
-    assert read(spark, path) == [(1, "A", "x"), (2, "B", "y")]
+ODD = [(1, "a", None), (2, "b", None), (3, "c", "a:b"), (4, "d", "REG AIR"), (5, "e", "01"), (6, "f", "1"), (7, "g", "x+y%20")]
+
+
+def read_odd(spark, path):
+    return sorted(tuple(r) for r in lake.read_table(spark, path, schema=spark.createDataFrame([], DDL).schema).collect())
+
+
+@pytest.mark.parametrize("moves", [False, True])
+def test_upsert_finds_odd_partitions(spark, path, moves):
+    tables.append(spark.createDataFrame(ODD, DDL), path, ["p"])
+    tables.upsert_table(spark.createDataFrame([(k, v.upper(), p) for k, v, p in ODD if k != 2], DDL), path, ["k"], ["p"], moves=moves)
+    assert read_odd(spark, path) == [(k, v.upper() if k != 2 else v, p) for k, v, p in ODD]
+
+
+def test_upsert_moves_between_odd_partitions(spark, path):
+    tables.append(spark.createDataFrame(ODD, DDL), path, ["p"])
+    tables.upsert_table(spark.createDataFrame([(k, "z", "") for k in (3, 5, 7)], DDL), path, ["k"], ["p"], moves=True)
+    assert read_odd(spark, path) == [(k, "z" if k in (3, 5, 7) else v, None if k in (3, 5, 7) else p) for k, v, p in ODD]
+
+
+@pytest.mark.parametrize("gone", [{1, 2}, {3}, {4}, {5}, {6}, {7}, {1, 3, 5}, {1, 2, 3, 4, 5, 6, 7}])
+def test_delete_from_odd_partitions(spark, path, gone):
+    tables.append(spark.createDataFrame(ODD, DDL), path, ["p"])
+    tables.delete_from_table(spark, path, F.col("k").isin(*gone), ["p"], spark.createDataFrame([], DDL).schema)
+    left = [r for r in ODD if r[0] not in gone]
+    assert (read_odd(spark, path) if left else []) == left
+    assert layout.orphan_files(layout.list_files(spark, path), layout.row_counts(spark, path)).isEmpty() if left else True
+
+
+def test_odd_partitions_compact_and_have_no_orphans(spark, path):
+    spark.createDataFrame(ODD * 3, DDL).repartition(5).write.partitionBy("p").parquet(path)
+    assert layout.orphan_files(layout.list_files(spark, path), layout.row_counts(spark, path)).isEmpty()
+    before = read_odd_any(spark, path)
+    assert layout.compact(spark, path, ["p"], min_input_files=2) > 0
+    assert read_odd_any(spark, path) == before
+    names = {r.partition for r in layout.list_files(spark, path).collect()}
+    assert names == {"p=__HIVE_DEFAULT_PARTITION__", "p=a%3Ab", "p=REG AIR", "p=01", "p=1", "p=x+y%2520"}
+
+
+def read_odd_any(spark, path):
+    schema = spark.createDataFrame([], DDL).schema
+    return sorted((tuple(r) for r in lake.read_table(spark, path, schema=schema).collect()), key=str)
+
+
+def test_a_swap_that_died_between_its_renames(spark, path):
+    tables.swap_full(spark.createDataFrame([(1, "a", "x"), (2, "b", "x")], DDL), path)
+    tables._rename(spark, path, f"{path}.old-1")
+    tables.upsert_table(spark.createDataFrame([(2, "B", "x"), (3, "c", "x")], DDL), path, ["k"])
+    assert read(spark, path) == [(1, "a", "x"), (2, "B", "x"), (3, "c", "x")]
+
+
+def test_a_failed_count_is_an_error(spark, path):
+    bad = spark.createDataFrame([(1, "a", "x")], DDL).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        tables.counted(bad, lambda df: tables.append(df, path))
+    assert tables.counted(spark.createDataFrame([], DDL), lambda df: tables.append(df, path)) == 0
+    assert tables.counted(spark.range(5).where("1 = 0"), lambda df: tables.append(df, path + "2")) == 0
+
+
+def test_a_replayed_batch_lands_once(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    spark.createDataFrame([(1, "a", "x"), (2, "b", None)], DDL).write.parquet(src)
+    stream = streams.file_stream(spark, src, spark.read.parquet(src).schema)
+    streams.land_stream(stream, out, state, ["p"]).awaitTermination()
+    streams.land_stream(stream, out, state + "-lost", ["p"]).awaitTermination()  # the same batch again
+    assert read(spark, out) == [(1, "a", "x"), (2, "b", None)]
 
 
 def test_load_once(spark, path):
@@ -131,9 +192,12 @@ def test_one_large_partition_is_written_by_many_tasks(spark, path):
 
 def test_file_statistics_and_orphans(spark, path):
     tables.append(spark.createDataFrame([(1, "a", "x"), (None, "b", "x")], DDL).coalesce(1), path, ["p"])
-    stats = {r.column_name: r for r in layout.column_stats(spark, path, ["k", "v"]).collect()}
-    assert (stats["k"].min_value, stats["k"].null_count, stats["k"].value_count) == ("1", 1, 1)
-    assert (stats["v"].min_value, stats["v"].max_value) == ("a", "b")
+    stats = layout.column_stats(spark, path, ["k", "v"]).first()
+    assert (stats.k_min, stats.k_nulls, stats.k_values, stats.v_min, stats.v_max) == (1, 1, 1, "a", "b")
+    spread = spark.range(1, 13).select(F.col("id").cast("int").alias("k"))
+    spread.repartition(4).write.parquet(path + "-n")
+    merged = layout.merge_stats(layout.column_stats(spark, path + "-n", ["k"]), ["k"]).first()
+    assert (merged.k_min, merged.k_max, merged.k_values) == (1, 12, 12)
     referenced = spark.createDataFrame(layout.row_counts(spark, path).collect())
     tables.append(spark.createDataFrame([(3, "c", "y")], DDL), path, ["p"])
     assert [r.partition for r in layout.orphan_files(layout.list_files(spark, path), referenced).collect()] == ["p=y"]

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,21 +35,27 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+_scratch: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _clean_up() -> None:
+    """Deletes the folders that this process was given; on a best-effort basis."""
+    for folder, spark in _scratch.items():
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # the session may be gone, its folder with it
+            return
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's checkpoint folder.
+    """A fresh folder that all executors share; deleted when the process ends.
 
-    The local fallback is for single-machine sessions (tests, bench) only; on a
-    cluster an unset spark.checkpoint.dir is an error, since a machine-local
-    folder is lost with its machine.
+    Under spark.checkpoint.dir where that is set, else beside the tables in the
+    warehouse, which is shared wherever tables are.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder()
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _scratch[folder] = spark
+    return folder

@@ -1,18 +1,20 @@
 """File layout: statistics, small-file compaction, orphan files.
 
 File lists come from Spark's own sources, so they are distributed data; only the
-number of output files of a compaction reaches the driver.
+number of output files of a compaction reaches the driver. Files are named by the URI
+that Spark's file metadata gives, on every side alike; partitions by their folders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import join_counts
-from tidemark.sinks.tables import PARTITION_LIST_LIMIT
+from tidemark.sinks.tables import _in_partitions, staged
 from tidemark.sources.lake import read_table
 
 # Defaults for production tables.
@@ -20,15 +22,15 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 MIN_INPUT_FILES = 5
 
 
-def _partition_of(file_path: Column) -> Column:
-    """The key=value folders of a data file."""
-    inner = F.regexp_extract(file_path, r"((?:[^/=]+=[^/]+/)+)[^/]+$", 1)
-    return F.rtrim(inner, F.lit("/"))
+def _plain(uri: Column) -> Column:
+    """A URI's path as storage has it; a plus sign is no blank in a path."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
-def _one_slash(uri: Column) -> Column:
-    """The same spelling for file:/a and file:///a."""
-    return F.regexp_replace(uri, "^([a-z0-9]+):/+", "$1:/")
+def _partition_of(uri: Column) -> Column:
+    """The key=value folders of a data file."""
+    inner = F.regexp_extract(_plain(uri), r"((?:[^/=]+=[^/]+/)+)[^/]+$", 1)
+    return F.rtrim(inner, F.lit("/"))
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -40,15 +42,15 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
     )
     return listing.select(
-        _one_slash(F.col("path")).alias("file_path"),
-        F.col("length").alias("file_bytes"),
-        _partition_of(F.col("path")).alias("partition"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_size").alias("file_bytes"),
+        _partition_of(F.col("_metadata.file_path")).alias("partition"),
     )
 
 
 def row_counts(spark: SparkSession, path: str) -> DataFrame:
     """file_path and its row count."""
-    rows = spark.read.parquet(path).select(_one_slash(F.col("_metadata.file_path")).alias("file_path"))
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file_path"))
     return rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -77,24 +79,25 @@ def footprint(summary: DataFrame) -> DataFrame:
 
 
 def column_stats(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Per file and column: min, max, null count, value count, in one pass."""
-    data = spark.read.parquet(path)
+    """file_path and per column c: c_min, c_max (of the column's type), c_nulls, c_values."""
     measures = []
     for c in columns:
         measures += [
-            F.min(c).cast("string").alias(f"{c}__min"), F.max(c).cast("string").alias(f"{c}__max"),
-            F.count_if(F.isnull(c)).alias(f"{c}__nulls"), F.count(c).alias(f"{c}__values"),
+            F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"),
+            F.count_if(F.isnull(c)).alias(f"{c}_nulls"), F.count(c).alias(f"{c}_values"),
         ]
-    wide = data.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*measures)
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"), F.col(f"{c}__min").alias("min_value"),
-            F.col(f"{c}__max").alias("max_value"), F.col(f"{c}__nulls").alias("null_count"),
-            F.col(f"{c}__values").alias("value_count"),
-        )
-        for c in columns
-    ]
-    return wide.select("file_path", F.inline(F.array(*rows)))
+    return spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*measures)
+
+
+def merge_stats(stats: DataFrame, columns: Sequence[str], by: Sequence[Column] = ()) -> DataFrame:
+    """Statistics of files put together, for the table or per group."""
+    measures = []
+    for c in columns:
+        measures += [
+            F.min(f"{c}_min").alias(f"{c}_min"), F.max(f"{c}_max").alias(f"{c}_max"),
+            F.sum(f"{c}_nulls").alias(f"{c}_nulls"), F.sum(f"{c}_values").alias(f"{c}_values"),
+        ]
+    return stats.groupBy(*by).agg(*measures)
 
 
 def orphan_files(listing: DataFrame, referenced: DataFrame) -> DataFrame:
@@ -137,29 +140,20 @@ def compact(
     same in every retry; a partition of any size is written by many tasks.
     """
     plan = compaction_plan(spark, path, min_input_files, target_bytes).select("partition", "files_after")
-    listed = plan.limit(PARTITION_LIST_LIMIT + 1).collect()
-    if not listed:
-        return 0
-    reader = spark.read.schema(read_table(spark, path).schema)
-    if len(listed) <= PARTITION_LIST_LIMIT:
-        # Few partitions: read only their folders; the short list is a local, broadcast table.
-        files = sum(r["files_after"] for r in listed)
-        data = reader.option("basePath", path).parquet(*[f"{path}/{r['partition']}" for r in listed])
-        plan = spark.createDataFrame(listed, plan.schema)
-    else:
-        files = plan.agg(F.sum("files_after")).first()[0]
-        data = reader.parquet(path)
-    # The folder per row by plain cuts at slashes; the pattern above is only run per file.
-    tail = F.substring_index(F.col("_metadata.file_path"), "/", -len(partition) - 1)
-    located = data.select(
-        "*",
-        F.substring_index(tail, "/", len(partition)).alias("partition_folder"),
-        F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_at"),
-    )
-    chosen = located.join(plan.withColumnRenamed("partition", "partition_folder"), "partition_folder")
-    slot = F.pmod("_at", F.col("files_after"))
-    spread = chosen.withColumn("_slot", slot).repartition(int(files), "partition_folder", "_slot")
-    result = spread.drop("partition_folder", "_at", "_slot", "files_after")
-    writer = result.write.mode("overwrite").partitionBy(*partition)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    table = read_table(spark, path)
+    folder = _partition_of(F.col("_metadata.file_path")).alias("partition")
+    present = table.select(*partition, folder).distinct()
+    with staged(present.join(plan, "partition")) as chosen:
+        files = chosen.agg(F.sum("files_after")).first()[0]
+        if not files:
+            return 0
+        at = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        rows = _in_partitions(table.select("*", at.alias("_at")), chosen, partition)
+        sizes = chosen.select(*[F.col(c).alias(f"_p{n}") for n, c in enumerate(partition)], "files_after")
+        here = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p{n}")) for n, c in enumerate(partition)])
+        slotted = rows.join(sizes, here).withColumn("_slot", F.pmod("_at", F.col("files_after")))
+        spread = slotted.repartitionByRange(int(files), *partition, "_slot")
+        result = spread.select(*table.columns)
+        writer = result.write.mode("overwrite").partitionBy(*partition)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return int(files)

@@ -3,7 +3,10 @@
 Partitioned tables are rewritten by dynamic partition overwrite: Spark writes all
 new files beside the table and swaps in only the partitions of the result when every
 task has finished, so a job may read the partitions it replaces and lost executors
-cost only retries. Unpartitioned tables are written to a sibling folder and renamed.
+cost only retries. Unpartitioned tables are written to a sibling folder and renamed;
+a run that died between the renames is put right before the table is next used.
+Partition values keep the type of the source; folders are those that the files are in,
+so NULL, escaped and number-like values are found. An empty text is stored as NULL.
 One writer per table and run is assumed.
 """
 
@@ -12,20 +15,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.keyed import delete_where, upsert, upsert_newest
+from tidemark.operators.keyed import upsert, upsert_newest
 from tidemark.operators.scd import OPEN_END, open_versions, scd2_apply
 from tidemark.session import shared_folder
 from tidemark.sources.lake import has_rows, read_table, table_exists
 
-# Above this many touched partitions they are joined instead of listed in the filter.
-PARTITION_LIST_LIMIT = 2_000
-
-
 class EmptySourceError(ValueError):
     """Raised instead of replacing a slice by nothing."""
 
@@ -36,8 +37,18 @@ def _filesystem(spark: SparkSession, path: str):
 
 
 def _delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that must be there."""
     fs, p = _filesystem(spark, path)
-    fs.delete(p, True)
+    if not fs.delete(p, True):
+        raise FileNotFoundError(path)
+
+
+def _delete_folders(folders: DataFrame) -> None:
+    """Deletes folders (column folder, as URI), a few in memory at a time."""
+    spark = folders.sparkSession
+    for row in folders.toLocalIterator():
+        uri = spark._jvm.java.net.URI.create(row["folder"])
+        _delete(spark, spark._jvm.org.apache.hadoop.fs.Path(uri).toString())
 
 
 def _rename(spark: SparkSession, src: str, dst: str) -> None:
@@ -46,6 +57,28 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"cannot rename {src} to {dst}")
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Undoes a full swap that died after moving the table away: its old state comes back."""
+    fs, p = _filesystem(spark, path)
+    if fs.exists(p) or not fs.exists(p.getParent()):
+        return
+    left = [f.getPath() for f in fs.listStatus(p.getParent()) if f.getPath().getName().startswith(f"{p.getName()}.old-")]
+    if left:
+        _rename(spark, left[0].toString(), path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """table_exists after recover."""
+    recover(spark, path)
+    return table_exists(spark, path)
+
+
+def _stored(df: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """Partition values as storage keeps them: an empty text is NULL."""
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)} & set(partition)
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts}) if texts else df
+
+
 def _balanced(df: DataFrame, partition: Sequence[str]) -> DataFrame:
     """Few, evenly sized files per partition; AQE splits partitions that are too large."""
     return df.hint("rebalance", *[F.col(c) for c in partition]) if partition else df.hint("rebalance")
@@ -67,7 +100,10 @@ def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     try:
         return seen.get["rows"]
-    except Py4JJavaError:  # Spark drops the observation from a plan it finds to be empty
+    except Py4JJavaError as e:
+        # From a plan it finds to be empty Spark drops the metric; its row has no columns then.
+        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
         return 0
 
 
@@ -89,7 +125,7 @@ def swap_full(df: DataFrame, path: str) -> None:
     if counted(df, lambda d: _balanced(d, ()).write.parquet(staged)) == 0:
         _delete(spark, staged)
         raise EmptySourceError(f"no source rows for {path}")
-    if table_exists(spark, path):
+    if exists(spark, path):
         _rename(spark, path, old)
         _rename(spark, staged, path)
         _delete(spark, old)
@@ -98,30 +134,36 @@ def swap_full(df: DataFrame, path: str) -> None:
 
 
 def recreate(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
-    """Drop the table and write it anew."""
-    _delete(df.sparkSession, path)
+    """Drop the table, if there is one, and write it anew."""
+    if exists(df.sparkSession, path):
+        _delete(df.sparkSession, path)
     append(df, path, partition)
 
 
+def _same(columns: Sequence[str], left: str, right: str) -> Column:
+    """All columns equal, NULL equal to NULL."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+
 def _in_partitions(table: DataFrame, parts: DataFrame, partition: Sequence[str]) -> DataFrame:
-    """Rows of the given partitions. A short list becomes a scan filter, so other
-    partitions are not read; a long one is a semi join."""
-    values = parts.limit(PARTITION_LIST_LIMIT + 1).collect()
-    if len(values) > PARTITION_LIST_LIMIT:
-        return table.join(parts, list(partition), "left_semi")
-    if len(partition) == 1:
-        return table.where(F.col(partition[0]).isin([v[0] for v in values]))
-    matches = F.lit(False)
-    for v in values:
-        one = F.lit(True)
-        for c in partition:
-            one = one & F.col(c).eqNullSafe(F.lit(v[c]))
-        matches = matches | one
-    return table.where(matches)
-
-
-def _partition_folder(path: str, partition: Sequence[str], row) -> str:
-    return "/".join([path, *[f"{c}={row[c]}" for c in partition]])
+    """Rows of the given partitions (a frame of partition values).
+
+    The scan is cut to the smallest and largest value of each column, or NULL, which
+    prunes folders at planning; a NULL-safe semi join on the values does the rest.
+    """
+    ends = [F.min(c).alias(f"{c}_lo") for c in partition] + [F.max(c).alias(f"{c}_hi") for c in partition]
+    row = parts.agg(*ends, *[F.count_if(F.isnull(c)).alias(f"{c}_nulls") for c in partition]).first()
+    for c in partition:
+        within = F.col(c).between(F.lit(row[f"{c}_lo"]), F.lit(row[f"{c}_hi"])) if row[f"{c}_lo"] is not None else F.lit(False)
+        table = table.where(within | F.col(c).isNull() if row[f"{c}_nulls"] else within)
+    wanted = parts.select(*partition).alias("_wanted")
+    return table.alias("_table").join(wanted, _same(partition, "_table", "_wanted"), "left_semi")
+
+
+def _with_folder(table: DataFrame) -> DataFrame:
+    """The table's rows with the folder of their file, as URI."""
+    file = F.col("_metadata.file_path")
+    return table.select("*", F.regexp_replace(file, "/[^/]*$", "").alias("folder"))
 
 
 @contextmanager
@@ -145,18 +187,19 @@ def upsert_table(
 ) -> None:
     """Insert or replace by key, rewriting only partitions that hold or receive source keys.
 
-    With moves=False the partition of a key is fixed (for example an event date) and
-    the source's partitions are all that is touched. With moves=True the old rows of a
-    key are also looked for in other partitions. With an order, a source row replaces
-    the table's row only if it comes first in that order.
+    With moves=False the partition of a key is fixed (it is part of the key) and the
+    source's partitions are all that is touched. With moves=True the old rows of a key
+    are also looked for in other partitions. With an order, a source row replaces the
+    table's row only if it comes first in that order. The table's columns have the
+    source's types.
     """
     def merge(target: DataFrame, rows: DataFrame) -> DataFrame:
         return upsert_newest(target, rows, keys, order) if order else upsert(target, rows, keys)
 
-    if not table_exists(source.sparkSession, path):
+    if not exists(source.sparkSession, path):
         append(source, path, partition)
         return
-    with staged(source) as rows:
+    with staged(_stored(source, partition)) as rows:
         if not partition:
             swap_full(merge(read_table(rows.sparkSession, path), rows), path)
         else:
@@ -171,42 +214,51 @@ def _upsert_partitions(
     moves: bool,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> None:
-    spark, emptied = source.sparkSession, []
-    target, parts = read_table(spark, path), source.select(*partition).distinct()
-    if moves:
-        held = target.select(*dict.fromkeys([*keys, *partition]))
-        parts = parts.union(held.join(source.select(*keys), keys, "left_semi").select(*partition)).distinct()
-    touched = _in_partitions(target, parts, partition)
-    if moves:
-        still_used = merge(touched, source).select(*partition).distinct()
-        emptied = parts.join(still_used, partition, "left_anti").collect()
-    overwrite_slice(merge(touched, source), path, partition)
-    for row in emptied:
-        _delete(spark, _partition_folder(path, partition, row))
-
-
-def delete_from_table(spark: SparkSession, path: str, predicate: Column, partition: Sequence[str]) -> None:
-    """Delete rows of a partitioned table, rewriting only partitions that lose rows."""
-    table = read_table(spark, path)
-    gone = F.coalesce(predicate, F.lit(False))
-    per_part = table.groupBy(*partition).agg(F.count_if(gone).alias("_gone"), F.count_if(~gone).alias("_kept"))
-    plan = per_part.where("_gone > 0").cache()
-    try:
-        rewritten = plan.where("_kept > 0").select(*partition)
-        emptied = plan.where("_kept = 0").select(*partition).collect()
-        kept = delete_where(_in_partitions(table, rewritten, partition), predicate)
-        if has_rows(rewritten):
+    target = read_table(source.sparkSession, path, schema=source.schema)
+    parts = source.select(*partition).distinct()
+    if not moves:
+        overwrite_slice(merge(_in_partitions(target, parts, partition), source), path, partition)
+        return
+    held = target.select(*dict.fromkeys([*keys, *partition])).join(source.select(*keys), keys, "left_semi")
+    with staged(parts.union(held.select(*partition)).distinct()) as parts, \
+            staged(merge(_in_partitions(target, parts, partition), source)) as merged:
+        used = merged.select(*partition).distinct().alias("_used")
+        emptied = parts.alias("_parts").join(used, _same(partition, "_parts", "_used"), "left_anti")
+        with staged(_folders(target, emptied, partition)) as folders:
+            overwrite_slice(merged, path, partition)
+            _delete_folders(folders)
+
+
+def _folders(table: DataFrame, parts: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """The folders of the partitions that the table has files in."""
+    return _in_partitions(_with_folder(table).select(*partition, "folder"), parts, partition).select("folder").distinct()
+
+
+def delete_from_table(
+    spark: SparkSession, path: str, predicate: Column, partition: Sequence[str], schema: T.StructType | None = None
+) -> None:
+    """Delete rows of a partitioned table, rewriting only partitions that lose rows.
+
+    The predicate is pushed into the scan that finds them. Without a schema partition
+    values have the types that Spark guesses ('01' becomes 1, and is written back so):
+    give it where texts look like numbers.
+    """
+    table, gone = read_table(spark, path, schema=schema), F.coalesce(predicate, F.lit(False))
+    with staged(table.where(predicate).select(*partition).distinct()) as touched:
+        if not has_rows(touched):
+            return
+        kept = _in_partitions(table, touched, partition).where(~gone)
+        used = kept.select(*partition).distinct().alias("_used")
+        emptied = touched.alias("_touched").join(used, _same(partition, "_touched", "_used"), "left_anti")
+        with staged(_folders(table, emptied, partition)) as folders:
             overwrite_slice(kept, path, partition)
-        for row in emptied:
-            _delete(spark, _partition_folder(path, partition, row))
-    finally:
-        plan.unpersist()
+            _delete_folders(folders)
 
 
 def load_once(df: DataFrame, path: str, day_column: str, day: Column, partition: Sequence[str]) -> bool:
     """Append a day unless the table already holds rows of it; True if written."""
     spark = df.sparkSession
-    if table_exists(spark, path) and has_rows(read_table(spark, path), F.col(day_column) == day):
+    if exists(spark, path) and has_rows(read_table(spark, path), F.col(day_column) == day):
         return False
     append(df, path, partition)
     return True
@@ -224,7 +276,7 @@ def scd2_table(
     if close_missing and source.isEmpty():
         raise EmptySourceError(f"an empty source would close every open version of {path}")
     spark, closed_on = source.sparkSession, F.to_date("_effective_to").alias("_closed_on")
-    if table_exists(spark, path):
+    if exists(spark, path):
         dim = read_table(spark, path)
         recent = dim.where(F.col("_closed_on").isin(OPEN_END[:10], effective)).drop("_closed_on")
         result = scd2_apply(recent, source, key, tracked, effective, sk, close_missing)

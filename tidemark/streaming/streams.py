@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.keyed import latest_per_key
-from tidemark.sinks.tables import append, upsert_table
+from tidemark.sinks.tables import overwrite_slice, upsert_table
 
 
 def file_stream(
@@ -47,9 +47,12 @@ def append_stream(
 
 
 def land_stream(stream: DataFrame, path: str, checkpoint: str, partition: Sequence[str] = ()) -> StreamingQuery:
-    """Append every micro-batch to a batch table; compact it from time to time."""
-    def land(batch: DataFrame, _: int) -> None:
-        append(batch, path, partition)
+    """Land every micro-batch in partitions of its own (column _batch); compact them from time to time.
+
+    A replayed batch replaces what its first attempt wrote. One checkpoint per table.
+    """
+    def land(batch: DataFrame, number: int) -> None:
+        overwrite_slice(batch.withColumn("_batch", F.lit(number).cast("long")), path, [*partition, "_batch"])
 
     return (
         stream.writeStream.foreachBatch(land)
@@ -66,14 +69,21 @@ def upsert_stream(
     keys: Sequence[str],
     order: Sequence[Column],
     partition: Sequence[str] = (),
+    buckets: int = 64,
 ) -> StreamingQuery:
     """The newest row per key over everything that has arrived.
 
     A row that arrives late and is older than the table's row is ignored; a replayed
-    batch changes nothing.
+    batch changes nothing. Without a partition the table is cut into buckets of keys
+    (column _bucket), and a batch rewrites the buckets it has keys of.
     """
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_table(latest_per_key(batch, keys, order), path, keys, partition, order=order)
+        newest = latest_per_key(batch, keys, order)
+        if partition:
+            upsert_table(newest, path, keys, partition, order=order)
+        else:
+            bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+            upsert_table(newest.withColumn("_bucket", bucket), path, keys, ["_bucket"], order=order)
 
     return (
         stream.writeStream.foreachBatch(merge)

@@ -58,7 +58,8 @@ def main(folder: str, names: list[str]) -> int:
 
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+           "spark.checkpoint.dir": os.environ.get("CHECKPOINT_DIR", "/tmp/tidemark-shared")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = duck(folder), 0

@@ -48,7 +48,7 @@ def present(df: DataFrame, doubles: frozenset[str] = frozenset()) -> DataFrame:
             case T.DateType():
                 c = F.date_format(c, "yyyy-MM-dd")
             case T.TimestampType() | T.TimestampNTZType():
-                c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+                c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
             case T.DecimalType() | T.DoubleType() | T.FloatType():
                 c = F.round(c.cast("double"), 6)
             case T.IntegerType() | T.ShortType() | T.ByteType() | T.LongType():

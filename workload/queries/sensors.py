@@ -137,13 +137,13 @@ def airquality_daily(f: Frames):
 @query(
     """city lat:n lon:n observation_ts:t temperature_2m:n relative_humidity_2m:n wind_speed_10m:n precipitation:n
     pressure_msl:n cloud_cover:n source""",
-    "SELECT * FROM {weather_bronze} WHERE ingest_ts = observation_ts + INTERVAL 2 HOUR",
+    "SELECT * FROM {weather_bronze}",
 )
 def flatten_weather(f: Frames):
-    """Hours of a city and day packed into parallel arrays (at most 24), then unpacked."""
-    hours = f.weather_bronze.where(F.col("ingest_ts") == F.col("observation_ts") + F.expr("interval 2 hours"))
+    """Hours of a city, day and revision packed into parallel arrays (at most 24), then unpacked."""
+    revision = (F.col("ingest_ts") - F.col("observation_ts")).alias("revision")
     time = F.date_format("observation_ts", "yyyy-MM-dd'T'HH:mm").alias("time")
-    day = hours.groupBy("city", "lat", "lon", "observation_date").agg(
+    day = f.weather_bronze.groupBy("city", "lat", "lon", "observation_date", revision).agg(
         F.sort_array(F.collect_list(F.struct(time, *payloads.WEATHER_MEASURES))).alias("h")
     )
     arrays = [F.col(f"h.{c}").alias(c) for c in ("time", *payloads.WEATHER_MEASURES)]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
-from tidemark.sinks.layout import file_summary
 from tidemark.sources import lake
 from tidemark.streaming import streams
 from workload.frames import Frames
@@ -58,11 +57,8 @@ def stream_upsert(f: Frames):
     return lake.read_table(f.spark, out)
 
 
-@query(
-    "partition total_rows:i",
-    "SELECT 'event_type=' || event_type AS partition, COUNT(*) AS total_rows FROM {events} GROUP BY 1",
-)
+@query("event_type total_rows:i", "SELECT event_type, COUNT(*) AS total_rows FROM {events} GROUP BY 1")
 def stream_land(f: Frames):
     out, state = shared_folder(f.spark, "landed"), shared_folder(f.spark, "state")
     _finish(streams.land_stream(_events(f), out, state, ["event_type"]))
-    return file_summary(f.spark, out)
+    return lake.read_table(f.spark, out).groupBy("event_type").agg(F.count(F.lit(1)).alias("total_rows"))

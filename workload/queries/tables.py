@@ -106,6 +106,45 @@ def delete_from_table(f: Frames):
     return lake.read_table(f.spark, path)
 
 
+# Orders whose partition is NULL, needs escaping or looks like a number.
+NAMED = """(SELECT * REPLACE (CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 'a:b' WHEN '3-MEDIUM' THEN 'REG AIR'
+    WHEN '4-NOT SPECIFIED' THEN '01' ELSE '1' END AS o_orderpriority) FROM {orders})"""
+
+
+def _named(f: Frames):
+    p = F.col("o_orderpriority")
+    value = F.when(p == "2-HIGH", "a:b").when(p == "3-MEDIUM", "REG AIR").when(p == "4-NOT SPECIFIED", "01").when(p == "5-LOW", "1")
+    return f.orders.withColumn("o_orderpriority", value)
+
+
+@query(
+    ORDER,
+    f"""SELECT * REPLACE (o_totalprice + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS o_totalprice,
+        CASE WHEN o_orderkey % 7 = 0 AND o_orderpriority = 'a:b' THEN NULL ELSE o_orderpriority END AS o_orderpriority)
+        FROM {NAMED}""",
+)
+def upsert_null_partition(f: Frames):
+    """Some rows of every partition replaced, those of one moved to the NULL partition."""
+    path = _written(f, _named(f), PRIORITY)
+    seventh = _named(f).where(F.col("o_orderkey") % 7 == 0).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    moved = seventh.withColumn("o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit("a:b")))
+    tables.upsert_table(moved, path, ["o_orderkey"], PRIORITY, moves=True)
+    return lake.read_table(f.spark, path, schema=moved.schema)
+
+
+@query(
+    ORDER,
+    f"""SELECT * FROM {NAMED} WHERE o_orderpriority = '1' OR o_orderpriority = 'REG AIR' AND o_totalprice >= 50000""",
+)
+def delete_escaped_partition(f: Frames):
+    """Whole partitions deleted: NULL, escaped and 01, but not 1; and part of one."""
+    path, schema = _written(f, _named(f), PRIORITY), f.orders.schema
+    p = F.col("o_orderpriority")
+    gone = p.isNull() | p.isin("a:b", "01") | ((p == "REG AIR") & (F.col("o_totalprice") < 50000))
+    tables.delete_from_table(f.spark, path, gone, PRIORITY, schema)
+    return lake.read_table(f.spark, path, schema=schema)
+
+
 @query(
     "day:d n:i first_load:b second_load:b",
     """SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n, TRUE AS first_load, FALSE AS second_load FROM {events}
@@ -284,9 +323,9 @@ def layout_union(f: Frames):
 # --- layout -------------------------------------------------------------------
 
 
-def _many_files(f: Frames, name: str) -> str:
+def _many_files(f: Frames, name: str, partition: str = "l_returnflag") -> str:
     path = shared_folder(f.spark, name)
-    f.lineitem.repartition(12).write.partitionBy("l_returnflag").parquet(path)
+    f.lineitem.repartition(12).write.partitionBy(partition).parquet(path)
     return path
 
 
@@ -300,30 +339,36 @@ def file_summary(f: Frames):
 
 
 @query(
-    "column_name min_value max_value null_count:i value_count:i",
-    """SELECT 'l_linenumber' AS column_name, CAST(MIN(l_linenumber) AS VARCHAR) AS min_value,
-        CAST(MAX(l_linenumber) AS VARCHAR) AS max_value, 0 AS null_count, COUNT(*) AS value_count FROM {lineitem}
-        UNION ALL SELECT 'l_linestatus', MIN(l_linestatus), MAX(l_linestatus), 0, COUNT(*) FROM {lineitem}""",
+    """n_min:i n_max:i n_nulls:i n_values:i price_min:n price_max:n status_min status_max""",
+    """SELECT MIN(l_orderkey) AS n_min, MAX(l_orderkey) AS n_max, 0 AS n_nulls, COUNT(*) AS n_values,
+        MIN(l_extendedprice) AS price_min, MAX(l_extendedprice) AS price_max, MIN(l_linestatus) AS status_min,
+        MAX(l_linestatus) AS status_max FROM {lineitem}""",
 )
 def file_stats(f: Frames):
-    """Per-file statistics merged to the table's."""
-    stats = layout.column_stats(f.spark, _many_files(f, "lineitem"), ["l_linenumber", "l_linestatus"])
-    return stats.groupBy("column_name").agg(
-        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"),
-        F.sum("null_count").alias("null_count"), F.sum("value_count").alias("value_count"),
-    )
+    """Per-file statistics, each of its column's type, merged to the table's."""
+    columns = ["l_orderkey", "l_extendedprice", "l_linestatus"]
+    merged = layout.merge_stats(layout.column_stats(f.spark, _many_files(f, "lineitem"), columns), columns)
+    names = {"l_orderkey": "n", "l_extendedprice": "price", "l_linestatus": "status"}
+    return merged.select(*[F.col(f"{c}_{m}").alias(f"{n}_{m}") for c, n in names.items() for m in ("min", "max", "nulls", "values")])
 
 
 @query(
-    "rows_before:i rows_after:i same_content:b",
-    "SELECT COUNT(*) AS rows_before, COUNT(*) AS rows_after, TRUE AS same_content FROM {lineitem}",
+    "rows_before:i rows_after:i same_content:b small_before:i small_after:i",
+    """SELECT COUNT(*) AS rows_before, COUNT(*) AS rows_after, TRUE AS same_content,
+        12 * COUNT(DISTINCT l_returnflag) AS small_before, COUNT(DISTINCT l_returnflag) AS small_after FROM {lineitem}""",
 )
 def compact_check(f: Frames):
-    """Rewrite many small files; rows and content must stay."""
-    path = _many_files(f, "lineitem")
-    layout.compact(f.spark, path, ["l_returnflag"], min_input_files=2)
-    after = lake.read_table(f.spark, path).select(*f.lineitem.columns)
-    return quality.reconcile(f.lineitem, after)
+    """Rewrite many small files of partitions with blanks, colons and NULL in their names; content must stay."""
+    named = F.when(F.col("l_returnflag") == "A", "REG AIR").when(F.col("l_returnflag") == "N", "a:b+c")
+    path = shared_folder(f.spark, "lineitem")
+    before = f.lineitem.withColumn("part", named)
+    before.repartition(12).write.partitionBy("part").parquet(path)
+    files = [lake.read_table(f.spark, path).select("_metadata.file_path").distinct().count()]
+    layout.compact(f.spark, path, ["part"], min_input_files=2)
+    files.append(lake.read_table(f.spark, path).select("_metadata.file_path").distinct().count())
+    after = lake.read_table(f.spark, path).select(*before.columns)
+    counts = [F.lit(n).alias(name) for n, name in zip(files, ("small_before", "small_after"))]
+    return quality.reconcile(before, after).select("*", *counts)
 
 
 @query(
@@ -349,15 +394,20 @@ def compare_layouts(f: Frames):
 
 @query(
     "partition",
-    "SELECT 'l_returnflag=' || l_returnflag AS partition FROM {lineitem} WHERE l_returnflag = 'R' GROUP BY l_returnflag",
+    """SELECT 'l_linestatus=' || l_linestatus AS partition FROM {lineitem} WHERE l_linestatus = 'O' GROUP BY l_linestatus""",
 )
 def orphan_files(f: Frames):
-    """Files of a partition that the current table content no longer references."""
-    path = _many_files(f, "lineitem")
+    """Files that the current content no longer references: none of an untouched table's, then one partition's."""
+    named = F.when(F.col("l_returnflag") == "A", "REG AIR").when(F.col("l_returnflag") == "N", "a:b+c")
+    untouched = shared_folder(f.spark, "lineitem")
+    f.lineitem.withColumn("part", named).write.partitionBy("part").parquet(untouched)
+    none = layout.orphan_files(layout.list_files(f.spark, untouched), layout.row_counts(f.spark, untouched))
+    path = _many_files(f, "lineitem", "l_linestatus")
     referenced = layout.row_counts(f.spark, path).join(
-        layout.list_files(f.spark, path).where(F.col("partition") != "l_returnflag=R"), "file_path"
+        layout.list_files(f.spark, path).where(F.col("partition") != "l_linestatus=O"), "file_path"
     )
-    return layout.orphan_files(layout.list_files(f.spark, path), referenced).select("partition").distinct()
+    some = layout.orphan_files(layout.list_files(f.spark, path), referenced)
+    return none.unionByName(some).select("partition").distinct()
 
 
 # --- quality ------------------------------------------------------------------

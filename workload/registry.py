@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 KINDS = {
     "s": "{0}",
     "d": "strftime({0}, '%Y-%m-%d')",
-    "t": "strftime({0}, '%Y-%m-%d %H:%M:%S')",
+    "t": "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')",
     "n": "round(CAST({0} AS DOUBLE), 6)",
     "i": "CAST({0} AS BIGINT)",
     "b": "CAST(CAST({0} AS INT) AS BIGINT)",

@@ -198,10 +198,10 @@ VIEWS = {
             l_shipdate + INTERVAL '1' MINUTE * (l_partkey % 1300 + 66) AS created_at, l_shipdate AS ingest_ts,
             CAST(l_partkey AS STRING) AS vehicle_id, CAST(l_suppkey AS STRING) AS driver_id
         FROM (SELECT 'rider' AS rater_role, CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS ride_id, l.*
-                FROM {lineitem} l WHERE l_returnflag <> 'R' AND l_linestatus = 'F' AND l_partkey % 10 < 7
+                FROM {lineitem} l WHERE l_returnflag <> 'R' AND l_linestatus = 'F'
             UNION ALL
             SELECT 'driver' AS rater_role, CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS ride_id, l.*
-                FROM {lineitem} l WHERE l_returnflag <> 'R' AND l_linestatus = 'F' AND l_partkey % 10 < 3) x
+                FROM {lineitem} l WHERE l_returnflag <> 'R' AND l_linestatus = 'F') x
     """,
     "ride_payouts": """
         SELECT 'o' || driver_id || '/' || CAST(payout_date AS STRING) AS payout_id, driver_id, payout_date,
@@ -251,7 +251,7 @@ VIEWS = {
             CASE event_id % 4 WHEN 0 THEN 'mfa_sms' WHEN 1 THEN 'OAUTH_MICROSOFT' ELSE 'PASSWORD' END AS auth_method,
             '10.0.0.' || CAST(event_id % 256 AS STRING) AS ip_address, 'agent' AS user_agent,
             ts AS ingest_ts, CAST(ts AS DATE) AS logical_date
-        FROM {events} WHERE event_type IN ('view', 'signup')
+        FROM {events}
     """,
     "auth_roles": """
         SELECT CAST(r_regionkey AS STRING) AS role_id, ' ' || r_name AS name,
@@ -264,6 +264,7 @@ VIEWS = {
             TIMESTAMP '2024-01-01 00:00:00' AS ingest_ts, DATE '2024-01-30' AS logical_date
         FROM {nation}
     """,
+    # Region 4 is the role without permissions, for which the count is 0.
     "auth_role_permissions": """
         SELECT CAST(n_regionkey AS STRING) AS role_id, CAST(n_nationkey AS STRING) AS permission_id
         FROM {nation} WHERE n_regionkey <> 4
@@ -272,13 +273,13 @@ VIEWS = {
     """,
     "auth_user_roles": """
         SELECT CAST(user_id AS STRING) AS user_id, CAST(event_id % 5 AS STRING) AS role_id, ts AS granted_at
-        FROM {events} WHERE event_type = 'signup'
+        FROM {events}
     """,
     "auth_devices": """
         SELECT 'd' || CAST(event_id AS STRING) AS mfa_device_id, CAST(user_id AS STRING) AS user_id,
-            ' TOTP ' AS device_type, 'phone' AS label, value > 450 AS confirmed, ts AS created_at,
+            CASE event_type WHEN 'purchase' THEN ' TOTP ' WHEN 'signup' THEN 'Sms' ELSE ' Key' END AS device_type, 'phone' AS label, value > 450 AS confirmed, ts AS created_at,
             CAST(NULL AS TIMESTAMP) AS last_used_at, ts AS ingest_ts, CAST(ts AS DATE) AS logical_date
-        FROM {events} WHERE event_type = 'purchase'
+        FROM {events}
     """,
     "auth_oauth": """
         SELECT CAST(c_custkey AS STRING) AS oauth_account_id, CAST(c_custkey % 150 AS STRING) AS user_id,
