@@ -206,3 +206,23 @@ def test_contracts(spark):
         names = contract.schema.names
         assert set(contract.keys) <= set(names) and set(contract.partition) <= set(names)
     assert {k for k in SPECS if k[1] != "bronze"} == set(jobs.JOBS)
+
+
+def test_a_session_seen_on_two_days_is_one_row(spark, tmp_path):
+    f = Frames(spark, SF)
+    contract = spec("auth", "bronze", "sessions_raw")
+    rows = f.auth_sessions.where("logical_date = date '2024-01-10'").select(*contract.source_columns)
+    for day in (10, 11):
+        run = jobs.Run(spark, str(tmp_path), dt.date(2024, 1, day), TS)
+        jobs.land_rows(run, "sessions_raw", "auth", rows)
+        jobs.run_job(run, "auth", "silver", "sessions")
+    silver = run.read("auth", "silver", "sessions")
+    assert silver.count() == silver.select("session_id").distinct().count() == rows.count()
+    assert {r[0] for r in silver.select("_source_logical_date").distinct().collect()} == {dt.date(2024, 1, 11)}
+    # Facts before there is a user dimension have the unknown member.
+    jobs.run_job(run, "auth", "gold", "fact_sessions")
+    assert {r[0] for r in run.read("auth", "gold", "fact_sessions").select("user_sk").distinct().collect()} == {"-1"}
+
+
+def test_every_contract_declares_its_columns():
+    assert all(s.ddl and set(s.keys) <= set(s.schema.names) and set(s.partition) <= set(s.schema.names) for s in SPECS.values())

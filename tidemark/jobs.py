@@ -3,8 +3,9 @@
     python -m tidemark.jobs --root LAKE --domain payments --layer silver --table fact_payments --date 2024-01-15
 
 A job reads its inputs from <root>/<domain>_<layer>/<table>, builds its plan and writes
-with the mode of its table contract. Running a job again for the same day leaves the
-tables as they are.
+with the mode of its table contract. Running a silver or gold job again for the same day
+leaves the tables as they are; so does landing a snapshot. Landing an incremental table or
+payloads twice appends twice: silver keeps the latest row per key.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_date
+from tidemark.functions.columns import as_date, as_timestamp
 from tidemark.plans import identity, payments, rides, sensors
 from tidemark.session import build_session
 from tidemark.sinks import tables
@@ -41,12 +42,12 @@ class Run:
         return lake.table_path(self.root, domain, layer, table)
 
     def read(self, domain: str, layer: str, table: str) -> DataFrame:
-        contract = spec(domain, layer, table)
-        schema = contract.schema if contract.ddl else None
-        return lake.read_table(self.spark, self.path(domain, layer, table), schema=schema)
+        path = self.path(domain, layer, table)
+        tables.recover(self.spark, path)
+        return lake.read_table(self.spark, path, schema=spec(domain, layer, table).schema)
 
     def exists(self, domain: str, layer: str, table: str) -> bool:
-        return lake.table_exists(self.spark, self.path(domain, layer, table))
+        return tables.exists(self.spark, self.path(domain, layer, table))
 
     def day_of(self, domain: str, layer: str, table: str, column: str = "logical_date") -> DataFrame:
         return lake.day_slice(self.read(domain, layer, table), column, self.day)
@@ -142,10 +143,16 @@ def _auth(run: Run, table: str, dated: bool = False) -> DataFrame:
 
 
 def _users_today(run: Run) -> DataFrame:
-    return identity.user_state(
+    state = identity.user_state(
         _auth(run, "users"), _auth(run, "mfa_devices"), run.day_of("auth", "bronze", "user_roles_raw"),
         _auth(run, "roles"),
     )
+    return state.withColumn("_loaded_at", as_timestamp(run.run_ts))
+
+
+def _dim_user(run: Run) -> DataFrame | None:
+    """None before the first run of dim_user: facts then have the unknown member."""
+    return run.read("auth", "gold", "dim_user") if run.exists("auth", "gold", "dim_user") else None
 
 
 AUTH: dict[tuple[str, str], Build] = {
@@ -159,10 +166,10 @@ AUTH: dict[tuple[str, str], Build] = {
     ),
     ("gold", "dim_user"): _users_today,
     ("gold", "fact_login_attempts"): lambda r: identity.fact_login_attempts(
-        _auth(r, "login_attempts", dated=True), r.read("auth", "gold", "dim_user"), r.run_ts
+        _auth(r, "login_attempts", dated=True), _dim_user(r), r.run_ts
     ),
     ("gold", "fact_sessions"): lambda r: identity.fact_sessions(
-        _auth(r, "sessions", dated=True), r.read("auth", "gold", "dim_user"), r.run_ts
+        _auth(r, "sessions", dated=True), _dim_user(r), r.run_ts
     ),
 }
 
@@ -200,17 +207,13 @@ JOBS: dict[tuple[str, str, str], Build] = {
     **SENSORS,
 }
 
-# Events whose partition column may be revised between runs.
-MOVING = {("earthquake", "silver", "earthquake_events")}
-
-
 def store(df: DataFrame, path: str, contract: TableSpec, run: Run) -> None:
     """Write with the mode of the contract."""
     partition = list(contract.partition)
     match contract.mode:
         case "upsert":
-            key = (contract.domain, contract.layer, contract.name)
-            tables.upsert_table(df, path, contract.keys, partition, moves=key in MOVING)
+            # A key is unique in the table, not only in its partition.
+            tables.upsert_table(df, path, contract.keys, partition, moves=not set(partition) <= set(contract.keys))
         case "slice":
             tables.overwrite_slice(df, path, partition)
         case "full":
@@ -223,10 +226,14 @@ def store(df: DataFrame, path: str, contract: TableSpec, run: Run) -> None:
 
 
 def run_job(run: Run, domain: str, layer: str, table: str) -> None:
-    """Run one silver or gold job. A day without source rows changes nothing."""
+    """Run one silver or gold job, its result aligned to the contract.
+
+    A day without source rows changes nothing; a table that is replaced whole refuses an
+    empty result with EmptySourceError. SCD2 tables get their version columns when stored.
+    """
     contract = spec(domain, layer, table)
     result = JOBS[(domain, layer, table)](run)
-    if contract.ddl:
+    if contract.mode != "scd2":
         result = align(result, contract.schema)
     store(result, run.path(domain, layer, table), contract, run)
 

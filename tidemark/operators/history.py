@@ -22,9 +22,10 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int | Column) -> DataFra
 
 
 def read_tag(log: DataFrame, tags: DataFrame, tag: str, keys: Sequence[str]) -> DataFrame:
-    """Table content at a tagged version; tags: tag (unique), tagged_version."""
-    pinned = tags.where(F.col("tag") == tag).select("tagged_version").scalar()
-    seen = log.where(F.col("version") <= pinned)
+    """Table content at a tagged version; tags: tag (unique), tagged_version. An unknown tag is an error."""
+    pinned = tags.where(F.col("tag") == tag).agg(F.max("tagged_version").alias("v"))
+    known = F.when(F.col("v").isNull(), F.raise_error(F.lit(f"no tag {tag}")).cast("long")).otherwise(F.col("v"))
+    seen = log.where(F.col("version") <= pinned.select(known).scalar())
     return latest_per_key(seen, keys, [F.desc("version")]).where("op <> 'D'").drop("op")
 
 
@@ -104,6 +105,20 @@ def version_log(log: DataFrame, commits: DataFrame, keys: Sequence[str], message
     )
 
 
+def snapshots(log: DataFrame, commits: DataFrame) -> DataFrame:
+    """One row per version: version, committed_at, parent, upserted, deleted; without one-task windows:
+    a version's parent is the largest of the smaller ones, found among the (few) commits."""
+    changes = log.groupBy("version").agg(F.count_if(F.col("op") != "D").alias("upserted"), F.count_if(F.col("op") == "D").alias("deleted"))
+    older = commits.select(F.col("version").alias("_older"))
+    parents = commits.select("version").join(older, F.col("_older") < F.col("version")).groupBy("version").agg(F.max("_older").alias("parent"))
+    return commits.select("version", "committed_at").join(parents, "version", "left").join(changes, "version", "left").fillna(0, ["upserted", "deleted"])
+
+
+def partition_metrics(files: DataFrame) -> DataFrame:
+    """Per partition of a file listing: files and bytes."""
+    return files.groupBy("partition").agg(F.count(F.lit(1)).alias("files"), F.sum("file_bytes").alias("bytes"))
+
+
 def join_counts(parts: dict[str, DataFrame], key: str, value: str) -> DataFrame:
     """Full outer join of (key, value) summaries, one column per name, missing as 0."""
     named = [df.select(key, F.col(value).alias(name)) for name, df in parts.items()]

@@ -94,6 +94,8 @@ def _api(domain, table, ddl, keys, day) -> TableSpec:
     return TableSpec(domain, "bronze", table, f"{ddl}, {HOUSEKEEPING}", keys, "append", ("logical_date",), day)
 
 
+# Fixed values from here on: names, types, keys and write modes of all tables.
+
 BRONZE = [
     _payments("merchants", "merchants", """merchant_id string NOT NULL, name string, category_code string,
         mcc_code string, country string, city string, status string, created_at timestamp""", "merchant_id"),
@@ -201,9 +203,15 @@ def _silver(domain, name, ddl, keys, partition=(), business=()) -> TableSpec:
     return TableSpec(domain, "silver", name, ddl, keys, "upsert", partition, business_columns=business)
 
 
-def _model(layer, name, keys, mode, partition=()) -> TableSpec:
-    """A ride-hailing model: schema as its query gives it."""
-    return TableSpec("rideon", layer, name, "", keys, mode, partition)
+def _clean(name, ddl, key, partition=(), business=()) -> TableSpec:
+    """An identity table: cleaned columns, then hash and load columns."""
+    ddl = f"{ddl}, _record_hash string, _loaded_at timestamp, _source_logical_date date"
+    return TableSpec("auth", "silver", name, ddl, (key,), "upsert", partition, business_columns=business)
+
+
+def _model(layer, name, ddl, keys) -> TableSpec:
+    """A ride-hailing model, rebuilt whole."""
+    return TableSpec("rideon", layer, name, ddl, keys, "full")
 
 
 SILVER = [
@@ -255,26 +263,60 @@ SILVER = [
         measurement_date date NOT NULL, hour_of_day int, value double, summary_min double,
         summary_max double, percent_coverage double, ingest_ts timestamp NOT NULL,
         logical_date date NOT NULL""", ("sensor_id", "hour_utc"), ("measurement_date",)),
-    _silver("auth", "users", "", ("user_id",),
-            business=("username", "email", "status", "country", "display_name", "email_verified")),
-    _silver("auth", "roles", "", ("role_id",), business=("name", "description")),
-    _silver("auth", "permissions", "", ("permission_id",), business=("code", "description")),
-    _silver("auth", "sessions", "", ("session_id",), ("_source_logical_date",),
-            ("user_id", "auth_method", "is_active", "was_revoked")),
-    _silver("auth", "login_attempts", "", ("attempt_id",), ("_source_logical_date",),
-            ("user_id", "success", "failure_reason", "auth_method", "mfa_challenged")),
-    _silver("auth", "oauth_accounts", "", ("oauth_account_id",), business=("user_id", "provider")),
-    _silver("auth", "mfa_devices", "", ("mfa_device_id",), business=("user_id", "device_type", "confirmed")),
-    _model("silver", "dim_city", ("city_id",), "full"),
-    _model("silver", "dim_vehicle_category", ("category_id",), "full"),
-    _model("silver", "dim_rider", ("rider_id",), "full"),
-    _model("silver", "dim_driver", ("driver_id",), "full"),
-    _model("silver", "dim_vehicle", ("vehicle_id",), "full"),
-    _model("silver", "dim_date", ("date_day",), "full"),
-    _model("silver", "fact_rides", ("ride_id",), "full"),
-    _model("silver", "fact_ride_payments", ("payment_id",), "full"),
-    _model("silver", "fact_ratings", ("rating_id",), "full"),
-    _model("silver", "fact_driver_payouts", ("payout_id",), "full"),
+    _clean("users", """user_id string NOT NULL, username string, email string, email_verified boolean,
+        status string, display_name string, country string, created_at timestamp, updated_at timestamp,
+        last_login_at timestamp, is_locked boolean""", "user_id",
+        business=("username", "email", "status", "country", "display_name", "email_verified")),
+    _clean("roles", "role_id string NOT NULL, name string, description string", "role_id",
+           business=("name", "description")),
+    _clean("permissions", "permission_id string NOT NULL, code string, description string", "permission_id",
+           business=("code", "description")),
+    _clean("sessions", """session_id string NOT NULL, user_id string, created_at timestamp, expires_at timestamp,
+        revoked_at timestamp, auth_method string, ip_address string, user_agent string, is_active boolean,
+        was_revoked boolean, session_duration_seconds bigint""", "session_id", ("_source_logical_date",),
+        ("user_id", "auth_method", "is_active", "was_revoked")),
+    _clean("login_attempts", """attempt_id bigint NOT NULL, user_id string, username_tried string,
+        attempted_at timestamp, success boolean, failure_reason string, mfa_challenged boolean,
+        auth_method string, ip_address string, attempt_outcome string""", "attempt_id", ("_source_logical_date",),
+        ("user_id", "success", "failure_reason", "auth_method", "mfa_challenged")),
+    _clean("oauth_accounts", """oauth_account_id string NOT NULL, user_id string, provider string,
+        provider_user_id string, linked_at timestamp""", "oauth_account_id", business=("user_id", "provider")),
+    _clean("mfa_devices", """mfa_device_id string NOT NULL, user_id string, device_type string, label string,
+        confirmed boolean, created_at timestamp, last_used_at timestamp""", "mfa_device_id",
+        business=("user_id", "device_type", "confirmed")),
+    _model("silver", "dim_city", """city_id string NOT NULL, city_name string, country string, timezone string,
+        launched_at timestamp, launched_date date""", ("city_id",)),
+    _model("silver", "dim_vehicle_category", """category_id string NOT NULL, code string, display_name string,
+        base_fare decimal(8,2), per_km_rate decimal(8,2), per_min_rate decimal(8,2), min_fare decimal(8,2)""",
+        ("category_id",)),
+    _model("silver", "dim_rider", """rider_id string NOT NULL, first_name string, last_name string,
+        full_name string, email string, phone string, city_id string, city_name string, country string,
+        rating decimal(2,1), created_at timestamp, signup_date date""", ("rider_id",)),
+    _model("silver", "dim_driver", """driver_id string NOT NULL, first_name string, last_name string,
+        full_name string, email string, phone string, city_id string, city_name string, country string,
+        license_number string, status string, rating decimal(2,1), onboarded_at timestamp,
+        onboarded_date date""", ("driver_id",)),
+    _model("silver", "dim_vehicle", """vehicle_id string NOT NULL, driver_id string, category_id string,
+        category_code string, category_name string, make string, model string, make_model string, year int,
+        plate_number string, color string, registered_at timestamp""", ("vehicle_id",)),
+    _model("silver", "dim_date", """date_day date NOT NULL, year int, quarter int, month int, day int,
+        day_of_week int, day_name string, iso_week int, is_weekend boolean""", ("date_day",)),
+    _model("silver", "fact_rides", """ride_id string NOT NULL, ride_date date, rider_id string, driver_id string,
+        vehicle_id string, city_id string, category_id string, status string, cancelled_by string,
+        requested_at timestamp, accepted_at timestamp, started_at timestamp, completed_at timestamp,
+        distance_km decimal(8,2), duration_min decimal(8,2), surge_multiplier decimal(4,2),
+        total_fare decimal(10,2), surge_amount decimal(10,2), discount decimal(10,2), currency string,
+        wait_min decimal(21,2), is_completed boolean, is_cancelled boolean, is_surge boolean""", ("ride_id",)),
+    _model("silver", "fact_ride_payments", """payment_id string NOT NULL, payment_date date, ride_id string,
+        rider_id string, driver_id string, city_id string, category_id string, method string,
+        amount decimal(10,2), currency string, status string, is_captured boolean, is_refunded boolean,
+        created_at timestamp, updated_at timestamp""", ("payment_id",)),
+    _model("silver", "fact_ratings", """rating_id string NOT NULL, rating_date date, ride_id string,
+        rider_id string, driver_id string, city_id string, category_id string, rater_role string, score int,
+        comment string, created_at timestamp""", ("rating_id",)),
+    _model("silver", "fact_driver_payouts", """payout_id string NOT NULL, payout_date date, driver_id string,
+        city_id string, gross_amount decimal(12,2), commission decimal(12,2), net_amount decimal(12,2),
+        currency string, rides_count int, status string, avg_fare_per_ride decimal(13,2)""", ("payout_id",)),
 ]
 
 
@@ -321,16 +363,40 @@ GOLD = [
         country_code string, parameter_name string NOT NULL, measurement_date date NOT NULL,
         avg_value double, min_value double, max_value double, hourly_reading_count bigint NOT NULL,
         aqi_category string""", ("location_id", "parameter_name", "measurement_date"), ("measurement_date",)),
-    _gold("auth", "dim_date", "", ("date_key",), (), "upsert"),
-    _gold("auth", "dim_role", "", ("role_id",), (), "upsert"),
-    _gold("auth", "dim_auth_method", "", ("auth_method_sk",), (), "upsert"),
-    _gold("auth", "dim_user", "", ("user_nk",), ("_closed_on",), "scd2"),
-    _gold("auth", "fact_login_attempts", "", ("attempt_id",), ("attempt_date",), "upsert"),
-    _gold("auth", "fact_sessions", "", ("session_id",), ("session_date",), "upsert"),
-    _model("gold", "daily_city_performance", ("day", "city_id"), "full"),
-    _model("gold", "driver_earnings_daily", ("day", "driver_id"), "full"),
-    _model("gold", "rider_lifetime_value", ("rider_id",), "full"),
-    _model("gold", "surge_pricing_analysis", ("day", "city_id", "category_id"), "full"),
+    _gold("auth", "dim_date", """date_key int NOT NULL, full_date date, year int, quarter int, month int,
+        day_of_month int, day_of_week int, week_of_year int, day_name string, month_name string,
+        is_weekend boolean, _loaded_at timestamp""", ("date_key",), (), "upsert"),
+    _gold("auth", "dim_role", """role_id string NOT NULL, role_name string, description string,
+        permission_count bigint, _record_hash string, _loaded_at timestamp""", ("role_id",), (), "upsert"),
+    _gold("auth", "dim_auth_method", """auth_method_sk string NOT NULL, method_code string, method_family string,
+        _loaded_at timestamp""", ("auth_method_sk",), (), "upsert"),
+    _gold("auth", "dim_user", """user_sk string, user_nk string, username string, email string, status string,
+        country string, display_name string, is_mfa_enabled boolean, primary_role string,
+        _loaded_at timestamp, _record_hash string, _effective_from timestamp, _effective_to timestamp,
+        _is_current boolean, _closed_on date""", ("user_nk",), ("_closed_on",), "scd2"),
+    _gold("auth", "fact_login_attempts", """attempt_id bigint NOT NULL, user_sk string, date_key int,
+        auth_method_sk string, attempted_at timestamp, is_success int, is_mfa_challenged int,
+        failure_reason string, attempt_date date, _loaded_at timestamp""", ("attempt_id",), ("attempt_date",), "upsert"),
+    _gold("auth", "fact_sessions", """session_id string NOT NULL, user_sk string, date_key int,
+        auth_method_sk string, created_at timestamp, session_duration_seconds bigint, is_active int,
+        was_revoked int, session_date date, _loaded_at timestamp""", ("session_id",), ("session_date",), "upsert"),
+    _model("gold", "daily_city_performance", """day date, city_id string, city_name string, country string,
+        total_rides bigint, completed_rides bigint, cancelled_rides bigint,
+        cancellation_rate_pct decimal(27,2), gross_fare decimal(20,2), avg_surge decimal(16,3),
+        avg_distance_km decimal(19,2), avg_duration_min decimal(19,2), unique_riders bigint,
+        unique_drivers bigint""", ("day", "city_id")),
+    _model("gold", "driver_earnings_daily", """day date, driver_id string, driver_name string, city_id string,
+        city_name string, rides_count int, gross_amount decimal(12,2), commission decimal(12,2),
+        net_amount decimal(12,2), avg_fare_per_ride decimal(13,2), currency string,
+        avg_rating_received double, ratings_received bigint""", ("day", "driver_id")),
+    _model("gold", "rider_lifetime_value", """rider_id string, rider_name string, city_name string,
+        country string, total_rides bigint, completed_rides bigint, cancelled_rides bigint,
+        cancellation_rate_pct decimal(27,2), total_spend decimal(20,2), avg_fare decimal(21,2),
+        avg_distance_km decimal(19,2), first_ride_date date, last_ride_date date""", ("rider_id",)),
+    _model("gold", "surge_pricing_analysis", """day date, city_id string, city_name string, category_id string,
+        category_code string, total_rides bigint, surge_rides bigint, surge_ride_pct decimal(27,2),
+        avg_surge_multiplier decimal(16,3), max_surge_multiplier decimal(4,2), surge_revenue decimal(20,2),
+        gross_fare decimal(20,2)""", ("day", "city_id", "category_id")),
 ]
 
 SPECS = {(s.domain, s.layer, s.name): s for s in (*BRONZE, *SILVER, *GOLD)}
