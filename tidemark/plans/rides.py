@@ -85,21 +85,23 @@ def dim_date(rides: DataFrame) -> DataFrame:
 # --- silver: facts ------------------------------------------------------------
 
 
-def fact_rides(rides: DataFrame, fares: DataFrame) -> DataFrame:
-    """Grain ride: foreign keys, measures, fare roll-up, flags."""
-    fare = fares.select("ride_id", "total_fare", "surge_amount", "discount", "currency")
+def ride_states(rides: DataFrame) -> DataFrame:
+    """Rides with what follows from the ride alone: its day, the wait and the flags."""
     wait = seconds_between("requested_at", "accepted_at").cast("decimal(18,0)") / F.lit(60).cast("decimal(2,0)")
-    return rides.join(fare, "ride_id", "left").select(
-        "ride_id", F.to_date("requested_at").alias("ride_date"), "rider_id", "driver_id", "vehicle_id",
-        "city_id", "category_id", "status", "cancelled_by", "requested_at", "accepted_at", "started_at",
-        "completed_at", "distance_km", "duration_min", "surge_multiplier", "total_fare", "surge_amount",
-        "discount", "currency", F.round(wait, 2).alias("wait_min"),
+    return rides.select(
+        "*", F.to_date("requested_at").alias("ride_date"), F.round(wait, 2).alias("wait_min"),
         (F.col("status") == "completed").alias("is_completed"),
         (F.col("status") == "cancelled").alias("is_cancelled"),
         (F.col("surge_multiplier") > 1).alias("is_surge"),
     )
 
 
+def fact_rides(rides: DataFrame, fares: DataFrame) -> DataFrame:
+    """Grain ride: foreign keys, measures, fare roll-up, flags; the columns of the contract."""
+    fare = fares.select("ride_id", "total_fare", "surge_amount", "discount", "currency")
+    return ride_states(rides).join(fare, "ride_id", "left").select(*spec("rideon", "silver", "fact_rides").schema.names)
+
+
 def fact_ride_payments(payments: DataFrame, rides: DataFrame) -> DataFrame:
     ride = rides.select("ride_id", "driver_id", "city_id", "category_id")
     return payments.join(ride, "ride_id", "left").select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. Cluster-sized values (shuffle partitions,
 # memory, checkpoint folder) are left to whoever submits the job.
@@ -59,3 +59,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     _scratch[folder] = spark
     return folder
+
+
+def written_once(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to a shared folder and read back, for plans that go over it several times."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
