@@ -9,7 +9,7 @@ Any order of digits gives the same groups. The first digit is the window's ancho
 GRAM bytes with the smallest hash in it: neighbouring windows share their anchor, so the
 first pass, the only one over all suffixes, moves one row per run of about 35 of them, with
 no text. Its lone runs, most of all text, are gone before any text moves. The runs left
-are fetched with their bytes and sorted through the other digits, eight bytes each, in
+are fetched with their bytes and sorted through the other digits, four bytes each, in
 tasks that hold many groups. Anchors met HOT times or more (a passage that much of the
 corpus holds) are instead grouped by Spark on a 128-bit hash of the whole window, so no
 task gathers such a group. Hashes of anchors only bring windows together; windows of a
@@ -162,62 +162,71 @@ def repeats(anchor: np.ndarray, offset: np.ndarray, windows: np.ndarray, content
     """Windows that stand earlier, too: number of the run, window in it.
 
     order: a number per run that grows with its place, such that order + j is the place of
-    its window j. Radix passes: groups of (anchor, place in it), then eight bytes a pass; who
+    its window j. Radix passes: groups of (anchor, place in it), then four bytes a pass; who
     is alone goes.
     """
     sizes = np.fromiter(map(len, content), np.int64, len(content))
-    data = np.frombuffer(b"".join(content) + bytes(8), np.uint8)
-    eight = np.ndarray((len(data) - 7,), "<u8", buffer=data.tobytes(), strides=(1,))
+    data = b"".join(content) + bytes(4)
+    four = np.ndarray((len(data) - 3,), "<u4", buffer=data, strides=(1,))
     run = np.repeat(np.arange(len(content)), windows)
     j = np.arange(len(run)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = np.repeat(np.cumsum(sizes) - sizes, windows) + j
-    _, group = np.unique(anchor, return_inverse=True)
-    group = group[run] * 128 + offset[run] - j
-    for depth in [None, *range(0, DEPTH - 8, 8), DEPTH - 8]:
-        if depth is not None:
-            digit = eight[at + depth]
-            by = np.lexsort((digit, group))
-            new = np.r_[False, (group[by][1:] != group[by][:-1]) | (digit[by][1:] != digit[by][:-1])]
-            group = np.empty(len(by), np.int64)
-            group[by] = np.cumsum(new)
-        _, group, many = np.unique(group, return_inverse=True, return_counts=True)
-        stays = many[group] > 1
+    key = np.unique(anchor, return_inverse=True)[1][run] * 128 + offset[run] - j
+    for depth in range(0, DEPTH + 4, 4):
+        by = np.argsort(key)
+        ordered = key[by]
+        group = np.empty(len(by), np.int64)
+        group[by] = np.cumsum(np.r_[False, ordered[1:] != ordered[:-1]])
+        stays = np.bincount(group)[group] > 1
         run, j, at, group = run[stays], j[stays], at[stays], group[stays]
-        if not len(run):
-            return run, j
+        if depth == DEPTH or not len(run):
+            break
+        key = (group << 32) | four[at + depth]
     place = order[run] + j
     by = np.lexsort((place, group))
     run, j, group, place = run[by], j[by], group[by], place[by]
-    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])[: len(group)]
     earliest = np.repeat(place[first], np.diff(np.r_[first, len(group)]))
     return run[place != earliest], j[place != earliest]
 
 
 def _sorted_spans(rows: pd.DataFrame) -> pd.DataFrame:
+    """Spans of the slice's windows that stand earlier.
+
+    Equal runs are one for the sort: the earliest stands for them, the others are repeats
+    as they stand. Anchors whose runs are all equal need no sort.
+    """
     rows = rows.drop_duplicates(["d", "tie", "at", "offset"]).sort_values(["d", "tie", "at", "offset"]).reset_index(drop=True)
     text = rows.groupby(["d", "tie"], sort=True).ngroup().to_numpy(np.int64)
+    later = rows.duplicated(["anchor", "offset", "bytes"]).to_numpy()
+    same = rows[later]
+    whole = pd.DataFrame({"d": same["d"], "tie": same["tie"], "start": same["at"], "end": same["at"] + same["windows"] + DEPTH - 1})
+    many = rows[~later].groupby("anchor")["at"].transform("size") > 1
+    text, rows = text[~later][many], rows[~later][many]
+    at = rows["at"].to_numpy()
     run, j = repeats(rows["anchor"].to_numpy(), rows["offset"].to_numpy(np.int64), rows["windows"].to_numpy(np.int64),
-                     rows["bytes"].tolist(), (text << 40) + rows["at"].to_numpy())
+                     rows["bytes"].tolist(), (text << 40) + at)
     key = np.unique(run * 128 + j)
     begins = np.flatnonzero(np.r_[True, np.diff(key) != 1])[: len(key)]
     ends = np.r_[begins[1:], len(key)] - 1 if len(key) else begins
     run, j, last = key[begins] // 128, key[begins] % 128, key[ends] % 128
-    at = rows["at"].to_numpy()[run]
-    return pd.DataFrame({"d": rows["d"].to_numpy()[run], "tie": rows["tie"].to_numpy()[run],
-                         "start": at + j, "end": at + last + DEPTH})
+    part = pd.DataFrame({"d": rows["d"].to_numpy()[run], "tie": rows["tie"].to_numpy()[run],
+                         "start": at[run] + j, "end": at[run] + last + DEPTH})
+    return pd.concat([whole, part], ignore_index=True)
 
 
 def _hot_spans(runs: DataFrame) -> DataFrame:
     """Spans of windows that stand earlier, by Spark's grouping on a hash of each window."""
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                n = row["windows"]
-                h = [xxhash.xxh3_128_intdigest(row["bytes"][k : k + DEPTH]) for k in range(n)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([(x >> 64) - (1 << 63) for x in h], pa.int64()), pa.array([(x & ((1 << 64) - 1)) - (1 << 63) for x in h], pa.int64()),
-                    pa.array([row["d"]] * n, pa.int64()), pa.array([row["tie"]] * n, pa.int64()),
-                    pa.array(range(row["at"], row["at"] + n), pa.int64())], ["h1", "h2", "d", "tie", "start"])
+            d, tie, at, sizes, content = (batch.column(n) for n in (0, 1, 2, 3, 7))
+            sizes = sizes.to_numpy().astype(np.int64)
+            h = b"".join(xxhash.xxh3_128_digest(b[k : k + DEPTH]) for b, n in zip(content.to_pylist(), sizes.tolist()) for k in range(n))
+            pairs = np.frombuffer(h, np.int64).reshape(-1, 2)
+            j = np.arange(len(pairs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            columns = [np.repeat(c.to_numpy(), sizes) for c in (d, tie, at)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (pairs[:, 0], pairs[:, 1], columns[0], columns[1], columns[2] + j)], ["h1", "h2", "d", "tie", "start"])
 
     every = runs.mapInArrow(windows, "h1 long, h2 long, d long, tie long, start long")
     firsts = every.groupBy("h1", "h2").agg(F.min(F.struct("d", "tie", "start")).alias("first"))
@@ -229,7 +238,8 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """d, tie, start, end: byte spans of docs (d, tie, t) covered by windows that also start earlier;
     spans of one text may overlap or repeat."""
     anchors = anchor_rows(docs)
-    counts = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join below has two plain sides and a common anchor can be split.
+    counts = staged(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "radix-anchors")
     again = anchors.join(counts, "anchor").select("d", F.col("run").bitwiseOR(F.when(F.col("n") >= hot, 1).otherwise(0)).alias("run"))
     wanted = staged(again.groupBy("d").agg(F.collect_set("run").alias("runs")), "radix-runs")
     total = wanted.agg(F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()[0]
