@@ -289,3 +289,17 @@ def test_streams_restart_and_upsert(spark, tmp_path):
     land((2, 4, t + dt.timedelta(hours=2)), (3, 5, t), (1, 6, t - dt.timedelta(hours=9)))
     streams.upsert_stream(stream, out, state, ["user"], [F.desc("ts")]).awaitTermination()
     assert read(spark, out, "user", "event") == [(1, 2), (2, 4), (3, 5)]  # event 6 came too late
+
+
+def test_versions_over_several_stretches(spark, monkeypatch):
+    monkeypatch.setattr(history, "STRETCH", 3)
+    versions = [1, 2, 4, 8, 9, 15]
+    log = spark.createDataFrame([(n, "v", v, "U") for n, v in enumerate(versions)], LOG)
+    commits = spark.createDataFrame([(v, f"c{v}") for v in versions], "version long, message string").withColumn(
+        "committed_at", F.lit("2024-01-01").cast("timestamp"))
+    got = history.version_log(log, commits, ["k"], "c").collect()
+    assert [(r.version, r.row_count) for r in got] == [(v, n + 1) for n, v in reversed(list(enumerate(versions)))]
+    parents = {r.version: r.parent for r in history.snapshots(log, commits).collect()}
+    assert parents == dict(zip(versions, [None, *versions]))
+    with pytest.raises(Exception, match="no tag"):
+        history.read_tag(log, spark.createDataFrame([("a", 1)], "tag string, tagged_version long"), "b", ["k"]).collect()

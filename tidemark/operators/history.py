@@ -77,11 +77,34 @@ def branch_view(main: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataF
     return untouched.unionByName(delta.where("op <> 'D'").select(*main.columns))
 
 
+#: Versions whose running figures one task works out; the step from one such stretch to the next goes over
+#: a row per stretch.
+STRETCH = 10_000
+
+
+def _running(df: DataFrame, value: str, total: str) -> DataFrame:
+    """df (one row per version) with the sum of value up to each version and the version before (`parent`)."""
+    df = df.withColumn("_stretch", F.floor(F.col("version") / STRETCH))
+    whole = df.groupBy("_stretch").agg(F.sum(value).alias("_sum"), F.max("version").alias("_last"))
+    before = Window.orderBy("_stretch")
+    whole = whole.select(
+        "_stretch", F.lag("_last").over(before).alias("_last"),
+        F.coalesce(F.sum("_sum").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"),
+    )
+    within = Window.partitionBy("_stretch").orderBy("version")
+    return (
+        df.withColumn(total, F.sum(value).over(within)).withColumn("parent", F.lag("version").over(within))
+        .join(whole, "_stretch")
+        .withColumn(total, F.col(total) + F.col("_ahead")).withColumn("parent", F.coalesce("parent", "_last"))
+        .drop("_stretch", "_ahead", "_last")
+    )
+
+
 def version_log(log: DataFrame, commits: DataFrame, keys: Sequence[str], message_like: str) -> DataFrame:
     """Commits whose message contains a text, newest first, with changes and rows after each.
 
-    commits: version, committed_at, message. The running total goes over one row per
-    version; the window before it over one key's versions.
+    commits: version (unique), committed_at, message. The running total goes over one row
+    per version, in stretches; the window before it over one key's versions.
     """
     by_key = Window.partitionBy(*keys).orderBy("version")
     previous = F.coalesce(F.lag("op").over(by_key), F.lit("D"))
@@ -91,10 +114,9 @@ def version_log(log: DataFrame, commits: DataFrame, keys: Sequence[str], message
         .groupBy("version")
         .agg(F.count(F.lit(1)).alias("rows_changed"), F.sum("_growth").alias("_growth"))
     )
-    running = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, 0)
+    joined = commits.join(per_version, "version", "left").fillna(0, ["_growth"])
     return (
-        commits.join(per_version, "version", "left")
-        .withColumn("row_count", F.sum(F.coalesce("_growth", F.lit(0))).over(running))
+        _running(joined, "_growth", "row_count")
         .withColumn("column_count", F.lit(len(log.columns) - 2))
         .where(F.contains("message", F.lit(message_like)))
         .select(
@@ -106,12 +128,10 @@ def version_log(log: DataFrame, commits: DataFrame, keys: Sequence[str], message
 
 
 def snapshots(log: DataFrame, commits: DataFrame) -> DataFrame:
-    """One row per version: version, committed_at, parent, upserted, deleted; without one-task windows:
-    a version's parent is the largest of the smaller ones, found among the (few) commits."""
+    """One row per version: version, committed_at, parent (the version before), upserted, deleted."""
     changes = log.groupBy("version").agg(F.count_if(F.col("op") != "D").alias("upserted"), F.count_if(F.col("op") == "D").alias("deleted"))
-    older = commits.select(F.col("version").alias("_older"))
-    parents = commits.select("version").join(older, F.col("_older") < F.col("version")).groupBy("version").agg(F.max("_older").alias("parent"))
-    return commits.select("version", "committed_at").join(parents, "version", "left").join(changes, "version", "left").fillna(0, ["upserted", "deleted"])
+    joined = commits.select("version", "committed_at").join(changes, "version", "left").fillna(0, ["upserted", "deleted"])
+    return _running(joined, "upserted", "_total").drop("_total")
 
 
 def partition_metrics(files: DataFrame) -> DataFrame:
