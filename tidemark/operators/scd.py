@@ -103,7 +103,10 @@ def pit_join_direct(
     valid_from: str = "_effective_from",
     valid_to: str = "_effective_to",
 ) -> DataFrame:
-    """Point-in-time key by one range join; good while a key has few versions."""
+    """Point-in-time key by one range join; good while a key has few versions.
+
+    Facts without a key do not take part: they would all meet in one task.
+    """
     versions = dim.select(
         F.col(nk).alias("_nk"),
         F.col(valid_from).alias("_from"),
@@ -111,8 +114,13 @@ def pit_join_direct(
         F.col(sk).alias("_sk"),
     )
     hit = (F.col(key) == F.col("_nk")) & (F.col("_from") <= F.col(ts)) & (F.col(ts) < F.col("_to"))
-    joined = fact.join(versions, hit, "left")
-    return joined.withColumn(sk, known_or_unknown("_sk")).drop("_nk", "_from", "_to", "_sk")
+    joined = fact.where(F.col(key).isNotNull()).join(versions, hit, "left")
+    found = joined.withColumn(sk, known_or_unknown("_sk")).drop("_nk", "_from", "_to", "_sk")
+    return found.unionByName(_without_key(fact, key, sk))
+
+
+def _without_key(fact: DataFrame, key: str, sk: str) -> DataFrame:
+    return fact.where(F.col(key).isNull()).withColumn(sk, known_or_unknown(F.lit(None).cast("string")))
 
 
 def pit_join(
@@ -167,5 +175,6 @@ def pit_join(
         & (F.col("_v._from") <= F.col(ts))
         & (F.col(ts) < F.col("_v._to"))
     )
-    joined = fact.join(candidates, hit, "left")
-    return joined.withColumn(sk, known_or_unknown("_v._sk")).drop("_k", "_slice", "_v")
+    joined = fact.where(F.col(key).isNotNull()).join(candidates, hit, "left")
+    found = joined.withColumn(sk, known_or_unknown("_v._sk")).drop("_k", "_slice", "_v")
+    return found.unionByName(_without_key(fact, key, sk))
