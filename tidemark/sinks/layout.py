@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import join_counts
@@ -141,19 +141,22 @@ def compact(
     """
     plan = compaction_plan(spark, path, min_input_files, target_bytes).select("partition", "files_after")
     table = read_table(spark, path)
-    folder = _partition_of(F.col("_metadata.file_path")).alias("partition")
-    present = table.select(*partition, folder).distinct()
-    with staged(present.join(plan, "partition")) as chosen:
+    present = table.select(*partition, F.col("_metadata.file_path").alias("file_path")).distinct()
+    present = present.select(*partition, _partition_of(F.col("file_path")).alias("partition")).distinct()
+    # Output files are numbered through; the numbering goes over a row per partition.
+    upto = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("files_after").over(upto), F.lit(0)).cast("int")
+    with staged(present.join(plan, "partition").withColumn("first_file", first)) as chosen:
         files = chosen.agg(F.sum("files_after")).first()[0]
         if not files:
             return 0
         at = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
         rows = _in_partitions(table.select("*", at.alias("_at")), chosen, partition)
-        sizes = chosen.select(*[F.col(c).alias(f"_p{n}") for n, c in enumerate(partition)], "files_after")
+        named = [F.col(c).alias(f"_p{n}") for n, c in enumerate(partition)]
         here = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p{n}")) for n, c in enumerate(partition)])
-        slotted = rows.join(sizes, here).withColumn("_slot", F.pmod("_at", F.col("files_after")))
-        spread = slotted.repartitionByRange(int(files), *partition, "_slot")
-        result = spread.select(*table.columns)
+        numbered = rows.join(chosen.select(*named, "files_after", "first_file"), here)
+        slot = (F.col("first_file") + F.pmod("_at", F.col("files_after"))).cast("int")
+        result = numbered.repartitionById(int(files), slot).select(*table.columns)
         writer = result.write.mode("overwrite").partitionBy(*partition)
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return int(files)
