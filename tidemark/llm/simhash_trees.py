@@ -32,6 +32,9 @@ ship(__name__)
 
 #: Rows of a shard table that one task takes on average.
 SLICE_ROWS = 100_000
+#: Bits that shards are searched on first, and the radius for longer fingerprints: similar ones
+#: differ in 20 of these bits or so, give or take 4, strangers in 64, give or take 6.
+COARSE, COARSE_RADIUS = 128, 34
 #: Query-node pairs a search holds at a time.
 FRONTIER = 2_000_000
 #: Words of a text that are in memory as separate strings at a time.
@@ -204,11 +207,29 @@ def forest_links(shard: np.ndarray, x: np.ndarray, radius: int) -> np.ndarray:
     return root
 
 
+def _slices(n_rows: int) -> int:
+    return max(1, n_rows // SLICE_ROWS)
+
+
+def _forest(rows: pd.DataFrame, radius: int, width: int) -> tuple[pd.DataFrame, np.ndarray]:
+    """The rows by shard, and forest_links of their prints."""
+    rows = rows.sort_values(["shard", "id"]).drop_duplicates(["shard", "id"])
+    x = np.frombuffer(b"".join(rows["print"]), np.uint64).reshape(-1, width)
+    return rows, forest_links(rows["shard"].to_numpy(), x, radius)
+
+
 def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
-    """a, b: rows of prints (id long, print binary) that are linked, enough to join up every component."""
-    spark, width = prints.sparkSession, scheme.bits // 64
+    """a, b: rows of prints (id long, print binary) that are linked, enough to join up every component.
+
+    Shards are searched on a fingerprint's first COARSE bits, all of a short one. Of a long
+    one, what the coarse search puts together (with a wider radius, so that it hardly loses
+    a link) is searched again on all bits: a shard's chance meetings, most of its rows, are
+    gone before whole fingerprints move.
+    """
+    width, coarse = scheme.bits // 64, min(scheme.bits, COARSE) // 64
+    radius = scheme.radius if width == coarse else COARSE_RADIUS
     n_tables = _keys(np.zeros((1, width), np.uint64), scheme).shape[1]
-    n_slices = max(1, prints.count() * n_tables // SLICE_ROWS)
+    n_slices = _slices(prints.count() * n_tables)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,25 +237,33 @@ def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
             x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(-1, width)
             keys = _keys(x, scheme)
             tables = np.tile(np.arange(keys.shape[1], dtype=np.uint64), len(x))
-            shard = _widened(keys.ravel() ^ (tables << np.uint64(56)), 2)[:, 1].view(np.int64)
+            shard = _widened(keys.ravel() ^ (tables << np.uint64(56)), 2)[:, 1]
+            first = np.ascontiguousarray(np.repeat(x[:, :coarse], keys.shape[1], axis=0))
             yield pa.RecordBatch.from_arrays([
-                pa.array((shard.view(np.uint64) % np.uint64(n_slices)).astype(np.int64)), pa.array(shard),
+                pa.array((shard % np.uint64(n_slices)).astype(np.int64)), pa.array(shard.view(np.int64)),
                 pa.array(np.repeat(ids, keys.shape[1])),
-            ], ["slice", "shard", "id"])
+                pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * coarse), len(first), [None, pa.py_buffer(first)]).cast(pa.binary()),
+            ], ["slice", "shard", "id", "print"])
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, root = _forest(rows, radius, coarse)
+        together = np.bincount(root, minlength=len(root))[root] > 1
+        ids = rows["id"].to_numpy()
+        return pd.DataFrame({"shard": rows["shard"].to_numpy()[together], "a": ids[together], "b": ids[root[together]]})
+
+    rows = prints.mapInArrow(spread, "slice long, shard long, id long, print binary")
+    met = staged(rows.groupBy("slice").applyInPandas(meet, "shard long, a long, b long"), "shards")
+    if width == coarse:
+        return met.select("a", "b").distinct()
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["shard", "id"])
-        shard, ids = rows["shard"].to_numpy(), rows["id"].to_numpy()
-        x = np.frombuffer(b"".join(rows["print"]), np.uint64).reshape(-1, width)
-        root = forest_links(shard, x, scheme.radius)
-        linked = root != np.arange(len(root))
+        rows, root = _forest(rows, scheme.radius, width)
+        ids, linked = rows["id"].to_numpy(), root != np.arange(len(root))
         return pd.DataFrame({"a": ids[linked], "b": ids[root[linked]]}).drop_duplicates()
 
-    spread_rows = prints.mapInArrow(spread, "slice long, shard long, id long")
-    # A shard of one has no links: only shards that fingerprints share carry them along.
-    shared = spread_rows.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1").select("shard")
-    meeting = spread_rows.join(shared, "shard").join(prints, "id")
-    return meeting.groupBy("slice").applyInPandas(search, "a long, b long").distinct()
+    part = met.select(F.xxhash64("shard", "b").alias("shard"), F.col("a").alias("id")).join(prints, "id")
+    sliced = part.withColumn("slice", F.pmod("shard", F.lit(_slices(met.count()))))
+    return sliced.groupBy("slice").applyInPandas(search, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id", text: str = "text") -> DataFrame:
