@@ -18,6 +18,7 @@ integers; the distinct ids; then the code as little-endian unsigned 16-bit words
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ HEADER = "<4sIBII"
 HEADER_SIZE = struct.calcsize(HEADER)
 BLOCK_IDS = 8_192
 #: Blocks coded side by side; bounds a task's memory at about 0.5 MB each.
-LANES = 512
+LANES = 256
 #: What a seen digit adds to its counts of order 0, 1 and 2; every digit starts with 1.
 GAIN = (1, 4, 12)
 #: Hashed contexts of order 1 and of order 2, per block.
@@ -46,10 +47,12 @@ CONTEXTS = 1 << 10
 #: Text bytes that a partition of the files holds on average.
 PARTITION_BYTES = 16 << 20
 #: Chunks of text whose ids are remembered.
-MEMO = 1_000_000
+MEMO = 400_000
+ENCODED_AT_ONCE = 2_000
 
 _LOW, _FULL = np.uint64((1 << 48) - 1), np.uint64(1 << 32)
 _1, _4, _15, _16, _32, _48 = map(np.uint64, (1, 4, 15, 16, 32, 48))
+_K1, _K2, _K3, _K4, _K5 = map(np.uint64, (0x9E3779B1, 0xC2B2AE35, 0x85EBCA6B, 0x27D4EB2F, 0x9E3779B97F4A7C15))
 _CONTEXT_SHIFT = np.uint64(64 - CONTEXTS.bit_length() + 1)
 BLOCK_SCHEMA = ("part int, block int, first long, n int, doc_ids array<long>, doc_starts array<long>, "
                 "doc_sizes array<long>, code binary")
@@ -67,11 +70,16 @@ class Mixer:
     def __init__(self, lanes: int, digits: int):
         sizes = ((16**digits - 1) // 15, CONTEXTS, CONTEXTS)
         self.lanes = lanes
-        self.tables = [np.zeros((lanes * size, 16), np.float32) for size in sizes]
-        self.flat = [t.reshape(-1) for t in self.tables]
-        self.base = [np.arange(lanes, dtype=np.uint64) * np.uint64(size) for size in sizes]
-        self.at = [np.zeros(lanes, np.uint64) for _ in sizes]
-        self.counts, self.more = np.zeros((lanes, 16), np.float32), np.zeros((lanes, 16), np.float32)
+        # One table for the three orders, a part for each; rows of a lane stand together.
+        self.table = np.zeros((lanes * sum(sizes), 16), np.float32)
+        self.flat = self.table.reshape(-1)
+        parts = np.cumsum([0, lanes * sizes[0], lanes * sizes[1]]).astype(np.uint64)
+        self.base = parts[:, None] + np.arange(lanes, dtype=np.uint64) * np.array(sizes, np.uint64)[:, None]
+        self.gain = np.repeat(np.array(GAIN, np.float32), lanes)
+        self.at = np.zeros((3, lanes), np.uint64)
+        self.hash = np.zeros((2, lanes), np.uint64)
+        self.rows, self.counts = np.zeros((3 * lanes, 16), np.float32), np.zeros((lanes, 16), np.float32)
+        self.parts = self.rows.reshape(3, lanes, 16)
         self.sums = np.zeros((lanes, 16), np.float32)
         self.one = self.two = np.zeros(lanes, np.uint64)
         self.begin()
@@ -79,28 +87,27 @@ class Mixer:
     def begin(self) -> None:
         """Of an id."""
         self.node = np.zeros(self.lanes, np.uint64)
-        self.hash1 = self.one * np.uint64(0x9E3779B1) + np.uint64(1)
-        self.hash2 = self.hash1 * np.uint64(0x85EBCA6B) + self.two * np.uint64(0xC2B2AE35)
+        np.multiply(self.one, _K1, out=self.hash[0])
+        np.multiply(self.two, _K2, out=self.hash[1])
+        self.hash[1] += self.hash[0] * _K3
 
-    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+    def predict(self) -> None:
         """Counts of the 16 digits, and their running sums."""
-        step = self.node * np.uint64(0x27D4EB2F)
         np.add(self.base[0], self.node, out=self.at[0])
-        for n, h in ((1, self.hash1), (2, self.hash2)):
-            np.add(self.base[n], (h + step) * np.uint64(0x9E3779B97F4A7C15) >> _CONTEXT_SHIFT, out=self.at[n])
-        np.take(self.tables[0], self.at[0].view(np.int64), axis=0, out=self.counts, mode="clip")
-        for n in (1, 2):
-            np.take(self.tables[n], self.at[n].view(np.int64), axis=0, out=self.more, mode="clip")
-            self.counts += self.more
+        context = self.hash + self.node * _K4
+        context *= _K5
+        context >>= _CONTEXT_SHIFT
+        np.add(self.base[1:], context, out=self.at[1:])
+        np.take(self.table, self.at.reshape(-1).view(np.int64), axis=0, out=self.rows, mode="clip")
+        np.add(self.parts[0], self.parts[1], out=self.counts)
+        self.counts += self.parts[2]
         self.counts += 1
         np.matmul(self.counts, self._upto, out=self.sums)
-        return self.counts, self.sums
 
     def learn(self, digit: np.ndarray) -> None:
         """digit: uint64."""
-        for flat, at, gain in zip(self.flat, self.at, GAIN):
-            cell = (at * _16 + digit).view(np.int64)
-            flat[cell] += gain
+        cell = (self.at * _16 + digit).reshape(-1).view(np.int64)
+        self.flat[cell] += self.gain
         self.node = self.node * _16 + digit + _1
 
     def end(self, ids: np.ndarray) -> None:
@@ -116,7 +123,7 @@ def encode_blocks(blocks: list[np.ndarray], digits: int) -> list[bytes]:
         ids[: len(b), n] = b
     mixer, row16 = Mixer(lanes, digits), np.arange(lanes, dtype=np.uint64) * _16
     room = length * digits + 5
-    out = np.zeros(lanes * room, np.int64)
+    out = np.zeros(lanes * room, np.int32)
     # A place before the first word takes the carry that never comes.
     at = np.arange(lanes, dtype=np.int64) * room + 1
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 48, np.uint64)
@@ -130,10 +137,10 @@ def encode_blocks(blocks: list[np.ndarray], digits: int) -> list[bytes]:
             unit = width // sums[15::16].astype(np.uint64)
             low += unit * (sums[cell] - one).astype(np.uint64)
             width = unit * one.astype(np.uint64)
-            out[at - 1] += (low >> _48).view(np.int64)  # the carry; evened out below
+            out[at - 1] += (low >> _48).astype(np.int32)  # the carry; evened out below
             low &= _LOW
             full = width < _FULL
-            out[at] = (low >> _32).view(np.int64) * full  # stays only where at moves on
+            out[at] = (low >> _32).astype(np.int32) * full  # stays only where at moves on
             at += full
             move = full * _16
             low = (low << move) & _LOW
@@ -154,12 +161,13 @@ def encode_blocks(blocks: list[np.ndarray], digits: int) -> list[bytes]:
 def decode_blocks(codes: list[bytes], sizes: list[int], digits: int) -> list[np.ndarray]:
     lanes, length = len(codes), max(sizes, default=0)
     room = max((len(c) for c in codes), default=0) // 2 + length * digits + 4
-    words = np.zeros((lanes, room), np.uint64)
+    words = np.zeros((lanes, room), np.uint16)
     for n, c in enumerate(codes):
         words[n, : len(c) // 2] = np.frombuffer(c, "<u2")
     mixer, row16 = Mixer(lanes, digits), np.arange(lanes, dtype=np.uint64) * _16
     ids = np.zeros((length, lanes), np.uint64)
-    code = (words[:, 0] << _32) | (words[:, 1] << _16) | words[:, 2]
+    begin = words[:, :3].astype(np.uint64)
+    code = (begin[:, 0] << _32) | (begin[:, 1] << _16) | begin[:, 2]
     words = words.reshape(-1)
     width, at = np.full(lanes, 1 << 48, np.uint64), np.arange(lanes, dtype=np.int64) * room + 3
     counts, sums = mixer.counts.reshape(-1), mixer.sums.reshape(-1)
@@ -177,7 +185,7 @@ def decode_blocks(codes: list[bytes], sizes: list[int], digits: int) -> list[np.
             width = unit * one.astype(np.uint64)
             full = width < _FULL
             move = full * _16
-            code = (code << move) | (words[at] * full)
+            code = (code << move) | (words[at] * full).astype(np.uint64)
             at += full
             width <<= move
             now <<= _4
@@ -254,6 +262,7 @@ class Tokens:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -265,11 +274,20 @@ class Tokens:
         new = list(set(chain.from_iterable(chunked)) - self.known.keys())
         if len(self.known) + len(new) > MEMO:
             self.known, new = {}, list(set(chain.from_iterable(chunked)))
-        for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+        for at in range(0, len(new), ENCODED_AT_ONCE):  # what the library returns is large
+            some = new[at : at + ENCODED_AT_ONCE]
+            self.known.update(zip(some, self._encoded(some)))
         for chunks in chunked:
             yield b"".join(map(self.known.__getitem__, chunks))
 
+    def _encoded(self, chunks: list[str]) -> Iterator[bytes]:
+        """Each chunk's ids, from one call over all of them: a token's place tells its chunk."""
+        begins = np.cumsum([0, *[len(c) + 1 for c in chunks]])
+        found = self.tokenizer.encode(" ".join(chunks), add_special_tokens=False)
+        places = np.fromiter((first for first, _ in found.offsets), np.int64, len(found.offsets))
+        raw, edges = np.array(found.ids, "<u4").tobytes(), (4 * np.searchsorted(places, begins)).tolist()
+        return (raw[a:b] for a, b in zip(edges, edges[1:]))
+
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
     """Writes the ids of all texts to path, in ascending order of key (nulls first, equal keys by
