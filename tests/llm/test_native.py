@@ -285,6 +285,19 @@ def test_quality_keeps_rows_whole(documents, clashing):
     assert quality_votes.keep_good(documents()).collect() == []
 
 
+def test_variety_is_of_the_whole_text(documents):
+    rng = random.Random(1)
+    head = " ".join(f"word{rng.randrange(20)}" for _ in range(400))
+    tail = " ".join(f"other{int(3000 * rng.random() ** 2)}" for _ in range(4000))
+    dull = " ".join(f"word{rng.randrange(20)}" for _ in range(4400))
+    docs = documents((1, head + " " + tail), (2, tail + " " + head), (3, dull))
+    got = {r["row"]["doc_id"]: r for r in quality_votes.judge(docs).collect()}
+    rule = list(quality_votes.RULES).index("variety")
+    assert got[1]["votes"] == got[2]["votes"] and got[1]["votes"][rule] == 1 and got[3]["votes"][rule] == -1
+    assert got[1]["measures"]["n_distinct"] == len(set((head + " " + tail).split()))
+    assert got[1]["kept"] and got[2]["kept"] and not got[3]["kept"]
+
+
 # licenses
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
