@@ -128,6 +128,17 @@ def test_one_of_each_group(documents, clashing):
     assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [2, 9, 10]
 
 
+def test_one_of_each_group_whatever_the_ids(documents, clashing):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice([f"w{n}" for n in range(3000)], 200)) for _ in range(6)]
+    near = texts[0].replace(texts[0].split()[100], "changed")
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[5]),
+            (8, texts[5]), (3, near), (9, texts[2])]
+    got = rows_of(simhash_trees.one_of_each(clashing(documents(*rows))))
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted([
+        ("3", near), ("None", texts[1]), ("9", texts[2]), ("7", texts[3]), ("7", texts[4]), ("7", texts[5])])
+
+
 # language
 
 def test_language_held_out(spark):

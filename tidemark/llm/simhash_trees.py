@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship, staged
@@ -103,14 +103,14 @@ def fingerprint(text: bytes | None, scheme: Scheme) -> bytes:
 
 
 def fingerprints(docs: DataFrame, scheme: Scheme, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, print (binary)."""
+    """doc_id, hash (of the text, 64 bits), print (binary)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t, scheme) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], ["doc_id", "print"])
+            prints = [fingerprint(t, scheme) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.binary())], ["doc_id", "hash", "print"])
 
-    wanted = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return wanted.mapInArrow(run, "doc_id long, print binary")
+    wanted = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).cast("binary").alias("text"))
+    return wanted.mapInArrow(run, "doc_id long, hash long, print binary")
 
 
 def _keys(x: np.ndarray, scheme: Scheme) -> np.ndarray:
@@ -266,6 +266,15 @@ def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
     return sliced.groupBy("slice").applyInPandas(search, "a long, b long").distinct()
 
 
+def _placed(prints: DataFrame, scheme: Scheme, first: Column) -> DataFrame:
+    """print, first (the smallest of its rows), id, root: each distinct print and its component's."""
+    distinct = prints.groupBy("print").agg(F.min(first).alias("first"))
+    distinct = staged(distinct.withColumn("id", F.xxhash64("print", "first")), "prints")
+    pairs = links(distinct.select("id", "print"), scheme)
+    roots = components(pairs).withColumnRenamed("node", "id")
+    return distinct.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
 def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, print, component_id (smallest doc_id reachable, itself included) of every row.
 
@@ -273,21 +282,20 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id"
     Null keys are linked but never a component's id unless it has no other. Repeated rows
     stay; an empty table gives no rows.
     """
-    prints = staged(fingerprints(docs, scheme, key, text), "prints")
-    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
-    distinct = staged(distinct.withColumn("id", F.xxhash64("print", "first")), "prints")
-    pairs = links(distinct.select("id", "print"), scheme)
-    roots = components(pairs).withColumnRenamed("node", "id")
-    placed = distinct.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    prints = staged(fingerprints(docs, scheme, key, text).select("doc_id", "print"), "prints")
+    placed = _placed(prints, scheme, F.col("doc_id"))
     named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = placed.join(named, "root").select("print", "component_id")
     return prints.join(by_print, "print")
 
 
 def one_of_each(docs: DataFrame, scheme: Scheme = SIMILAR, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs' rows, with their columns, that stand for their component: the smallest key's, once."""
-    found = near_duplicates(docs, scheme, key, text)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("_key"))
-    kept = rows.join(stays, F.col("_key").eqNullSafe(F.col("_stays")), "left_semi")
-    return kept.dropDuplicates(["_key"]).select("row.*")
+    """docs' rows, with their columns, that stand for their component: one row of each, of the
+    smallest key, nulls last. Rows are told apart by key and text, so keys need not be unique."""
+    prints = staged(fingerprints(docs, scheme, key, text), "prints")
+    placed = _placed(prints, scheme, F.struct(F.col("doc_id").isNull().alias("odd"), "doc_id", "hash"))
+    stays = placed.groupBy("root").agg(F.min("first").alias("first"))
+    stays = stays.select(F.col("first.doc_id").alias("_stays"), F.col("first.hash").alias("_text"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("_key"), F.xxhash64(text).alias("_hash"))
+    kept = rows.join(stays, F.col("_key").eqNullSafe(F.col("_stays")) & (F.col("_hash") == F.col("_text")), "left_semi")
+    return kept.dropDuplicates(["_key", "_hash"]).select("row.*")
