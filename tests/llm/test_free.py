@@ -219,6 +219,14 @@ def test_leaks_odd_rows(spark, documents, clashing):
     assert decontam_wand.leaks(documents((1, ITEM)), items.limit(0)).collect() == []
 
 
+def test_only_the_rows_that_leak_are_dropped(spark, documents, clashing):
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    docs = clashing(documents((None, "x " + ITEM), (None, "clean"), (None, None), (5, ITEM), (5, "clean too"), (5, ITEM)))
+    kept = decontam_wand.without_leaks(docs, items, by_row=True)
+    assert kept.columns == docs.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == [("5", "clean too"), ("None", "None"), ("None", "clean")]
+
+
 # token files
 
 @settings(max_examples=15, deadline=None)

@@ -99,6 +99,15 @@ def test_mix_takes_rows(documents, clashing):
     assert by_source["b"] == 200 and by_source["a"] == pytest.approx(200, abs=2)
 
 
+@pytest.mark.parametrize("same", [False, True])
+def test_mix_takes_rows_of_equal_keys_one_by_one(documents, same):
+    """A third of the ids null (or one id), over both sources, with different or equal texts."""
+    docs = documents(*[(n if n % 3 else None if n % 2 else 7, "w " * 9 + ("x" if same else f"x{n}"), "en", "ab"[n >= 300]) for n in range(400)])
+    got = rows_of(mixing.take(docs, n_words(F.col("text")), [1, 1], 1.0, passes=2))
+    by_source = [sum(r["source"] == s for r in got) for s in "ab"]
+    assert by_source == [pytest.approx(200, abs=2), 200]
+
+
 # URL rules
 
 def judged_by_hand(url):

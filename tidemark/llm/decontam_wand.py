@@ -215,13 +215,18 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     Rows of docs are looked at one by one: repeated rows give repeated leaks; null and empty
     texts, and items without words, give none.
     """
+    return _held(docs, items, key, text, item_key, item_text).drop("hash")
+
+
+def _held(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """leaks, and the hash of the text that holds the item."""
     spark = docs.sparkSession
     wanted = items.select(F.col(item_key).cast("long").alias("id"), F.col(item_text).alias("text"))
     total = wanted.select(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
     n_shards = max(1, math.ceil(total / SHARD_WORDS))
     shard_of = F.pmod(F.xxhash64("id", "text"), F.lit(n_shards))
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    schema = "doc_id long, hash long, item_id long, score double, question_overlap double, answer_overlap double"
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
 
     def one_pass(shard: list[tuple[int, str]]) -> DataFrame:
         known = spark.sparkContext.broadcast(shard)
@@ -230,12 +235,12 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
             index = Index(known.value)
             memo = Spellings(index.term)
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                rows = [(ids[n], *leak) for n, *leak in leaks_of(index, memo, batch.column(1).to_pylist())]
+                ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                rows = [(ids[n], hashes[n], *leak) for n, *leak in leaks_of(index, memo, batch.column(2).to_pylist())]
                 if rows:
-                    types = [pa.int64(), pa.int64(), *[pa.float64()] * 3]
+                    types = [pa.int64(), pa.int64(), pa.int64(), *[pa.float64()] * 3]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                                     ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                                                     ["doc_id", "hash", "item_id", "score", "question_overlap", "answer_overlap"])
 
         return texts.mapInArrow(run, schema)
 
@@ -246,8 +251,10 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     return found
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of docs, with their columns, that hold no item; found by their key."""
-    held = leaks(docs, items, key).select(F.col("doc_id").alias("_held")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("_key"))
-    return rows.join(held, F.col("_key").eqNullSafe(F.col("_held")), "left_anti").select("row.*")
+def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", by_row: bool = False) -> DataFrame:
+    """The rows of docs, with their columns, that hold no item. By row: rows are told apart by key
+    and text, so only those that hold an item go; otherwise every row of such a row's key goes."""
+    held = _held(docs, items, key, text).select(F.col("doc_id").alias("_held"), F.col("hash").alias("_text")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("_key"), F.xxhash64(text).alias("_hash"))
+    same_key = F.col("_key").eqNullSafe(F.col("_held"))
+    return rows.join(held, same_key & (F.col("_hash") == F.col("_text")) if by_row else same_key, "left_anti").select("row.*")

@@ -69,7 +69,7 @@ def rank_weights(sources: DataFrame, weights: list[float]) -> DataFrame:
 
 
 def mix(docs: DataFrame, size: Column, weights: list[float], share: float, passes: int = 2, seed: int = 7,
-        key: str = "doc_id", source: str = "source") -> DataFrame:
+        key: str = "doc_id", source: str = "source", text_hash: str | None = None, row_id: str | None = None) -> DataFrame:
     """The mix's schedule: one row per document and pass.
 
     doc_id, source, size, source_size, target, n (the document's number in its source's
@@ -77,9 +77,12 @@ def mix(docs: DataFrame, size: Column, weights: list[float], share: float, passe
     (words of the mix before it). Rows with taken 0 are not in the mix; the others, by
     mix_start, are the mix. Equal inputs give equal mixes. Repeated rows are documents of
     their own; null sizes count 0, null sources are one source, an empty table gives none.
+    A column text_hash joins the key in the shuffle, so rows with equal keys stand apart; a
+    column row_id (unique) is carried along as such.
     """
-    doc = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"))
-    doc = doc.withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
+    row = [F.col(row_id).alias("row_id")] if row_id else []
+    doc = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"),
+                      F.xxhash64(F.lit(seed), key, *[text_hash] * bool(text_hash)).alias("h"), *row)
     doc = staged(doc, "mix").withColumn("skey", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     sources = doc.groupBy("skey").agg(F.first("source").alias("source"), F.sum("size").alias("total"), F.count("*").alias("rows"))
     plan = targets(rank_weights(sources, weights), share, passes).select("skey", "rank", "weight", "total", "rows", "target", "level")
@@ -87,7 +90,7 @@ def mix(docs: DataFrame, size: Column, weights: list[float], share: float, passe
     doc = doc.join(plan, "skey")
     unit = F.col("h").cast("double") / 2.0**64 + 0.5
     doc = doc.withColumn("bucket", F.floor(unit * F.ceil(F.col("rows") / F.lit(BUCKET_ROWS))))
-    order = [F.col("h"), F.col("doc_id"), F.col("size")]
+    order = [F.col(c) for c in ("h", "doc_id", "size", *["row_id"] * bool(row_id))]
     doc = doc.withColumn("n", F.row_number().over(Window.partitionBy("skey", "bucket").orderBy(*order)))
     doc = _running(doc, ["skey"], "bucket", [F.col("n")], F.col("size"))
 
@@ -106,7 +109,7 @@ def mix(docs: DataFrame, size: Column, weights: list[float], share: float, passe
     taken = F.greatest(F.lit(0), F.least(F.col("served"), total - F.col("before")))
     return ordered.select(
         "doc_id", "source", "size", F.col("total").alias("source_size"), "target", "skey", "bucket", "n", "pass",
-        "start", "finish", taken.cast("long").alias("taken"), F.col("before").alias("mix_start"),
+        "start", "finish", taken.cast("long").alias("taken"), F.col("before").alias("mix_start"), *["row_id"] * bool(row_id),
     )
 
 
@@ -118,17 +121,18 @@ def taken_per_document(schedule: DataFrame) -> DataFrame:
 
 
 def take(docs: DataFrame, size: Column, weights: list[float], share: float, passes: int = 2, seed: int = 7,
-         key: str = "doc_id", source: str = "source") -> DataFrame:
+         key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of docs, with their columns, that the mix takes, each as often as it takes them.
 
     A document in service where the budget ends is taken whole if half of its words are.
-    Documents without words are not taken. Rows with equal keys are queued one by one and
-    repeated alike, as often as the mix takes them on average.
+    Documents without words are not taken. Every row is queued and counted on its own: rows
+    are written once with a number, so equal or null keys do no harm.
     """
-    schedule = mix(docs, size, weights, share, passes, seed, key, source)
+    rows = staged(docs.select(
+        F.struct("*").alias("row"), F.col(key).alias("_key"), F.col(source).alias("_source"), size.alias("_size"),
+        F.xxhash64(text).alias("_hash"), F.monotonically_increasing_id().alias("_row")), "mix-rows")
+    schedule = mix(rows, F.col("_size"), weights, share, passes, seed, "_key", "_source", "_hash", "_row")
     counted = (F.col("size") > 0) & (2 * F.col("taken") >= F.col("size"))
-    times = schedule.groupBy("doc_id").agg(F.round(F.avg(counted.cast("int")) * passes).cast("int").alias("_times"))
-    times = times.where("_times > 0").withColumnRenamed("doc_id", "_taken")
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("_key"))
-    joined = rows.join(times, F.col("_key").eqNullSafe(F.col("_taken")))
+    times = schedule.where(counted).groupBy("row_id").agg(F.count("*").cast("int").alias("_times"))
+    joined = rows.join(times, F.col("_row") == F.col("row_id"))
     return joined.select("row", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select("row.*")
