@@ -128,6 +128,35 @@ def test_one_of_each_group(documents, clashing):
     assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [2, 9, 10]
 
 
+def test_groups_are_of_similar_texts_only(documents):
+    """Against the exact similarity of all pairs, on texts just above and below 0.8 and in chains."""
+    rng = np.random.default_rng(3)
+    fresh = iter(range(10**6))
+    texts = []
+    for n in range(40):  # a base; runs replaced at its end so that just enough or too few shingles are shared
+        base = [f"b{n}x{k}" for k in range(404)]
+        texts.append(base)
+        for cut in (44, 45, 70, 110)[: 1 + n % 4]:
+            texts.append(base[: 404 - cut] + [f"f{next(fresh)}" for _ in range(cut)])
+    texts.append(["refrain"] * 500 + [f"one{k}" for k in range(40)])
+    texts.append(["refrain"] * 500 + [f"two{k}" for k in range(40)])
+    step = [f"c{k}" for k in range(400)]
+    for _ in range(4):
+        texts.append(step)
+        step = step[30:] + [f"f{next(fresh)}" for _ in range(30)]
+    sets = [set(zip(*(t[k:] for k in range(5)))) for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    got = {r["doc_id"] for r in simhash_trees.one_of_each(documents(*[(n, " ".join(t)) for n, t in enumerate(texts)])).collect()}
+    wanted = set(root)
+    assert not wanted - got  # nothing below 0.8 goes
+    assert len(got - wanted) <= 2  # and hardly a link is missed
+
+
 def test_one_of_each_group_whatever_the_ids(documents, clashing):
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice([f"w{n}" for n in range(3000)], 200)) for _ in range(6)]

@@ -4,7 +4,8 @@ A document's fingerprint has a bit for every position that is set in over half o
 shingles' hashes. Fingerprints go to shards such that close ones meet in at least one; each
 shard is a BK-tree, children keyed by their Hamming distance to the parent, and a search
 follows only edges within the radius of the distance to the node. What a shard finds are
-links; documents linked directly or through others form a component.
+links; documents linked directly or through others form a component. Where a similarity is
+asked for, links are candidates only: each is checked on the texts' shingles before it counts.
 
 Shards are by key, so trees and queries meet in a shuffle and nothing is broadcast. Only
 distinct fingerprints enter trees: thousands of exact copies are one node. The trees of a
@@ -34,7 +35,7 @@ ship(__name__)
 SLICE_ROWS = 100_000
 #: Bits that shards are searched on first, and the radius for longer fingerprints: similar ones
 #: differ in 20 of these bits or so, give or take 4, strangers in 64, give or take 6.
-COARSE, COARSE_RADIUS = 128, 34
+COARSE, COARSE_RADIUS = 128, 36
 #: Query-node pairs a search holds at a time.
 FRONTIER = 2_000_000
 #: Words of a text that are in memory as separate strings at a time.
@@ -48,7 +49,8 @@ class Scheme:
     blocks: cut the fingerprint into so many blocks and shard by every choice of
     blocks - radius of them: two fingerprints within the radius agree on one choice, so no
     link is lost. Or bands: shard by each run of so many bits; near fingerprints then miss
-    each other with a probability that falls with their number.
+    each other with a probability that falls with their number. distinct: repeated shingles
+    of a text count once.
     """
 
     words: int
@@ -56,14 +58,17 @@ class Scheme:
     radius: int
     blocks: int = 0
     bands: int = 0
+    distinct: bool = False
 
 
 #: Three words, links within 3 bits of 64: exact.
 CLOSE = Scheme(words=3, bits=64, radius=3, blocks=5)
-#: Five words, similarity of 0.8 or more: its fingerprints differ in about 15 % of the bits
-#: (the angle of cosine 2 * 0.8 / 1.8) give or take 1 %. A band of 16 bits agrees then with
-#: probability 0.07, one of 64 bands with 0.99.
-SIMILAR = Scheme(words=5, bits=1024, radius=168, bands=16)
+#: Five words, candidates for a similarity of 0.8 or more: such fingerprints differ in 15 % of the
+#: bits or fewer (the angle of cosine 2 * 0.8 / 1.8), 155 give or take 11.5; the radius is three
+#: deviations more. A band of 16 bits agrees then with probability 0.07, one of 64 bands with 0.99.
+SIMILAR = Scheme(words=5, bits=1024, radius=190, bands=16, distinct=True)
+#: Shared shingles of all shingles of two texts, at least: 4 of 5.
+SHARED, OF = 4, 5
 
 
 def _hashes(text: bytes, n: int) -> Iterator[np.ndarray]:
@@ -77,6 +82,11 @@ def _hashes(text: bytes, n: int) -> Iterator[np.ndarray]:
         yield np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, len(some) - n + 1)
 
 
+def shingle_set(text: bytes | None, n: int) -> np.ndarray:
+    """The distinct hashes of the shingles, sorted."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(text or b"", n)]))
+
+
 def _widened(h: np.ndarray, width: int) -> np.ndarray:
     """The hashes, and width - 1 more from each by a fixed mixing function, side by side."""
     if width == 1:
@@ -93,7 +103,7 @@ def fingerprint(text: bytes | None, scheme: Scheme) -> bytes:
     """bits / 8 bytes, little-endian; a text without words has zeros."""
     width = scheme.bits // 64
     counts, total = np.zeros(scheme.bits, np.int64), 0
-    for h in _hashes(text or b"", scheme.words):
+    for h in [shingle_set(text, scheme.words)] if scheme.distinct else _hashes(text or b"", scheme.words):
         total += len(h)
         for at in range(0, len(h), 255):  # so many ones fit a byte
             wide = _widened(h[at : at + 255], width)
@@ -146,13 +156,43 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None = None)
             root = up
 
 
+def _span(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a and b of links that join up what all of them do: no two make a ring. And the new roots."""
+    left, used = np.arange(len(a)), [np.empty(0, np.int64)]
+    while True:
+        ra, rb = root[a[left]], root[b[left]]
+        left, high = left[ra != rb], np.maximum(ra, rb)[ra != rb]
+        if not len(left):
+            return np.concatenate(used), root
+        used.append(left[np.unique(high, return_index=True)[1]])
+        root = _roots(len(root), a[used[-1]], b[used[-1]], root)
+
+
 def forest_links(shard: np.ndarray, x: np.ndarray, radius: int) -> np.ndarray:
-    """For each row the smallest row of its shard that it is linked to, directly or through others.
+    """For each row the smallest row of its shard that it is linked to, directly or through others."""
+    return forest_pairs(shard, x, radius, np.arange(len(shard)))[1]
 
+
+def forest_pairs(shard: np.ndarray, x: np.ndarray, radius: int, root: np.ndarray, tried: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Linked rows a, b (two columns) that join up every part, and for each row its part's smallest.
+
+    root: what each row is known to be in one part with (the smallest row of it); no pairs are
+    given for that. tried: a * len(shard) + b of pairs, both ways, that do not count as links.
     Rows are sorted by shard. One BK-tree per shard: all rows walk down from their shard's
     first row together; the first to reach a (node, distance) becomes that child. Then every
     row searches its tree, skipping subtrees that are wholly in its own part already.
     """
+    pairs = [np.empty((0, 2), np.int64)]
+
+    def join(some: list[tuple[np.ndarray, np.ndarray]], root: np.ndarray) -> np.ndarray:
+        a, b = (np.concatenate(c) for c in zip(*some))
+        if tried is not None and len(tried):
+            new = ~np.isin(a * len(shard) + b, tried)
+            a, b = a[new], b[new]
+        used, root = _span(a, b, root)
+        pairs.append(np.stack([a[used], b[used]], axis=1))
+        return root
+
     n, far = len(shard), 64 * x.shape[1] + 1
     first = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
     top = np.repeat(first, np.diff(np.r_[first, n]))
@@ -170,9 +210,9 @@ def forest_links(shard: np.ndarray, x: np.ndarray, radius: int) -> np.ndarray:
         stays[at] = False
         node = rest[at][which][stays]
         rest = rest[stays]
-    root = _roots(n, *(np.concatenate(c) for c in zip(*near)))
+    root = join(near, root)
     if not children:
-        return root
+        return np.concatenate(pairs), root
 
     low, high = root.copy(), root.copy()  # of each subtree; children come after their parents
     for child, parent in zip(reversed(children), reversed(parents)):
@@ -203,8 +243,8 @@ def forest_links(shard: np.ndarray, x: np.ndarray, radius: int) -> np.ndarray:
             at = child[np.repeat(lo - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())] if len(q) else at
             q = np.repeat(q, many)
         if links:
-            root = _roots(n, *(np.concatenate(c) for c in zip(*links)), root)
-    return root
+            root = join(links, root)
+    return np.concatenate(pairs), root
 
 
 def _slices(n_rows: int) -> int:
@@ -218,8 +258,8 @@ def _forest(rows: pd.DataFrame, radius: int, width: int) -> tuple[pd.DataFrame,
     return rows, forest_links(rows["shard"].to_numpy(), x, radius)
 
 
-def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
-    """a, b: rows of prints (id long, print binary) that are linked, enough to join up every component.
+def meetings(prints: DataFrame, scheme: Scheme) -> DataFrame:
+    """shard, a, b: rows of prints (id long, print binary) that a shard's search puts together; b is the part's smallest.
 
     Shards are searched on a fingerprint's first COARSE bits, all of a short one. Of a long
     one, what the coarse search puts together (with a wider radius, so that it hardly loses
@@ -252,8 +292,13 @@ def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
         return pd.DataFrame({"shard": rows["shard"].to_numpy()[together], "a": ids[together], "b": ids[root[together]]})
 
     rows = prints.mapInArrow(spread, "slice long, shard long, id long, print binary")
-    met = staged(rows.groupBy("slice").applyInPandas(meet, "shard long, a long, b long"), "shards")
-    if width == coarse:
+    return staged(rows.groupBy("slice").applyInPandas(meet, "shard long, a long, b long"), "shards")
+
+
+def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
+    """a, b: rows of prints (id long, print binary) that are linked, enough to join up every component."""
+    met, width = meetings(prints, scheme), scheme.bits // 64
+    if scheme.bits <= COARSE:
         return met.select("a", "b").distinct()
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
@@ -266,13 +311,69 @@ def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
     return sliced.groupBy("slice").applyInPandas(search, "a long, b long").distinct()
 
 
-def _placed(prints: DataFrame, scheme: Scheme, first: Column) -> DataFrame:
-    """print, first (the smallest of its rows), id, root: each distinct print and its component's."""
-    distinct = prints.groupBy("print").agg(F.min(first).alias("first"))
-    distinct = staged(distinct.withColumn("id", F.xxhash64("print", "first")), "prints")
-    pairs = links(distinct.select("id", "print"), scheme)
-    roots = components(pairs).withColumnRenamed("node", "id")
-    return distinct.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, similar: whether the shingles of sets (id, shingles: sorted hashes) are as similar as asked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            similar = []
+            for one, two in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (one, two))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                similar.append(OF * both >= SHARED * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar, pa.bool_())], ["a", "b", "similar"])
+
+    first, second = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long, similar boolean")
+
+
+def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """node, root of every row of prints (id, print) that is similar to another; texts: id, text (binary).
+
+    Shards propose links enough to join up their parts; each is checked on its texts'
+    shingles. Where one fails, its shard is searched again for links between what is still
+    apart, without the failed ones, until every shard's links have held: a link that fails
+    never hides another.
+    """
+    met, width = meetings(prints, scheme), scheme.bits // 64
+    n_slices = _slices(met.count())
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, scheme.words).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+
+    wanted = met.select(F.col("a").alias("id")).distinct()
+    once = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
+    sets = staged(once.mapInArrow(shingled, "id long, shingles binary"), "shingles")
+
+    def search(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["shard", "id"]).drop_duplicates(["shard", "id"], ignore_index=True)
+        x = np.frombuffer(b"".join(rows["print"]), np.uint64).reshape(-1, width)
+        rows["at"] = np.arange(len(rows))
+        root = rows.groupby(["shard", "root"])["at"].transform("min").to_numpy().copy()
+        failed = rows.loc[rows["tried"].notna(), ["shard", "at", "tried"]].explode("tried").astype("int64")
+        failed = failed.merge(rows[["shard", "id", "at"]], left_on=["shard", "tried"], right_on=["shard", "id"])
+        p, q = failed["at_x"].to_numpy(), failed["at_y"].to_numpy()
+        pairs, _ = forest_pairs(rows["shard"].to_numpy(), x, scheme.radius, root, np.r_[p * len(rows) + q, q * len(rows) + p])
+        ends = np.sort(rows["id"].to_numpy()[pairs], axis=1)
+        return pd.DataFrame({"shard": rows["shard"].to_numpy()[pairs[:, 0]], "a": ends[:, 0], "b": ends[:, 1]})
+
+    part = met.select(F.xxhash64("shard", "b").alias("shard"), F.col("a").alias("id")).join(prints, "id")
+    part = part.withColumn("slice", F.pmod("shard", F.lit(n_slices)))
+    now = part.withColumns({"root": F.col("id"), "tried": F.lit(None).cast("array<bigint>")})
+    checked = None
+    while True:
+        found = staged(now.groupBy("slice").applyInPandas(search, "shard long, a long, b long"), "candidates")
+        judged = staged(_similar(found.select("a", "b").distinct(), sets), "judged")
+        checked = judged if checked is None else checked.unionByName(judged)
+        roots = components(checked.where("similar").select("a", "b"))
+        failed = judged.where("NOT similar")
+        if failed.isEmpty():
+            return roots
+        again = found.join(failed, ["a", "b"], "left_semi").select("shard").distinct()
+        tried = checked.where("NOT similar").groupBy(F.col("a").alias("id")).agg(F.collect_list("b").alias("tried"))
+        now = part.join(again, "shard", "left_semi").join(roots.withColumnRenamed("node", "id"), "id", "left")
+        now = now.withColumn("root", F.coalesce("root", "id")).join(tried, "id", "left")
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -283,7 +384,11 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id"
     stay; an empty table gives no rows.
     """
     prints = staged(fingerprints(docs, scheme, key, text).select("doc_id", "print"), "prints")
-    placed = _placed(prints, scheme, F.col("doc_id"))
+    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
+    distinct = staged(distinct.withColumn("id", F.xxhash64("print", "first")), "prints")
+    pairs = links(distinct.select("id", "print"), scheme)
+    roots = components(pairs).withColumnRenamed("node", "id")
+    placed = distinct.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = placed.join(named, "root").select("print", "component_id")
     return prints.join(by_print, "print")
@@ -291,11 +396,16 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id"
 
 def one_of_each(docs: DataFrame, scheme: Scheme = SIMILAR, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs' rows, with their columns, that stand for their component: one row of each, of the
-    smallest key, nulls last. Rows are told apart by key and text, so keys need not be unique."""
-    prints = staged(fingerprints(docs, scheme, key, text), "prints")
-    placed = _placed(prints, scheme, F.struct(F.col("doc_id").isNull().alias("odd"), "doc_id", "hash"))
-    stays = placed.groupBy("root").agg(F.min("first").alias("first"))
-    stays = stays.select(F.col("first.doc_id").alias("_stays"), F.col("first.hash").alias("_text"))
+    smallest key, nulls last. Rows are told apart by key and text, so keys need not be unique.
+
+    Documents are linked if their shingles are similar as asked; those without words are alike."""
+    prints = fingerprints(docs, scheme, key, text).groupBy("hash").agg(F.min("doc_id").alias("first"), F.first("print").alias("print"))
+    prints = staged(prints.withColumnRenamed("hash", "id"), "prints")
+    texts = docs.select(F.xxhash64(text).alias("id"), F.col(text).cast("binary").alias("text"))
+    roots = similar_components(prints.select("id", "print"), texts, scheme).withColumnRenamed("node", "id")
+    placed = prints.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    stays = placed.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("odd"), "first", "id")).alias("stays"))
+    stays = stays.select(F.col("stays.first").alias("_stays"), F.col("stays.id").alias("_text"))
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("_key"), F.xxhash64(text).alias("_hash"))
     kept = rows.join(stays, F.col("_key").eqNullSafe(F.col("_stays")) & (F.col("_hash") == F.col("_text")), "left_semi")
     return kept.dropDuplicates(["_key", "_hash"]).select("row.*")
