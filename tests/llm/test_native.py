@@ -99,6 +99,20 @@ def test_mix_takes_rows(documents, clashing):
     assert by_source["b"] == 200 and by_source["a"] == pytest.approx(200, abs=2)
 
 
+def test_rows_past_the_targets_share_no_slot(documents, monkeypatch):
+    most, real = [], mixing._running
+
+    def spy(df, keys, slot, *rest):
+        if not keys:
+            most.append(df.groupBy(slot).count().agg(F.max("count")).first()[0])
+        return real(df, keys, slot, *rest)
+
+    monkeypatch.setattr(mixing, "_running", spy)
+    docs = documents(*[(n, "w " * 10, "en", "ab"[n % 2]) for n in range(2000)])
+    got = rows_of(mixing.mix(docs, n_words(F.col("text")), [3, 1], 1.5))
+    assert most[0] < 20 and len(got) == 4000 and sum(r["taken"] for r in got) == 30_000
+
+
 @pytest.mark.parametrize("same", [False, True])
 def test_mix_takes_rows_of_equal_keys_one_by_one(documents, same):
     """A third of the ids null (or one id), over both sources, with different or equal texts."""

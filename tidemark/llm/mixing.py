@@ -74,9 +74,10 @@ def mix(docs: DataFrame, size: Column, weights: list[float], share: float, passe
 
     doc_id, source, size, source_size, target, n (the document's number in its source's
     bucket), bucket, pass (0 first), start and finish (virtual), taken (words), mix_start
-    (words of the mix before it). Rows with taken 0 are not in the mix; the others, by
-    mix_start, are the mix. Equal inputs give equal mixes. Repeated rows are documents of
-    their own; null sizes count 0, null sources are one source, an empty table gives none.
+    (words of the mix before it; its budget where nothing is served). Rows with taken 0 are
+    not in the mix; the others, by mix_start, are the mix. Equal inputs give equal mixes.
+    Repeated rows are documents of their own; null sizes count 0, null sources are one
+    source, an empty table gives none.
     A column text_hash joins the key in the shuffle, so rows with equal keys stand apart; a
     column row_id (unique) is carried along as such.
     """
@@ -102,14 +103,17 @@ def mix(docs: DataFrame, size: Column, weights: list[float], share: float, passe
     served = served.withColumn("start", F.col("queued") / F.col("weight"))
     served = served.withColumn("finish", (F.col("queued") + F.col("served")) / F.col("weight"))
     slot = F.least(F.floor(F.col("finish") / F.col("level") * SLICES), F.lit(SLICES))
-    served = served.withColumn("slot", F.when(F.col("level") > 0, slot).otherwise(0))
+    # Rows that serve nothing add nothing to the sums: any slot does.
+    anywhere = F.pmod(F.xxhash64("h", "n", "pass"), F.lit(SLICES))
+    served = served.withColumn("slot", F.when(F.col("served") > 0, slot).otherwise(anywhere))
     tie = [F.col("finish"), F.col("rank"), F.col("pass"), F.col("bucket"), F.col("n")]
     ordered = _running(served.withColumnRenamed("before", "_queued"), [], "slot", tie, F.col("served"))
     total = sources.agg(F.floor(share * F.sum("total")).alias("budget")).scalar()
     taken = F.greatest(F.lit(0), F.least(F.col("served"), total - F.col("before")))
     return ordered.select(
         "doc_id", "source", "size", F.col("total").alias("source_size"), "target", "skey", "bucket", "n", "pass",
-        "start", "finish", taken.cast("long").alias("taken"), F.col("before").alias("mix_start"), *["row_id"] * bool(row_id),
+        "start", "finish", taken.cast("long").alias("taken"),
+        F.when(F.col("served") > 0, F.col("before")).otherwise(total).cast("long").alias("mix_start"), *["row_id"] * bool(row_id),
     )
 
 
