@@ -38,6 +38,8 @@ SLICE_ROWS = 100_000
 COARSE, COARSE_RADIUS = 128, 36
 #: Query-node pairs a search holds at a time.
 FRONTIER = 2_000_000
+#: Links of a row that are given at a time where all are asked for.
+AT_ONCE = 32
 #: Words of a text that are in memory as separate strings at a time.
 WORDS_AT_ONCE = 200_000
 
@@ -173,11 +175,13 @@ def forest_links(shard: np.ndarray, x: np.ndarray, radius: int) -> np.ndarray:
     return forest_pairs(shard, x, radius, np.arange(len(shard)))[1]
 
 
-def forest_pairs(shard: np.ndarray, x: np.ndarray, radius: int, root: np.ndarray, tried: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def forest_pairs(shard: np.ndarray, x: np.ndarray, radius: int, root: np.ndarray, tried: np.ndarray | None = None,
+                 every: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Linked rows a, b (two columns) that join up every part, and for each row its part's smallest.
 
     root: what each row is known to be in one part with (the smallest row of it); no pairs are
     given for that. tried: a * len(shard) + b of pairs, both ways, that do not count as links.
+    every: all links between such parts, AT_ONCE of a row at a time, and root as it was.
     Rows are sorted by shard. One BK-tree per shard: all rows walk down from their shard's
     first row together; the first to reach a (node, distance) becomes that child. Then every
     row searches its tree, skipping subtrees that are wholly in its own part already.
@@ -189,6 +193,11 @@ def forest_pairs(shard: np.ndarray, x: np.ndarray, radius: int, root: np.ndarray
         if tried is not None and len(tried):
             new = ~np.isin(a * len(shard) + b, tried)
             a, b = a[new], b[new]
+        if every:
+            apart = np.unique(np.stack([a, b], axis=1)[root[a] != root[b]], axis=0)
+            nth = np.arange(len(apart)) - np.searchsorted(apart[:, 0], apart[:, 0])
+            pairs.append(apart[nth < AT_ONCE])
+            return root
         used, root = _span(a, b, root)
         pairs.append(np.stack([a[used], b[used]], axis=1))
         return root
@@ -330,9 +339,8 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
     """node, root of every row of prints (id, print) that is similar to another; texts: id, text (binary).
 
     Shards propose links enough to join up their parts; each is checked on its texts'
-    shingles. Where one fails, its shard is searched again for links between what is still
-    apart, without the failed ones, until every shard's links have held: a link that fails
-    never hides another.
+    shingles. Where one fails, its shard is searched again for all links between what is still
+    apart, without the failed ones, until none is left: a link that fails never hides another.
     """
     met, width = meetings(prints, scheme), scheme.bits // 64
     n_slices = _slices(met.count())
@@ -346,7 +354,7 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
     once = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
     sets = staged(once.mapInArrow(shingled, "id long, shingles binary"), "shingles")
 
-    def search(rows: pd.DataFrame) -> pd.DataFrame:
+    def search(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
         rows = rows.sort_values(["shard", "id"]).drop_duplicates(["shard", "id"], ignore_index=True)
         x = np.frombuffer(b"".join(rows["print"]), np.uint64).reshape(-1, width)
         rows["at"] = np.arange(len(rows))
@@ -354,25 +362,27 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
         failed = rows.loc[rows["tried"].notna(), ["shard", "at", "tried"]].explode("tried").astype("int64")
         failed = failed.merge(rows[["shard", "id", "at"]], left_on=["shard", "tried"], right_on=["shard", "id"])
         p, q = failed["at_x"].to_numpy(), failed["at_y"].to_numpy()
-        pairs, _ = forest_pairs(rows["shard"].to_numpy(), x, scheme.radius, root, np.r_[p * len(rows) + q, q * len(rows) + p])
+        pairs, _ = forest_pairs(rows["shard"].to_numpy(), x, scheme.radius, root, np.r_[p * len(rows) + q, q * len(rows) + p], every)
         ends = np.sort(rows["id"].to_numpy()[pairs], axis=1)
-        return pd.DataFrame({"shard": rows["shard"].to_numpy()[pairs[:, 0]], "a": ends[:, 0], "b": ends[:, 1]})
+        return pd.DataFrame({"shard": rows["shard"].to_numpy()[pairs[:, 0]], "a": ends[:, 0], "b": ends[:, 1]}).drop_duplicates()
+
+    def proposed(rows: DataFrame, every: bool) -> DataFrame:
+        return staged(rows.groupBy("slice").applyInPandas(lambda r: search(r, every), "shard long, a long, b long"), "candidates")
 
     part = met.select(F.xxhash64("shard", "b").alias("shard"), F.col("a").alias("id")).join(prints, "id")
     part = part.withColumn("slice", F.pmod("shard", F.lit(n_slices)))
     now = part.withColumns({"root": F.col("id"), "tried": F.lit(None).cast("array<bigint>")})
-    checked = None
+    checked, roots = None, None
     while True:
-        found = staged(now.groupBy("slice").applyInPandas(search, "shard long, a long, b long"), "candidates")
+        found = proposed(now, checked is not None)
+        if checked is not None and found.isEmpty():
+            return roots
         judged = staged(_similar(found.select("a", "b").distinct(), sets), "judged")
+        again = found.select("shard") if checked is not None else found.join(judged.where("NOT similar"), ["a", "b"], "left_semi").select("shard")
         checked = judged if checked is None else checked.unionByName(judged)
-        roots = components(checked.where("similar").select("a", "b"))
-        failed = judged.where("NOT similar")
-        if failed.isEmpty():
-            return roots
-        again = found.join(failed, ["a", "b"], "left_semi").select("shard").distinct()
+        roots = staged(components(checked.where("similar").select("a", "b")), "components")
         tried = checked.where("NOT similar").groupBy(F.col("a").alias("id")).agg(F.collect_list("b").alias("tried"))
-        now = part.join(again, "shard", "left_semi").join(roots.withColumnRenamed("node", "id"), "id", "left")
+        now = part.join(again.distinct(), "shard", "left_semi").join(roots.withColumnRenamed("node", "id"), "id", "left")
         now = now.withColumn("root", F.coalesce("root", "id")).join(tried, "id", "left")
 
 
