@@ -14,7 +14,7 @@ from tidemark.sources.bronze import align, to_bronze
 from tidemark.specs import BRONZE, SPECS, spec
 from workload.frames import Frames
 
-from conftest import SF
+from given import SF
 
 DAY = dt.date(2001, 7, 31)
 TS = dt.datetime(2024, 2, 1)

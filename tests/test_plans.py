@@ -7,7 +7,7 @@ import pytest
 import workload.queries  # noqa: F401
 from workload.registry import QUERIES
 
-from conftest import SF
+from given import SF
 
 
 def executed(spark, name):

@@ -6,7 +6,7 @@ import workload.queries  # noqa: F401
 from workload.check import compare, duck
 from workload.registry import ORACLES, QUERIES
 
-from conftest import SF
+from given import SF
 
 
 @pytest.fixture(scope="module")
