@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger, simhash_trees, suffix_radix, token_coder, url_rules
+from tidemark.llm import (
+    byte_bpe, decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger,
+    simhash_trees, suffix_radix, token_coder, url_rules,
+)
 from tidemark.llm.common import n_words, table
 from tidemark.session import shared_folder
 
@@ -104,3 +107,14 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_radix.removed(table(spark, folder, "documents"))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
