@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    byte_bpe, decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger,
+    alignment, byte_bpe, decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger,
     simhash_trees, suffix_radix, token_coder, url_rules,
 )
 from tidemark.llm.common import n_words, table
@@ -118,3 +118,14 @@ def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.decode(encoded, ranks).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizers = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = alignment.linked(table(spark, folder, "documents"), tokenizers)
+    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return alignment.spelled(found, *tokenizers.sizes(), *columns).select(*columns, digest.alias("groups_sha256"))
