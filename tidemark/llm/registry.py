@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    alignment, byte_bpe, decontam_wand, langid_codes, license_index, mixing, quality_votes, secret_ledger,
+    alignment, byte_bpe, decontam_wand, divergence, langid_codes, license_index, mixing, quality_votes, secret_ledger,
     simhash_trees, suffix_radix, token_coder, url_rules,
 )
 from tidemark.llm.common import n_words, table
@@ -129,3 +129,43 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
     return alignment.spelled(found, *tokenizers.sizes(), *columns).select(*columns, digest.alias("groups_sha256"))
+
+
+@query
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+ORACLES["op12_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+e AS (SELECT r, lang, source, unnest(t) AS term FROM d),
+kept AS (SELECT lang, term FROM e GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM e JOIN kept USING (lang, term) GROUP BY lang, source, term),
+by_term AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+by_lang AS (SELECT lang, count(*) AS v, sum(n) AS total FROM by_term GROUP BY lang),
+g AS (SELECT lang, source FROM d GROUP BY lang, source),
+totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (totals.total + v) AS p,
+    1 + (1000000000::HUGEINT * (by_term.n + 1)) // (by_lang.total + v) AS q
+  FROM totals JOIN by_lang USING (lang) JOIN by_term USING (lang) LEFT JOIN c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT * FROM terms),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
