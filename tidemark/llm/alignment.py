@@ -2,7 +2,7 @@
 
 Both tokenizations of a text cover the same bytes. Where a token of each ends at one offset,
 the text is cut; what lies between two cuts is a group, and all its tokens are linked. The
-end offsets are two rising arrays: from a cut on, blocks of doubling length are compared at
+end offsets are two rising arrays: from a cut on, blocks of doubling length (from 4 tokens) are compared at
 the current index shift, so that a stretch of one-to-one groups is jumped in a few steps;
 where a block differs the stretch's end is found by halving. The irregular group there is
 resolved by walking both arrays to the next common end, which gives the new shift.
@@ -15,6 +15,7 @@ counts meet theirs in a join.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -32,9 +33,9 @@ from tidemark.llm.common import ship, staged
 ship(__name__)
 
 #: Words whose tokens a task remembers, the longest of them, and how many are tokenized in one call.
-MEMO, MEMO_CHARS, AT_ONCE = 600_000, 64, 2_000
+MEMO, MEMO_CHARS, AT_ONCE = 300_000, 64, 2_000
 #: Pairs that a task counts before it passes them on, and links that are spelled out at a time.
-HELD, LINKS_AT_ONCE = 2_000_000, 4_000_000
+HELD, LINKS_AT_ONCE = 1_000_000, 500_000
 #: Counts that are sent to every task, at most: 16 bytes each.
 HEAD = 1_000_000
 #: Blanks that no other white space touches: both tokenizers begin anew there.
@@ -188,7 +189,7 @@ def group_sizes(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     of_b: list[int] = []
     i = j = 0
     while i < len(a):
-        begin, step = i, 1
+        begin, step = i, 4
         while (block := a[i : i + step]) and block == b[j : j + step]:
             i += len(block)
             j += len(block)
@@ -252,14 +253,14 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.values)[offsets[0] : offsets[-1]].astype(np.int64), offsets.astype(np.int64) - offsets[0]
 
 
-def document_pairs(batch: pa.RecordBatch, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Linked ids of aligned rows: row in the batch, pair (a * n_b + b), how often. Each row's pairs are
-    distinct within one of the parts that are given; a row may go on in the next part."""
+def document_pairs(batch: pa.RecordBatch, n_a: int, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked ids of aligned rows: key (row in the batch * n_a * n_b + a * n_b + b), rising, and how often.
+    Keys are distinct within one of the parts that are given; a row may go on in the next part."""
     a, _ = _flat(batch.column("a_ids"))
     b, _ = _flat(batch.column("b_ids"))
     m, begin = _flat(batch.column("a_sizes"))
     n, _ = _flat(batch.column("b_sizes"))
-    row = np.repeat(np.arange(batch.num_rows), np.diff(begin))
+    row = np.repeat(np.arange(batch.num_rows), np.diff(begin)) * (n_a * n_b)
     at_a, at_b = np.cumsum(m) - m, np.cumsum(n) - n
     links = m * n
     upto = np.cumsum(links)
@@ -270,67 +271,60 @@ def document_pairs(batch: pa.RecordBatch, n_b: int) -> Iterator[tuple[np.ndarray
         if end <= first:
             x, of_x = np.unique(a[at_a[first] : at_a[first] + m[first]], return_counts=True)
             y, of_y = np.unique(b[at_b[first] : at_b[first] + n[first]], return_counts=True)
-            for k in range(0, len(x), max(1, LINKS_AT_ONCE // len(y))):
-                some = slice(k, k + max(1, LINKS_AT_ONCE // len(y)))
-                pair = (x[some, None] * n_b + y).ravel()
-                yield np.full(len(pair), row[first]), pair, np.outer(of_x[some], of_y).ravel()
+            step = max(1, LINKS_AT_ONCE // len(y))
+            for k in range(0, len(x), step):
+                yield (row[first] + x[k : k + step, None] * n_b + y).ravel(), np.outer(of_x[k : k + step], of_y).ravel()
             first += 1
             continue
         k = links[first:end]
         group = np.repeat(np.arange(first, end), k)
         nth = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        pair = a[at_a[group] + nth // n[group]] * n_b + b[at_b[group] + nth % n[group]]
-        order = np.lexsort((pair, row[group]))
-        r, pair = row[group][order], pair[order]
-        new = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (pair[1:] != pair[:-1])]) if len(r) else np.empty(0, np.int64)
-        yield r[new], pair[new], np.diff(np.r_[new, len(r)])
+        step = n[group]
+        keys = row[group] + a[at_a[group] + nth // step] * n_b + b[at_b[group] + nth % step]
+        yield np.unique(keys, return_counts=True)
         first = end
 
 
-def _per_document(batch: pa.RecordBatch, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all parts, rising, and the sums of what they come with."""
+    if len(parts) == 1:
+        return parts[0]
+    key, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[new], np.add.reduceat(n, new)
+
+
+def _per_document(batch: pa.RecordBatch, n_a: int, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """document_pairs, each row's pairs in one part only."""
-    held: list[tuple[np.ndarray, ...]] = []
-    for part in document_pairs(batch, n_b):
-        if held and len(part[0]) and part[0][0] != held[-1][0][-1]:
-            yield _merged(held)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for part in document_pairs(batch, n_a, n_b):
+        if held and part[0][0] // (n_a * n_b) != held[-1][0][-1] // (n_a * n_b):
+            yield _summed(held)
             held = []
-        if len(part[0]):
-            held.append(part)
+        held.append(part)
     if held:
-        yield _merged(held)
+        yield _summed(held)
 
 
-def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if len(parts) == 1:
-        return parts[0]
-    row, pair, often = (np.concatenate(c) for c in zip(*parts))
-    order = np.lexsort((pair, row))
-    row, pair, often = row[order], pair[order], often[order]
-    new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])])
-    return row[new], pair[new], np.add.reduceat(often, new)
-
-
-def pair_counts(aligned: DataFrame, n_b: int) -> DataFrame:
+def pair_counts(aligned: DataFrame, n_a: int, n_b: int) -> DataFrame:
     """pair (a * n_b + b), n: how many rows of aligned link the two ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            pair, n = (np.concatenate(c) for c in zip(*held))
-            order = np.argsort(pair, kind="stable")
-            pair, n = pair[order], n[order]
-            new = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
-            return pair[new], np.add.reduceat(n, new)
-
+        rows = 0
         for batch in batches:
-            for _, pair, _ in _per_document(batch, n_b):
-                held.append(np.unique(pair, return_counts=True))
-                if sum(len(p) for p, _ in held) > HELD:
-                    held = [summed()]
-                    if len(held[0][0]) > HELD // 2:
+            for key, _ in _per_document(batch, n_a, n_b):
+                held.append(np.unique(key % (n_a * n_b), return_counts=True))
+                rows += len(held[-1][0])
+                if rows > HELD:
+                    held = [_summed(held)]
+                    rows = len(held[0][0])
+                    if rows > HELD // 2:
                         yield pa.RecordBatch.from_arrays(list(map(pa.array, held.pop())), ["pair", "n"])
+                        rows = 0
         if held:
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, summed())), ["pair", "n"])
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, _summed(held))), ["pair", "n"])
 
     counted = aligned.select("a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(run, "pair long, n long")
     return counted.groupBy("pair").agg(F.sum("n").alias("n"))
@@ -355,11 +349,32 @@ def _arrays(df: DataFrame) -> list[np.ndarray]:
     return [np.asarray(c)[order] for c in found.columns]
 
 
-def score(aligned: DataFrame, counts: DataFrame, n_a: int, n_b: int) -> DataFrame:
-    """aligned's rows (with a unique column row) with n_links, n_best and count_sum.
+class Spelling:
+    """Groups as text: `a1,a2|b1;a3|b2`, ids in decimal."""
+
+    def __init__(self, n_a: int, n_b: int):
+        self.n_a, self.n_b = n_a, n_b
+        self.text = [b"%d%s" % (n, end) for end in (b",", b"|") for n in range(n_a)]
+        self.text += [b"%d%s" % (n, end) for end in (b",", b";") for n in range(n_b)]
+
+    def __call__(self, a: np.ndarray, b: np.ndarray, m: np.ndarray, n: np.ndarray) -> bytes:
+        """a, b: ids; m, n: how many of them each group has."""
+        ends_a, ends_b = np.cumsum(m), np.cumsum(n)
+        both = np.empty(len(a) + len(b), np.int64)
+        # An A token stands after the B tokens of the groups before its own, a B token after its group's A tokens.
+        at_a = np.arange(len(a)) + np.repeat(ends_b - n, m)
+        at_b = np.arange(len(b)) + np.repeat(ends_a, n)
+        both[at_a], both[at_b] = a, b + 2 * self.n_a
+        both[at_a[ends_a - 1]] += self.n_a
+        both[at_b[ends_b - 1]] += self.n_b
+        return b"".join(map(self.text.__getitem__, both.tolist()))[:-1]
+
+
+def report(aligned: DataFrame, counts: DataFrame, n_a: int, n_b: int) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of aligned's rows, which have a unique column row.
 
     n_best: links whose count is the highest that their A id has anywhere, ties included;
-    count_sum: the sum of the links' counts.
+    count_sum: the sum of the links' counts; groups_sha256: of the groups' Spelling, empty without tokens.
     """
     threshold = _threshold(counts)
     head = _arrays(counts.where(F.col("n") >= threshold).select("pair", "n"))
@@ -371,65 +386,45 @@ def score(aligned: DataFrame, counts: DataFrame, n_a: int, n_b: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, ns, best = sent.value
+        spelled = Spelling(n_a, n_b)
         for batch in batches:
             total, tops, links = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
-            rest: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            for row, pair, often in _per_document(batch, n_b):
-                at = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
-                known = pairs[at] == pair if len(pairs) else np.zeros(len(pair), bool)
-                n = np.where(known, ns[at], 0) if len(pairs) else np.zeros(len(pair), np.int64)
+            rest: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 4]
+            for key, often in _per_document(batch, n_a, n_b):
+                row, pair = np.divmod(key, n_a * n_b)
+                most = best[pair // n_b]
+                at = np.searchsorted(pairs, pair)
+                known = np.append(pairs, -1)[at] == pair
+                n = np.where(known, np.append(ns, 0)[at], 0)
                 np.add.at(total, row, often * n)
-                np.add.at(tops, row, often * (known & (n == best[pair // n_b])))
+                np.add.at(tops, row, often * (known & (n == most)))
                 np.add.at(links, row, often)
-                for r, p, o, most in zip(*(x[~known].tolist() for x in (row, pair, often, best[pair // n_b]))):
-                    rest[r].append({"pair": p, "often": o, "best": most})
-            columns = [*map(pa.array, (links, tops, total)), pa.array(rest, kind)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["row", "n_links", "n_best", "count_sum", "rest"])
-
-    kind = pa.list_(pa.struct([("pair", pa.int64()), ("often", pa.int64()), ("best", pa.int64())]))
-    found = aligned.select("row", "a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(
-        run, "row long, n_links long, n_best long, count_sum long, rest array<struct<pair: long, often: long, best: long>>")
-    found = staged(found, "alignment-scores")
-    rare = found.select("row", F.inline("rest")).join(counts.where(F.col("n") < threshold), "pair")
+                rest.append(tuple(c[~known] for c in (row, pair, often, most)))
+            of, *fields = (np.concatenate(c) for c in zip(*rest))
+            edges = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
+            rare = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays(list(map(pa.array, fields)), ["pair", "often", "best"]))
+            lists = [[np.asarray(v.values) for v in batch.column(c)] for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")]
+            digests = [hashlib.sha256(spelled(*ids)).hexdigest() if len(ids[0]) else "" for ids in zip(*lists)]
+            sizes = [pa.array([len(x) for x in column], pa.int64()) for column in lists[:3]]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("row", "doc_id")), *sizes, *map(pa.array, (links, tops, total)), pa.array(digests, pa.string()), rare],
+                ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare"])
+
+    found = staged(aligned.mapInArrow(
+        run, "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, "
+             "rare array<struct<pair: long, often: long, best: long>>"), "alignment-report")
+    rare = found.select("row", F.inline("rare")).join(counts.where(F.col("n") < threshold), "pair")
     added = rare.groupBy("row").agg(F.sum(F.col("often") * F.col("n")).alias("more"),
                                     F.sum(F.when(F.col("n") == F.col("best"), F.col("often")).otherwise(0)).alias("tops"))
-    whole = found.join(added, "row", "left").select(
-        "row", "n_links", (F.col("n_best") + F.coalesce("tops", F.lit(0))).alias("n_best"),
-        (F.col("count_sum") + F.coalesce("more", F.lit(0))).alias("count_sum"))
-    return aligned.join(whole, "row")
-
-
-def spelled(aligned: DataFrame, n_a: int, n_b: int, *keep: str) -> DataFrame:
-    """The kept columns, and groups (binary): `a1,a2|b1;a3|b2`, ids in decimal, empty without tokens."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = [b"%d%s" % (n, end) for end in (b",", b"|") for n in range(n_a)]
-        text += [b"%d%s" % (n, end) for end in (b",", b";") for n in range(n_b)]
-        for batch in batches:
-            groups = []
-            columns = [[np.asarray(v.values) for v in batch.column(c)] for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")]
-            for a, b, m, n in zip(*columns):
-                ends_a, ends_b = np.cumsum(m), np.cumsum(n)
-                both = np.empty(len(a) + len(b), np.int64)
-                # An A token stands after the B tokens of the groups before its own, a B token after its group's A tokens.
-                at_a = np.arange(len(a)) + np.repeat(ends_b - n, m)
-                at_b = np.arange(len(b)) + np.repeat(ends_a, n)
-                both[at_a], both[at_b] = a, b + 2 * n_a
-                both[at_a[ends_a - 1]] += n_a
-                both[at_b[ends_b - 1]] += n_b
-                groups.append(b"".join(map(text.__getitem__, both.tolist()))[:-1])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(groups, pa.binary())], [*keep, "groups"])
-
-    kinds = dict(aligned.dtypes)
-    wanted = aligned.select(*keep, "a_ids", "b_ids", "a_sizes", "b_sizes")
-    return wanted.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in keep), "groups binary"]))
+    return found.join(added, "row", "left").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", (F.col("n_best") + F.coalesce("tops", F.lit(0))).alias("n_best"),
+        (F.col("count_sum") + F.coalesce("more", F.lit(0))).alias("count_sum"), "groups_sha256")
 
 
 def linked(docs: DataFrame, tokenizers: Tokenizers, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of align with row (unique), n_a, n_b, n_groups, n_links, n_best and count_sum; see align, score.
+    """The report of docs' alignment; see align for odd rows.
 
-    The alignment is written once to the shared folder; counting and scoring read it."""
+    The alignment is written once to the shared folder; counting and reporting read it."""
     n_a, n_b = tokenizers.sizes()
     aligned = staged(align(docs, tokenizers, key, text).withColumn("row", F.monotonically_increasing_id()), "alignment")
-    counts = staged(pair_counts(aligned, n_b), "pair-counts")
-    size = lambda c: F.size(c).cast("long")
-    return score(aligned, counts, n_a, n_b).withColumns({"n_a": size("a_ids"), "n_b": size("b_ids"), "n_groups": size("a_sizes")})
+    return report(aligned, staged(pair_counts(aligned, n_a, n_b), "pair-counts"), n_a, n_b)

@@ -125,10 +125,7 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     tokenizers = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    found = alignment.linked(table(spark, folder, "documents"), tokenizers)
-    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
-    return alignment.spelled(found, *tokenizers.sizes(), *columns).select(*columns, digest.alias("groups_sha256"))
+    return alignment.linked(table(spark, folder, "documents"), tokenizers)
 
 
 @query
