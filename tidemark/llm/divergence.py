@@ -12,8 +12,9 @@ that either source has and adds the rest, which all have one value, by their num
 gives one row per pair of sources, however many terms it has. A common term is a row of its
 block per source and nothing more.
 
-A vocabulary that fits the driver's and the tasks' memory is collected there; its size is
-checked first (VOCABULARY). A larger one is counted by shuffled aggregates, with equal results.
+The fit collects its vocabulary in the driver and sends it to every task. It is used where the
+number of terms proves that no vocabulary is over VOCABULARY, as each kept term stands in MIN_DF
+documents; beyond that the same counts come from shuffled aggregates.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOWER, UPPER, ship, staged
@@ -74,11 +75,8 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def fit(documents: DataFrame) -> CountVectorizerModel | None:
-    """The vocabulary of documents (lang, terms): lang, MARK and term for each; None if it could be larger than VOCABULARY."""
-    distinct = documents.select("lang", F.explode("terms").alias("term")).agg(F.approx_count_distinct(F.xxhash64("lang", "term"), 0.02))
-    if distinct.first()[0] > VOCABULARY:
-        return None
+def fit(documents: DataFrame) -> CountVectorizerModel:
+    """The vocabulary of documents (lang, terms): lang, MARK and term for each."""
     named = documents.select(F.transform("terms", lambda t: F.concat("lang", F.lit(MARK), t)).alias("terms"))
     # An empty vocabulary is an error there: a mark that stands for no term is always in it.
     never = documents.sparkSession.range(MIN_DF).select(F.array(F.lit(MARK)).alias("terms"))
@@ -109,9 +107,9 @@ def _summed(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(run, "source string, index int, n long").groupBy("source", "index").agg(F.sum("n").alias("n"))
 
 
-def counts_by_vectors(documents: DataFrame, model: CountVectorizerModel) -> DataFrame:
+def counts_by_vectors(documents: DataFrame) -> DataFrame:
     """lang, source, term, n of every kept term that a group has."""
-    spark = documents.sparkSession
+    spark, model = documents.sparkSession, fit(documents)
     named = documents.select("source", F.transform("terms", lambda t: F.concat("lang", F.lit(MARK), t)).alias("terms"))
     summed = _summed(model.transform(named).select("source", "vector"))
     names = pa.table({"index": pa.array(range(len(model.vocabulary)), pa.int32()), "name": pa.array(model.vocabulary, pa.string())})
@@ -122,12 +120,12 @@ def counts_by_vectors(documents: DataFrame, model: CountVectorizerModel) -> Data
 
 
 def counts_by_aggregates(documents: DataFrame) -> DataFrame:
-    """The same, by shuffled aggregates."""
+    """The same, by shuffled aggregates. Totals are written before documents are counted, so that
+    the shuffled rows of one go before those of the other come."""
     each = documents.select("lang", "source", F.explode("terms").alias("term"))
-    total = each.groupBy("lang", "source", "term").agg(F.count("*").alias("n"))
-    kept = documents.select("lang", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term").agg(
-        F.count("*").alias("df")).where(F.col("df") >= MIN_DF)
-    return total.join(kept.select("lang", "term"), ["lang", "term"])
+    total = staged(each.groupBy("lang", "source", "term").agg(F.count("*").alias("n")), "divergence-sums", compression="zstd")
+    df = documents.select("lang", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("df"))
+    return total.join(df.where(F.col("df") >= MIN_DF).select("lang", "term"), ["lang", "term"], "left_semi")
 
 
 def _pairs(block: pa.Table) -> pa.Table:
@@ -179,10 +177,11 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     strings; repeated rows count each; other columns are ignored. A language with one source
     has no pairs, a group without kept terms no terms; an empty table gives no rows.
     """
-    documents = staged(with_terms(docs, text, lang, source), "divergence-terms")
-    model = fit(documents)
-    counts = counts_by_aggregates(documents) if model is None else counts_by_vectors(documents, model)
-    counts = staged(counts, "divergence-counts")
+    seen = Observation()
+    documents = with_terms(docs, text, lang, source).observe(seen, F.sum(F.size("terms")).alias("terms"))
+    documents = staged(documents, "divergence-terms", compression="zstd")
+    fits = (seen.get["terms"] or 0) <= MIN_DF * VOCABULARY
+    counts = staged((counts_by_vectors if fits else counts_by_aggregates)(documents), "divergence-counts")
     groups = documents.select("lang", "source").distinct()
     by_term = counts.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"))
     of_lang = by_term.groupBy("lang").agg(F.sum("n_lang").alias("total_lang"), F.count("*").alias("kept"))
