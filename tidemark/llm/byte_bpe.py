@@ -13,6 +13,7 @@ ones move. Decoding puts the bytes of the ids one after the other.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +54,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _new(self, token: str) -> bytes:
-        ids = np.array(self.encode(token), np.int32).tobytes()
+        ids = array("i", self.encode(token)).tobytes()
         if len(token) <= MEMO_CHARS:
             if len(self.known) >= MEMO:
                 self.known.clear()
@@ -196,7 +197,9 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: token for token, rank in read_ranks(ranks).items()}
         for batch in batches:
-            found = [b"".join(map(token.__getitem__, ids)) for ids in batch.column(1).to_pylist()]
+            offsets = np.asarray(batch.column(1).offsets).tolist()
+            parts = list(map(token.__getitem__, np.asarray(batch.column(1).values).tolist()[: offsets[-1]]))
+            found = [b"".join(parts[a:b]) for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], ["doc_id", "ids", "bytes"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
