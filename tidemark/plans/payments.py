@@ -187,6 +187,11 @@ def customer_lifetime_value(
             F.count_distinct("payment_date").alias("active_days"),
         )
     )
+    return customer_value(by_customer, customers, run_ts)
+
+
+def customer_value(by_customer: DataFrame, customers: DataFrame, run_ts) -> DataFrame:
+    """The mart from the customers' totals, however they were had."""
     people = customers.select("customer_id", "first_name", "last_name", "country", "age_band")
     refund_share = safe_ratio(
         F.lit(100.0) * F.col("total_refunds").cast("double"), F.col("total_spend").cast("double"), 0.0

@@ -185,6 +185,11 @@ def rider_lifetime_value(rides: DataFrame, payments: DataFrame, riders: DataFram
     paid = payments.groupBy("rider_id").agg(
         sum_or_zero(captured).alias("total_spend"), exact_mean(captured, 2).alias("avg_fare")
     )
+    return rider_value(rode, paid, riders)
+
+
+def rider_value(rode: DataFrame, paid: DataFrame, riders: DataFrame) -> DataFrame:
+    """The mart from the riders' totals, however they were had."""
     names = riders.select("rider_id", F.col("full_name").alias("rider_name"), "city_name", "country")
     return rode.join(paid, "rider_id", "left").join(names, "rider_id", "left").select(
         "rider_id", "rider_name", "city_name", "country", "total_rides", "completed_rides",

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.keyed import latest_per_key
+from tidemark.sinks.delta_log import MOST_BATCHES, MOST_SHARE, DeltaLog
 from tidemark.sinks.tables import overwrite_slice, upsert_table
 
 
@@ -91,3 +92,23 @@ def upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def log_stream(
+    stream: DataFrame, table: DeltaLog, checkpoint: str, most_batches: int = MOST_BATCHES, most_share: float = MOST_SHARE
+) -> StreamingQuery:
+    """The newest row per key by merge on read: a batch writes its own rows, whatever the table's size.
+
+    Batches carry the stream's numbers, so a replayed one replaces what its first attempt
+    wrote. The log is folded when it is long or large beside the base. Read with DeltaLog.read.
+    """
+    def merge(batch: DataFrame, number: int) -> None:
+        table.write(batch, number)
+        table.fold_if_large(most_batches, most_share)
+
+    return (
+        stream.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from workload.queries import chains, columns, identity, keyed, payments, rides, sensors, streams, tables  # noqa: F401
+from workload.queries import chains, columns, identity, keyed, lifetimes, payments, rides, sensors, streams, tables  # noqa: F401

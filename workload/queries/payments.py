@@ -164,10 +164,9 @@ def revenue_by_merchant(f: Frames):
     return plan.daily_revenue_by_merchant(payments(f), refunds(f), fees(f), merchants(f), RUN_TS)
 
 
-@query(
-    """customer_id full_name country age_band total_spend:n total_payments:i successful_payments:i
-    failed_payments:i total_refunds:n refund_rate_pct:n first_payment_date:d last_payment_date:d active_days:i""",
-    f"""
+CUSTOMER_VALUE = """customer_id full_name country age_band total_spend:n total_payments:i successful_payments:i
+    failed_payments:i total_refunds:n refund_rate_pct:n first_payment_date:d last_payment_date:d active_days:i"""
+CUSTOMER_VALUE_SQL = f"""
     WITH r AS (SELECT payment_id, SUM(amount) AS amount FROM {REFUNDS} GROUP BY 1),
     c AS (SELECT p.customer_id, SUM(p.amount) AS total_spend, COUNT(*) AS total_payments,
             SUM((p.status = 'completed')::INT) AS successful_payments,
@@ -180,8 +179,10 @@ def revenue_by_merchant(f: Frames):
         CASE WHEN total_spend > 0 THEN 100.0 * CAST(total_refunds AS DOUBLE) / CAST(total_spend AS DOUBLE)
             ELSE 0 END AS refund_rate_pct
     FROM c LEFT JOIN {CUSTOMERS} d ON c.customer_id = d.customer_id
-    """,
-)
+    """
+
+
+@query(CUSTOMER_VALUE, CUSTOMER_VALUE_SQL)
 def customer_lifetime_value(f: Frames):
     return plan.customer_lifetime_value(payments(f), refunds(f), customers(f), RUN_TS)
 

@@ -268,10 +268,9 @@ def driver_earnings(f: Frames):
     return plan.driver_earnings_daily(payouts(f), drivers(f), ratings(f))
 
 
-@query(
-    """rider_id rider_name city_name country total_rides:i completed_rides:i cancelled_rides:i
-    cancellation_rate_pct:n total_spend:n avg_fare:n avg_distance_km:n first_ride_date:d last_ride_date:d""",
-    f"""WITH r AS (SELECT rider_id, COUNT(*) AS total_rides, SUM(is_completed::INT) AS completed_rides,
+RIDER_VALUE = """rider_id rider_name city_name country total_rides:i completed_rides:i cancelled_rides:i
+    cancellation_rate_pct:n total_spend:n avg_fare:n avg_distance_km:n first_ride_date:d last_ride_date:d"""
+RIDER_VALUE_SQL = f"""WITH r AS (SELECT rider_id, COUNT(*) AS total_rides, SUM(is_completed::INT) AS completed_rides,
             SUM(is_cancelled::INT) AS cancelled_rides, MIN(ride_date) AS first_ride_date,
             MAX(ride_date) AS last_ride_date,
             {mean('CASE WHEN is_completed THEN distance_km END', 2, 2)} AS avg_distance_km
@@ -281,8 +280,10 @@ def driver_earnings(f: Frames):
         SELECT r.*, {pct('cancelled_rides', 'total_rides')} AS cancellation_rate_pct, total_spend, avg_fare,
             d.first_name || ' ' || d.last_name AS rider_name, c.name AS city_name, c.country
         FROM r LEFT JOIN p ON r.rider_id = p.rider_id LEFT JOIN {RIDERS} d ON r.rider_id = d.rider_id
-        LEFT JOIN {CITIES} c ON d.city_id = c.city_id""",
-)
+        LEFT JOIN {CITIES} c ON d.city_id = c.city_id"""
+
+
+@query(RIDER_VALUE, RIDER_VALUE_SQL)
 def rider_ltv(f: Frames):
     """The mart needs neither fares nor the payments' rides, so it is fed from what it uses."""
     rides, riders = plan.ride_states(staged(f, "rides")), plan.dim_rider(staged(f, "riders"), cities(f))

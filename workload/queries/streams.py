@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
+from tidemark.sinks.delta_log import DeltaLog
 from tidemark.sources import lake
 from tidemark.streaming import streams
 from workload.frames import Frames
@@ -57,6 +58,22 @@ def stream_upsert(f: Frames):
     return lake.read_table(f.spark, out)
 
 
+@query(
+    "user_id:i event_id:i ts:t event_type value:n",
+    "SELECT * FROM {events} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+)
+def stream_merge_on_read(f: Frames):
+    """Events land in eight files in no order of time and come in batches of one; the log is folded after three."""
+    spark, landed = f.spark, shared_folder(f.spark, "landing")
+    f.events.repartition(8, "event_id").write.parquet(landed)
+    users = DeltaLog(spark, shared_folder(spark, "users"), f.events.schema, ["user_id"], [F.desc("ts"), F.desc("event_id")])
+    stream = streams.file_stream(spark, landed, f.events.schema, files_per_batch=1)
+    _finish(streams.log_stream(stream, users, shared_folder(spark, "state"), most_batches=3, most_share=10))
+    last = users.read().where(F.col("user_id") % 2 == 0)
+    users.write(last, max([*users.batches(), *users.bases()]) + 1)
+    return users.read()
+
+
 @query("event_type total_rows:i", "SELECT event_type, COUNT(*) AS total_rows FROM {events} GROUP BY 1")
 def stream_land(f: Frames):
     out, state = shared_folder(f.spark, "landed"), shared_folder(f.spark, "state")
