@@ -145,19 +145,39 @@ def _same(columns: Sequence[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
+#: Partitions that are named one by one when a scan is cut to them.
+PARTS_NAMED = 2_000
+
+
 def _in_partitions(table: DataFrame, parts: DataFrame, partition: Sequence[str]) -> DataFrame:
     """Rows of the given partitions (a frame of partition values).
 
-    The scan is cut to the smallest and largest value of each column, or NULL, which
-    prunes folders at planning; a NULL-safe semi join on the values does the rest.
+    Up to PARTS_NAMED values are named, which prunes folders at planning however far apart
+    they are; of more, the scan is cut to the smallest and largest value of each column, or
+    NULL. A semi join does what is left: by equality, so that Spark can prune by its values as
+    well, and NULL-safe only for values with a NULL.
     """
-    ends = [F.min(c).alias(f"{c}_lo") for c in partition] + [F.max(c).alias(f"{c}_hi") for c in partition]
-    row = parts.agg(*ends, *[F.count_if(F.isnull(c)).alias(f"{c}_nulls") for c in partition]).first()
+    values = parts.select(*partition).distinct().limit(PARTS_NAMED + 1).collect()
+    named = len(values) <= PARTS_NAMED
     for c in partition:
-        within = F.col(c).between(F.lit(row[f"{c}_lo"]), F.lit(row[f"{c}_hi"])) if row[f"{c}_lo"] is not None else F.lit(False)
-        table = table.where(within | F.col(c).isNull() if row[f"{c}_nulls"] else within)
-    wanted = parts.select(*partition).alias("_wanted")
-    return table.alias("_table").join(wanted, _same(partition, "_table", "_wanted"), "left_semi")
+        known = {r[c] for r in values if r[c] is not None}
+        if named:
+            within = F.col(c).isin(list(known)) if known else F.lit(False)
+            nulls = any(r[c] is None for r in values)
+        else:
+            row = parts.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count_if(F.isnull(c)).alias("nulls")).first()
+            within = F.col(c).between(F.lit(row["lo"]), F.lit(row["hi"])) if row["lo"] is not None else F.lit(False)
+            nulls = row["nulls"] > 0
+        table = table.where(within | F.col(c).isNull() if nulls else within)
+    if named and len(partition) == 1:
+        return table
+    wanted = parts.select(*partition).distinct()
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in partition])
+    found = table.join(wanted.where(whole), list(partition), "left_semi").select(*table.columns)
+    if named and all(r[c] is not None for r in values for c in partition):
+        return found
+    odd = table.where(~whole).alias("_table").join(wanted.where(~whole).alias("_wanted"), _same(partition, "_table", "_wanted"), "left_semi")
+    return found.unionByName(odd)
 
 
 def _with_folder(table: DataFrame) -> DataFrame:
@@ -184,12 +204,14 @@ def upsert_table(
     partition: Sequence[str] = (),
     moves: bool = False,
     order: Sequence[Column] = (),
+    among: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Insert or replace by key, rewriting only partitions that hold or receive source keys.
 
     With moves=False the partition of a key is fixed (it is part of the key) and the
     source's partitions are all that is touched. With moves=True the old rows of a key
-    are also looked for in other partitions. With an order, a source row replaces the
+    are also looked for in other partitions: in all, or where a function of the source
+    (`among`, as of a key index) names those that can hold its keys. With an order, a source row replaces the
     table's row only if it comes first in that order. The table's columns have the
     source's types.
     """
@@ -203,7 +225,7 @@ def upsert_table(
         if not partition:
             swap_full(merge(read_table(rows.sparkSession, path), rows), path)
         else:
-            _upsert_partitions(rows, path, list(keys), list(partition), moves, merge)
+            _upsert_partitions(rows, path, list(keys), list(partition), moves, merge, among and among(rows))
 
 
 def _upsert_partitions(
@@ -213,13 +235,16 @@ def _upsert_partitions(
     partition: list[str],
     moves: bool,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
+    among: DataFrame | None = None,
 ) -> None:
+    """among: the only partitions besides the source's that can hold its keys; None if that is not known."""
     target = read_table(source.sparkSession, path, schema=source.schema)
     parts = source.select(*partition).distinct()
     if not moves:
         overwrite_slice(merge(_in_partitions(target, parts, partition), source), path, partition)
         return
-    held = target.select(*dict.fromkeys([*keys, *partition])).join(source.select(*keys), keys, "left_semi")
+    searched = target if among is None else _in_partitions(target, among, partition)
+    held = searched.select(*dict.fromkeys([*keys, *partition])).join(source.select(*keys), keys, "left_semi")
     with staged(parts.union(held.select(*partition)).distinct()) as parts, \
             staged(merge(_in_partitions(target, parts, partition), source)) as merged:
         used = merged.select(*partition).distinct().alias("_used")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import evolve, history, quality
 from tidemark.operators.keyed import latest_per_key
-from tidemark.sinks import layout, tables
+from tidemark.sinks import key_index, layout, tables
 from tidemark.session import shared_folder
 from tidemark.sources import lake
 from workload.frames import Frames
@@ -463,3 +463,21 @@ def dq_report(f: Frames):
     return quality.column_report(
         f.ride_rides, ["ride_id", "accepted_at"], {"status": ["requested", "completed"]}
     )
+
+
+# --- key index ------------------------------------------------------------------
+
+
+@query(
+    ORDER,
+    """SELECT * REPLACE (CASE WHEN o_orderkey % 50 = 0 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority,
+        o_totalprice + CASE WHEN o_orderkey % 50 = 0 THEN 2 WHEN o_orderkey % 75 = 0 THEN 1 ELSE 0 END AS o_totalprice) FROM {orders}""",
+)
+def upsert_indexed(f: Frames):
+    """Two upserts by way of a key index; the second moves rows, some of which the first has replaced."""
+    path = shared_folder(f.spark, "indexed")
+    key_index.upsert_indexed(f.orders, path, ["o_orderkey"], PRIORITY)
+    every = lambda n, more: f.orders.where(F.col("o_orderkey") % n == 0).withColumn("o_totalprice", F.col("o_totalprice") + more)
+    key_index.upsert_indexed(every(75, 1), path, ["o_orderkey"], PRIORITY)
+    key_index.upsert_indexed(every(50, 2).withColumn("o_orderpriority", F.lit("1-URGENT")), path, ["o_orderkey"], PRIORITY)
+    return lake.read_table(f.spark, path, schema=f.orders.schema)
