@@ -138,3 +138,15 @@ def test_pit_join_has_no_window_over_facts(spark):
     below = plan[plan.index("Window ["):]
     assert below.count("Aggregate [") >= 2
     assert "CartesianProduct" not in plan and "Cross" not in plan
+
+
+def test_null_key_over_three_runs(spark, rows):
+    """NULL opens, keeps and closes versions like any other key."""
+    source = lambda *states: spark.createDataFrame(list(states), "id string, v string")
+    dim = scd.open_versions(source(("1", "a"), (None, "b")), "id", ["v"], "2024-01-01", "sk")
+    for day, states in (("2024-01-02", [("1", "a"), (None, "b")]), ("2024-01-03", [("1", "a"), (None, "c")]), ("2024-01-04", [("2", "d")])):
+        dim = scd.scd2_apply(dim, source(*states), "id", ["v"], day, "sk", close_missing=day.endswith("04"))
+    got = rows(dim.selectExpr("id", "v", "date(_effective_from) || ''", "date(_effective_to) || ''", "_is_current"))
+    assert got == sorted([
+        (None, "b", "2024-01-01", "2024-01-03", False), (None, "c", "2024-01-03", "2024-01-04", False),
+        ("1", "a", "2024-01-01", "2024-01-04", False), ("2", "d", "2024-01-04", "9999-12-31", True)], key=str)

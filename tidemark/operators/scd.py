@@ -48,10 +48,10 @@ def scd2_apply(
     start = as_timestamp(effective)
     cur = dim.where("_is_current").select(F.struct(*dim.columns).alias("cur"), F.col(key).alias("_ck"))
     nxt = new.select(F.struct(*dim.columns).alias("nxt"), F.col(key).alias("_nk"))
-    pair = cur.join(nxt, F.col("_ck") == F.col("_nk"), "full")
+    pair = cur.join(nxt, F.col("_ck").eqNullSafe(F.col("_nk")), "full")
 
     closed = F.col("cur").withField("_is_current", F.lit(False)).withField("_effective_to", start)
-    is_new, is_gone = F.col("_ck").isNull(), F.col("_nk").isNull()
+    is_new, is_gone = F.col("cur").isNull(), F.col("nxt").isNull()
     changed = F.col("cur._record_hash") != F.col("nxt._record_hash")
     later = start > F.col("cur._effective_from")
     same_start = start == F.col("cur._effective_from")

@@ -7,14 +7,16 @@ that Spark's file metadata gives, on every side alike; partitions by their folde
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.history import join_counts
-from tidemark.sinks.tables import _in_partitions, staged
+from tidemark.sinks.tables import _delete, _filesystem, _in_partitions, staged
 from tidemark.sources.lake import read_table
 
 # Defaults for production tables.
@@ -160,3 +162,100 @@ def compact(
         writer = result.write.mode("overwrite").partitionBy(*partition)
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return int(files)
+
+
+# --- small files only -----------------------------------------------------------
+
+#: Files that one round of pack_small_files names to the scan.
+FILES_AT_ONCE = 10_000
+
+
+def bins(files: DataFrame, target_bytes: int = TARGET_FILE_BYTES, min_input_files: int = 2) -> DataFrame:
+    """partition, bin, file_path, file_bytes: whole small files packed into bins of about the target size.
+
+    Files of half the target or more are left alone. A partition's small files are taken by
+    size, largest first, and cut into bins where their running size passes the target, so a
+    bin is under one and a half targets. Bins of fewer than min_input_files are not made.
+    """
+    small = files.where(F.col("file_bytes") < target_bytes / 2)
+    before = Window.partitionBy("partition").orderBy(F.desc("file_bytes"), "file_path").rowsBetween(Window.unboundedPreceding, -1)
+    running = F.coalesce(F.sum("file_bytes").over(before), F.lit(0))
+    packed = small.withColumn("bin", F.floor(running / F.lit(target_bytes)).cast("long"))
+    count = F.count(F.lit(1)).over(Window.partitionBy("partition", "bin"))
+    return packed.withColumn("n", count).where(F.col("n") >= min_input_files).select("partition", "bin", "file_path", "file_bytes")
+
+
+def _path(spark: SparkSession, uri: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(uri))
+
+
+def _pending(spark: SparkSession, path: str) -> list[str]:
+    """Folders of packings that were planned and not finished."""
+    fs, p = _filesystem(spark, path)
+    start = f"{p.getName()}.packed-"
+    found = [f.getPath() for f in fs.listStatus(p.getParent()) if f.getPath().getName().startswith(start)]
+    return [f.toString() for f in found]
+
+
+def finish_packing(spark: SparkSession, path: str) -> None:
+    """Puts right a packing that died: one whose files were all written is carried through, another is dropped."""
+    for folder in _pending(spark, path):
+        fs, done = _filesystem(spark, f"{folder}/old/_SUCCESS")
+        if fs.exists(done):
+            _put_in_place(spark, path, folder)
+        else:
+            _delete(spark, folder)
+
+
+def _put_in_place(spark: SparkSession, path: str, folder: str) -> None:
+    """Old files go before new ones come in, so that no row is there twice; every step can be repeated."""
+    fs, _ = _filesystem(spark, path)
+    for row in spark.read.parquet(f"{folder}/old").toLocalIterator():
+        fs.delete(_path(spark, row["file_path"]), False)
+    root = fs.makeQualified(_filesystem(spark, f"{folder}/new")[1]).toString()
+    names = spark._jvm.org.apache.hadoop.fs.Path
+    for row in list_files(spark, f"{folder}/new").select("file_path").toLocalIterator():
+        new = _path(spark, row["file_path"])
+        to = names(f"{path}{fs.makeQualified(new).toString().removeprefix(root)}")
+        fs.mkdirs(to.getParent())
+        fs.rename(new, to)
+    _delete(spark, folder)
+
+
+def pack_small_files(
+    spark: SparkSession, path: str, partition: Sequence[str], target_bytes: int = TARGET_FILE_BYTES,
+    min_input_files: int = 2, schema: T.StructType | None = None,
+) -> int:
+    """Writes each bin of small files as one file; larger files are neither read nor moved. Returns the number of bins.
+
+    New files are written beside the table, then the list of old ones; from then on the packing is
+    carried through, if need be by the next call (finish_packing). Between the two the table lacks
+    rows: nothing else may read or write it meanwhile.
+    """
+    finish_packing(spark, path)
+    schema = schema or read_table(spark, path).schema
+    made = 0
+    with staged(bins(list_files(spark, path), target_bytes, min_input_files)) as plan:
+        number = Window.orderBy("partition", "bin")  # over a row per bin
+        numbered = plan.groupBy("partition", "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("slot", F.row_number().over(number) - 1)
+        upto = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+        rounds = numbered.withColumn("round", F.floor(F.coalesce(F.sum("n").over(upto), F.lit(0)) / FILES_AT_ONCE))
+        with staged(plan.join(rounds.select("partition", "bin", "slot", "round"), ["partition", "bin"])) as chosen:
+            for (n,) in chosen.select("round").distinct().orderBy("round").collect():
+                made += _pack(spark, path, partition, chosen.where(F.col("round") == n), schema)
+    return made
+
+
+def _pack(spark: SparkSession, path: str, partition: Sequence[str], chosen: DataFrame, schema: T.StructType) -> int:
+    folder = f"{path.rstrip('/')}.packed-{uuid.uuid4().hex}"
+    names = [_path(spark, r["file_path"]).toString() for r in chosen.select("file_path").collect()]  # FILES_AT_ONCE and a bin at most
+    ends = chosen.agg(F.min("slot"), F.max("slot")).first()
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*names)
+    slots = chosen.select("file_path", (F.col("slot") - ends[0]).cast("int").alias("_slot"))
+    placed = rows.select("*", F.col("_metadata.file_path").alias("file_path")).join(slots, "file_path")
+    n_bins = ends[1] - ends[0] + 1
+    one_each = placed.repartitionById(n_bins, F.col("_slot")).select(*schema.names)
+    one_each.write.partitionBy(*partition).parquet(f"{folder}/new")
+    chosen.select("file_path").write.parquet(f"{folder}/old")
+    _put_in_place(spark, path, folder)
+    return n_bins

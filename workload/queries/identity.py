@@ -230,6 +230,22 @@ def scd2_incremental(f: Frames):
     return _plain_versions(read_table(f.spark, path))
 
 
+def _without(user: str) -> str:
+    return f"(SELECT * REPLACE (NULLIF(user_nk, '{user}') AS user_nk) FROM ({RUN_STATES}))"
+
+
+@query(VERSION_COLUMNS.replace("user_sk ", ""), f"SELECT * FROM {VERSIONS.replace(STATES, _without('7'))}")
+def scd2_null_key(f: Frames):
+    """The same runs where a user has no key: NULL closes and opens versions like any other key."""
+    path = shared_folder(f.spark, "dim_user")
+    states = daily_states(f)
+    for day in RUN_DAYS:
+        known = states.where(F.col("day") <= F.lit(day))
+        src = latest_per_key(known, ["user_nk"], [F.desc("day")]).drop("day")
+        scd2_table(src.withColumn("user_nk", F.nullif("user_nk", F.lit("7"))), path, "user_nk", HISTORY_TRACKED, str(day), "user_sk")
+    return _plain_versions(read_table(f.spark, path))
+
+
 @query(
     """attempt_id:i user_sk date_key:i auth_method_sk attempted_at:t is_success:i is_mfa_challenged:i failure_reason
     attempt_date:d""",

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import evolve, history, quality
 from tidemark.operators.keyed import latest_per_key
-from tidemark.sinks import key_index, layout, tables
+from tidemark.sinks import file_stats as skipping
+from tidemark.sinks import key_index, layout, positions, tables
 from tidemark.session import shared_folder
 from tidemark.sources import lake
 from workload.frames import Frames
@@ -481,3 +484,55 @@ def upsert_indexed(f: Frames):
     key_index.upsert_indexed(every(75, 1), path, ["o_orderkey"], PRIORITY)
     key_index.upsert_indexed(every(50, 2).withColumn("o_orderpriority", F.lit("1-URGENT")), path, ["o_orderkey"], PRIORITY)
     return lake.read_table(f.spark, path, schema=f.orders.schema)
+
+
+# --- positions, file statistics, small files ------------------------------------
+
+
+@query(
+    ORDER,
+    "SELECT * FROM {orders} WHERE NOT (o_orderkey % 1000 = 0 OR o_totalprice < 2000 OR o_orderkey % 1000 = 1 AND o_orderpriority = '5-LOW')",
+)
+def delete_positions(f: Frames):
+    """Two deletes by position with a fold between them; only the fold rewrites partitions."""
+    path = _written(f, f.orders, PRIORITY)
+    positions.delete_by_position(f.spark, path, (F.col("o_orderkey") % 1000 == 0) | (F.col("o_totalprice") < 2000))
+    positions.fold_deletes(f.spark, path, PRIORITY, schema=f.orders.schema)
+    positions.delete_by_position(f.spark, path, (F.col("o_orderkey") % 1000 == 1) & (F.col("o_orderpriority") == "5-LOW"))
+    return positions.read_live(f.spark, path, schema=f.orders.schema)
+
+
+@query(
+    "event_id:i ts:t user_id:i files_left_out:b",
+    """SELECT event_id, ts, user_id, TRUE AS files_left_out FROM {events}
+        WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'""",
+)
+def scan_day_by_files(f: Frames):
+    """A day of a table without partitions, written in twelve files by time: files without rows of the day are not opened."""
+    path = shared_folder(f.spark, "events")
+    f.events.repartitionByRange(12, "ts").write.parquet(path)
+    skipping.refresh_stats(f.spark, path, ["ts", "user_id"])
+    day = {"ts": (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 10, 23, 59, 59, 999999))}
+    left_out = layout.list_files(f.spark, path).count() - skipping.files_within(f.spark, path, day).count()
+    found = skipping.scan_within(f.spark, path, day)
+    return found.select("event_id", "ts", "user_id", F.lit(left_out >= 8).alias("files_left_out"))
+
+
+@query(
+    "partition rows:i files_before:i files_after:i",
+    """SELECT 'l_returnflag=' || l_returnflag AS partition, COUNT(*) AS rows, 13 AS files_before, 2 AS files_after
+        FROM {lineitem} GROUP BY l_returnflag""",
+)
+def pack_small_files(f: Frames):
+    """A large file and twelve small ones per partition: the small ones become one, the large one stays."""
+    path = shared_folder(f.spark, "lineitem")
+    tenth = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(10)) == 0
+    f.lineitem.where(~tenth).repartition(1).write.partitionBy("l_returnflag").parquet(path)
+    f.lineitem.where(tenth).repartition(12).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    before = layout.list_files(f.spark, path).groupBy("partition").agg(
+        F.count(F.lit(1)).alias("files_before"), F.max("file_bytes").alias("large"))
+    before = f.spark.createDataFrame(before.collect(), before.schema)
+    target = 2 * before.agg(F.min("large")).first()[0]
+    layout.pack_small_files(f.spark, path, ["l_returnflag"], target)
+    after = layout.file_summary(f.spark, path).select("partition", F.col("file_count").alias("files_after"), F.col("total_rows").alias("rows"))
+    return after.join(before, "partition").select("partition", "rows", "files_before", "files_after")
