@@ -52,7 +52,7 @@ def terms(text: Column) -> Column:
     """The terms of a text, in order, with A to Z in lower case and everything else as it is."""
     plain = F.octet_length(text) == F.char_length(text)
     lower = F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.filter(F.split(lower, NOT_TERM), lambda t: t != "")
+    return F.array_remove(F.split(lower, NOT_TERM), "")
 
 
 def with_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
