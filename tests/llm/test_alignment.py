@@ -5,8 +5,8 @@ from collections import Counter, defaultdict
 from functools import cache
 from itertools import accumulate
 
+import numpy as np
 import public_tokenizers
-import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -87,7 +87,7 @@ def test_rare_pairs_meet_their_counts(documents, monkeypatch):
 
 def test_ids_without_the_fast_encoder(monkeypatch):
     fast = alignment.Tokens(BOTH.a, BOTH.b)
-    monkeypatch.setattr(alignment.Tokens, "_ranked", lambda *_: None)
+    monkeypatch.setattr(alignment.Tokens, "_ranked", staticmethod(lambda spec: None))
     slow = alignment.Tokens(BOTH.a, BOTH.b)
     plain = lambda t: [(a.tolist(), b.tolist()) for a, b in t.ids(ODD)]
     assert plain(fast) == plain(slow)
@@ -122,8 +122,8 @@ def test_links_in_parts(at_once, monkeypatch):
     groups = [[([1, 2, 1], [3, 3]), ([1], [3])], [], [([2], [4])] * 3, [([5, 6], [7, 8, 7])]]
     lists = [[[x for a, _ in g for x in a] for g in groups], [[y for _, b in g for y in b] for g in groups],
              [[len(a) for a, _ in g] for g in groups], [[len(b) for _, b in g] for g in groups]]
-    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int32())) for c in lists], ["a_ids", "b_ids", "a_sizes", "b_sizes"])
-    got = [(k // 100, k % 100, n) for part in alignment._per_document(batch, 10, 10) for k, n in zip(*(c.tolist() for c in part))]
+    lists = [[np.array(x, np.int64) for x in column] for column in lists]
+    got = [(k // 100, k % 100, n) for part in alignment._per_document(lists, 10, 10) for k, n in zip(*(c.tolist() for c in part))]
     want = [(r, p, n) for r, g in enumerate(groups) for p, n in sorted(Counter(10 * x + y for a, b in g for x in a for y in b).items())]
     assert got == want
 
@@ -140,3 +140,11 @@ def test_query_over_a_table(spark):
     got = {r["doc_id"]: r for r in registry.QUERIES["op11_alignment"](spark, SF).collect()}
     want = expected([r["text"] for r in docs])
     assert {n: tuple(r)[1:] for n, r in got.items()} == {r["doc_id"]: w for r, w in zip(docs, want)}
+
+
+def test_groups_as_arrays(documents):
+    rows = alignment.align(documents((1, "un common words"), (2, None)), BOTH).collect()
+    for r, text in zip(sorted(rows), ("un common words", None)):
+        groups = by_hand(text)
+        assert [r["a_ids"], r["b_ids"]] == [[x for a, _ in groups for x in a], [y for _, b in groups for y in b]]
+        assert [r["a_sizes"], r["b_sizes"]] == [[len(a) for a, _ in groups], [len(b) for _, b in groups]]

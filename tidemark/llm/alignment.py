@@ -19,6 +19,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -32,8 +33,8 @@ from tidemark.llm.common import ship, staged
 
 ship(__name__)
 
-#: Words whose tokens a task remembers, the longest of them, and how many are tokenized in one call.
-MEMO, MEMO_CHARS, AT_ONCE = 300_000, 64, 2_000
+#: Words whose tokens a task remembers, the longest of them, and texts that are cut into words at a time.
+MEMO, MEMO_CHARS, TEXTS_AT_ONCE = 300_000, 64, 250
 #: Pairs that a task counts before it passes them on, and links that are spelled out at a time.
 HELD, LINKS_AT_ONCE = 1_000_000, 500_000
 #: Counts that are sent to every task, at most: 16 bytes each.
@@ -44,7 +45,7 @@ DOUBLE = re.compile(r"\s | \s")
 #: The pattern of byte-level tokenizers files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
+LISTS = ["a_ids", "b_ids", "a_sizes", "b_sizes"]
 
 
 @dataclass(frozen=True)
@@ -64,37 +65,45 @@ class Tokenizers:
 
 
 class Tokens:
-    """Ids of a space and a text by A and B, remembered word by word.
+    """Ids of a space and a text by A and B. B's are remembered word by word.
 
-    A word here begins with a single blank. A's pattern takes a blank with the word after it;
-    B has no piece with a blank after another character, so no merge goes across one either.
+    A word here begins with a single blank: B has no piece with a blank after another
+    character, so no merge goes across one.
     """
 
     def __init__(self, a: str, b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(a), SentencePieceProcessor(model_file=b)
-        self.a.encode_special_tokens = True
-        size = self.a.get_vocab_size()
-        self.a_bytes = [_byte_level(self.a.id_to_token(n) or "") for n in range(size)]
+        with open(a, encoding="utf-8") as file:
+            spec = json.load(file)
+        vocabulary = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.b = SentencePieceProcessor(model_file=b)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, n in vocabulary.items():
+            self.a_bytes[n] = _byte_level(token)
         self.b_bytes = [_piece(self.b.id_to_piece(n)) for n in range(self.b.get_piece_size())]
         self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
-        self.known_a: dict[str, bytes] = {}
-        self.known_b: dict[str, bytes] = {}
-        #: Known words whose bytes one of the tokenizers does not give back.
+        self.encode_a = self._ranked(spec) or self._plain(a)
+        self.known: dict[str, bytes] = {}
+        #: Known words whose bytes B does not give back.
         self.odd: set[str] = set()
-        self.encode_a = self._ranked(a) or (lambda text: self.a.encode(text, add_special_tokens=False).ids)
 
-    def _ranked(self, path: str):
+    @staticmethod
+    def _plain(path: str):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+
+    @staticmethod
+    def _ranked(spec: dict):
         """An encoder with the file's ids as ranks, which is much faster and the same where ids follow the merges' order
         after those of the bytes; None where they do not, or the file asks for more than byte-level BPE."""
         from tiktoken import Encoding
 
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
         model, before = spec["model"], spec["pre_tokenizer"] or {}
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         plain = model["type"] == "BPE" and before.get("type") == "ByteLevel" and before["use_regex"] and not (
@@ -102,54 +111,45 @@ class Tokens:
         if not plain or any(model["vocab"].get(x + y) != 256 + n for n, (x, y) in enumerate(merges)):
             return None
         ranks = {_byte_level(token): n for token, n in model["vocab"].items() if n < 256 + len(merges)}
-        return Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-    def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of a space and text; None where the tokens' bytes are others."""
-        a = self.encode_a(" " + text)
-        b = self.b.encode(text)
-        whole = (" " + text).encode()
-        if b"".join([self.a_bytes[n] for n in a]) != whole or b"".join([self.b_bytes[n] for n in b]) != whole:
-            return None
-        return np.array(a, np.int32), np.array(b, np.int32)
+        encode = Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return lambda text: np.array(encode(text), np.int32)
 
     def _learn(self, words: list[str]) -> None:
-        """Remembers words' ids, from one call for all of them where that covers their bytes and none
-        of them has white space at an end, as a text's first and last ones can."""
-        found = None if any(w[:1].isspace() or w[-1:].isspace() or not w for w in words) else self._encode(" ".join(words))
-        if found is None:
-            for w in words:
-                ids = self._encode(w)
-                self.known_a[w], self.known_b[w] = (i.tobytes() for i in ids or (_NONE, _NONE))
-                if ids is None:
-                    self.odd.add(w)
-            return
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        for known, sizes, ids in zip((self.known_a, self.known_b), (self.a_sizes, self.b_sizes), found):
-            cuts = (4 * np.searchsorted(np.cumsum(sizes[ids]), ends, "right")).tolist()
-            raw = ids.tobytes()
-            known.update(zip(words, [raw[x:y] for x, y in zip([0, *cuts], cuts)]))
+        """Remembers words' ids by B."""
+        of = self.b_bytes
+        for w, ids in zip(words, self.b.encode(words)):
+            if b"".join([of[n] for n in ids]) != b" " + w.encode():
+                self.odd.add(w)
+            self.known[w] = array("i", ids).tobytes()
+
+    def _of_b(self, text: str, words: list[str]) -> np.ndarray | None:
+        """Ids by B; None where their bytes are not the text's. Bytes that are wrong in a word can be right in the whole."""
+        if self.odd.isdisjoint(words):
+            return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
+        ids = self.b.encode(text)
+        return np.array(ids, np.int32) if b"".join([self.b_bytes[n] for n in ids]) == (" " + text).encode() else None
 
     def ids(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids by A and by B of each text, none where the bytes of one of them are not the text's."""
-        split = [_words(t or "") for t in texts]
-        every = set(chain.from_iterable(split))
-        if len(self.known_a) + len(every - self.known_a.keys()) > MEMO:
-            self.known_a, self.known_b, self.odd = {}, {}, set()
-        new = sorted(every - self.known_a.keys(), key=lambda w: w[:1].isspace() or w[-1:].isspace())
-        for at in range(0, len(new), AT_ONCE):
-            self._learn(new[at : at + AT_ONCE])
-        for text, words in zip(texts, split):
-            if not text:
-                yield _NONE, _NONE
-            elif self.odd and not self.odd.isdisjoint(words):  # bytes that are wrong in a word can be right in the whole
-                yield self._encode(text) or (_NONE, _NONE)
-            else:
-                a, b = (b"".join(map(known.__getitem__, words)) for known in (self.known_a, self.known_b))
-                yield np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)
-        for w in new:
-            if len(w) > MEMO_CHARS:
-                del self.known_a[w], self.known_b[w]
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            some = texts[at : at + TEXTS_AT_ONCE]
+            split = [_words(t or "") for t in some]
+            every = set(chain.from_iterable(split))
+            if len(self.known) + len(every) > MEMO:
+                self.known, self.odd = {}, set()
+            new = list(every - self.known.keys())
+            self._learn(new)
+            for text, words in zip(some, split):
+                b = self._of_b(text, words) if text else None
+                if b is None:
+                    yield _NONE, _NONE
+                    continue
+                a = self.encode_a(" " + text)
+                # Byte-level tokens are the text's bytes unless the vocabulary lacks some.
+                yield (a, b) if self.a_sizes[a].sum() == self.b_sizes[b].sum() else (_NONE, _NONE)
+            for w in new:
+                if len(w) > MEMO_CHARS:
+                    del self.known[w]
 
 
 _NONE = np.empty(0, np.int32)
@@ -226,8 +226,17 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
-def align(docs: DataFrame, tokenizers: Tokenizers, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, a_ids, b_ids, a_sizes, b_sizes (tokens of each group) of every row of docs.
+def _packed(parts: list[np.ndarray]) -> pa.Array:
+    """Each list's integers as the bytes of unsigned 32-bit ones: Spark moves and stores them unseen."""
+    return pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary())
+
+
+def _unpacked(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), "<u4").astype(np.int64) for v in column]
+
+
+def align(docs: DataFrame, tokenizers: Tokenizers, key: str = "doc_id", text: str = "text", packed: bool = False) -> DataFrame:
+    """doc_id, a_ids, b_ids, a_sizes, b_sizes (tokens of each group) of every row of docs, as arrays or packed.
 
     Null and empty texts, and texts whose bytes one of the tokenizers does not give back, have
     no tokens. Null keys and repeated rows stay, other columns are ignored; an empty table
@@ -238,29 +247,22 @@ def align(docs: DataFrame, tokenizers: Tokenizers, key: str = "doc_id", text: st
         for batch in batches:
             a_ids, b_ids, a_sizes, b_sizes = [], [], [], []
             for a, b in tokens.ids(batch.column(1).to_pylist()):
-                found = group_sizes(np.cumsum(tokens.a_sizes[a]).tolist(), np.cumsum(tokens.b_sizes[b]).tolist())
-                for column, value in zip((a_ids, b_ids, a_sizes, b_sizes), (a, b, *(np.array(f, np.int32) for f in found))):
+                m, n = group_sizes(np.cumsum(tokens.a_sizes[a]).tolist(), np.cumsum(tokens.b_sizes[b]).tolist())
+                for column, value in zip((a_ids, b_ids, a_sizes, b_sizes), (a, b, np.array(m, np.int32), np.array(n, np.int32))):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(_lists, (a_ids, b_ids, a_sizes, b_sizes))],
-                                             ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
-
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, ALIGNED)
-
+            columns = map(_packed if packed else _lists, (a_ids, b_ids, a_sizes, b_sizes))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *LISTS])
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a list column, and where each row's begin."""
-    offsets = np.asarray(column.offsets)
-    return np.asarray(column.values)[offsets[0] : offsets[-1]].astype(np.int64), offsets.astype(np.int64) - offsets[0]
+    kind = "binary" if packed else "array<int>"
+    wanted = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return wanted.mapInArrow(run, ", ".join(["doc_id long", *(f"{c} {kind}" for c in LISTS)]))
 
 
-def document_pairs(batch: pa.RecordBatch, n_a: int, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked ids of aligned rows: key (row in the batch * n_a * n_b + a * n_b + b), rising, and how often.
+def document_pairs(lists: list[list[np.ndarray]], n_a: int, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked ids of aligned rows (their a_ids, b_ids, a_sizes, b_sizes): key (row in the batch * n_a * n_b + a * n_b + b), rising, and how often.
     Keys are distinct within one of the parts that are given; a row may go on in the next part."""
-    a, _ = _flat(batch.column("a_ids"))
-    b, _ = _flat(batch.column("b_ids"))
-    m, begin = _flat(batch.column("a_sizes"))
-    n, _ = _flat(batch.column("b_sizes"))
-    row = np.repeat(np.arange(batch.num_rows), np.diff(begin)) * (n_a * n_b)
+    a, b, m, n = (np.concatenate([np.empty(0, np.int64), *column]) for column in lists)
+    row = np.repeat(np.arange(len(lists[2])), [len(x) for x in lists[2]]) * (n_a * n_b)
     at_a, at_b = np.cumsum(m) - m, np.cumsum(n) - n
     links = m * n
     upto = np.cumsum(links)
@@ -296,10 +298,10 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return key[new], np.add.reduceat(n, new)
 
 
-def _per_document(batch: pa.RecordBatch, n_a: int, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _per_document(lists: list[list[np.ndarray]], n_a: int, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """document_pairs, each row's pairs in one part only."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    for part in document_pairs(batch, n_a, n_b):
+    for part in document_pairs(lists, n_a, n_b):
         if held and part[0][0] // (n_a * n_b) != held[-1][0][-1] // (n_a * n_b):
             yield _summed(held)
             held = []
@@ -309,12 +311,12 @@ def _per_document(batch: pa.RecordBatch, n_a: int, n_b: int) -> Iterator[tuple[n
 
 
 def pair_counts(aligned: DataFrame, n_a: int, n_b: int) -> DataFrame:
-    """pair (a * n_b + b), n: how many rows of aligned link the two ids."""
+    """pair (a * n_b + b), n: how many rows of aligned (packed) link the two ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         rows = 0
         for batch in batches:
-            for key, _ in _per_document(batch, n_a, n_b):
+            for key, _ in _per_document([_unpacked(c) for c in batch.columns], n_a, n_b):
                 held.append(np.unique(key % (n_a * n_b), return_counts=True))
                 rows += len(held[-1][0])
                 if rows > HELD:
@@ -326,7 +328,7 @@ def pair_counts(aligned: DataFrame, n_a: int, n_b: int) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays(list(map(pa.array, _summed(held))), ["pair", "n"])
 
-    counted = aligned.select("a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(run, "pair long, n long")
+    counted = aligned.select(*LISTS).mapInArrow(run, "pair long, n long")
     return counted.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -371,7 +373,7 @@ class Spelling:
 
 
 def report(aligned: DataFrame, counts: DataFrame, n_a: int, n_b: int) -> DataFrame:
-    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of aligned's rows, which have a unique column row.
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of aligned's rows (packed), which have a unique column row.
 
     n_best: links whose count is the highest that their A id has anywhere, ties included;
     count_sum: the sum of the links' counts; groups_sha256: of the groups' Spelling, empty without tokens.
@@ -390,7 +392,8 @@ def report(aligned: DataFrame, counts: DataFrame, n_a: int, n_b: int) -> DataFra
         for batch in batches:
             total, tops, links = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             rest: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 4]
-            for key, often in _per_document(batch, n_a, n_b):
+            lists = [_unpacked(batch.column(c)) for c in LISTS]
+            for key, often in _per_document(lists, n_a, n_b):
                 row, pair = np.divmod(key, n_a * n_b)
                 most = best[pair // n_b]
                 at = np.searchsorted(pairs, pair)
@@ -403,7 +406,6 @@ def report(aligned: DataFrame, counts: DataFrame, n_a: int, n_b: int) -> DataFra
             of, *fields = (np.concatenate(c) for c in zip(*rest))
             edges = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
             rare = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays(list(map(pa.array, fields)), ["pair", "often", "best"]))
-            lists = [[np.asarray(v.values) for v in batch.column(c)] for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")]
             digests = [hashlib.sha256(spelled(*ids)).hexdigest() if len(ids[0]) else "" for ids in zip(*lists)]
             sizes = [pa.array([len(x) for x in column], pa.int64()) for column in lists[:3]]
             yield pa.RecordBatch.from_arrays(
@@ -426,5 +428,6 @@ def linked(docs: DataFrame, tokenizers: Tokenizers, key: str = "doc_id", text: s
 
     The alignment is written once to the shared folder; counting and reporting read it."""
     n_a, n_b = tokenizers.sizes()
-    aligned = staged(align(docs, tokenizers, key, text).withColumn("row", F.monotonically_increasing_id()), "alignment")
+    aligned = align(docs, tokenizers, key, text, packed=True).withColumn("row", F.monotonically_increasing_id())
+    aligned = staged(aligned, "alignment", compression="zstd")
     return report(aligned, staged(pair_counts(aligned, n_a, n_b), "pair-counts"), n_a, n_b)
