@@ -4,8 +4,9 @@
 
 A job reads its inputs from <root>/<domain>_<layer>/<table>, builds its plan and writes
 with the mode of its table contract. Running a silver or gold job again for the same day
-leaves the tables as they are; so does landing a snapshot. Landing an incremental table or
-payloads twice appends twice: silver keeps the latest row per key.
+leaves the tables as they are; so does landing a snapshot, and landing anything again under the
+same run id, which also finishes a run that died. Another run id, or none, appends again:
+silver keeps the latest row per key.
 """
 
 from __future__ import annotations
@@ -22,12 +23,17 @@ from tidemark.functions.columns import as_date, as_timestamp
 from tidemark.plans import identity, payments, rides, sensors
 from tidemark.session import build_session
 from tidemark.sinks import tables
+from tidemark.sinks.journal import load_run
 from tidemark.sources import lake, payloads
 from tidemark.sources.bronze import align, to_bronze
 from tidemark.sources.jdbc import jdbc_read
 from tidemark.specs import TableSpec, spec
 
 
+#: Runs without an id of their own cannot be told from their repetitions.
+NO_RUN_ID = "manual"
+
+
 @dataclass(frozen=True)
 class Run:
     """One job run: where, which day, and the run's own time stamp and id."""
@@ -36,7 +42,7 @@ class Run:
     root: str
     day: dt.date
     run_ts: dt.datetime
-    run_id: str = "manual"
+    run_id: str = NO_RUN_ID
 
     def path(self, domain: str, layer: str, table: str) -> str:
         return lake.table_path(self.root, domain, layer, table)
@@ -245,7 +251,15 @@ def land_rows(run: Run, table: str, domain: str, rows: DataFrame) -> int:
     path, partition = run.path(domain, "bronze", table), list(contract.partition)
     if contract.mode == "snapshot":
         return tables.overwrite_slice_checked(bronze, path, partition)
-    return tables.counted(bronze, lambda df: tables.append(df, path, partition))
+    return _append(run, domain, table, bronze, partition)
+
+
+def _append(run: Run, domain: str, table: str, rows: DataFrame, partition: list[str]) -> int:
+    """Appends a run's rows, once for each run id."""
+    path = run.path(domain, "bronze", table)
+    if run.run_id == NO_RUN_ID:
+        return tables.counted(rows, lambda df: tables.append(df, path, partition))
+    return load_run(rows, path, partition, f"{run.root.rstrip('/')}/_loads", f"{domain}.{table}", str(run.day), run.run_id)
 
 
 def land_table(
@@ -271,8 +285,7 @@ def land_payloads(run: Run, domain: str, documents: DataFrame) -> int:
         case _:
             raise ValueError(f"{domain} has no payload source")
     contract = spec(domain, "bronze", table)
-    path, partition = run.path(domain, "bronze", table), list(contract.partition)
-    return tables.counted(align(rows, contract.schema), lambda df: tables.append(df, path, partition))
+    return _append(run, domain, table, align(rows, contract.schema), list(contract.partition))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -282,7 +295,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--layer", required=True, choices=["bronze", "silver", "gold"])
     parser.add_argument("--table", required=True)
     parser.add_argument("--date", required=True, type=dt.date.fromisoformat, help="logical day")
-    parser.add_argument("--run-id", default="manual")
+    parser.add_argument("--run-id", default=NO_RUN_ID)
     parser.add_argument("--payloads", help="folder of landed JSON documents, one per file")
     parser.add_argument("--url", help="JDBC URL of the source database")
     parser.add_argument("--property", action="append", default=[], help="JDBC property key=value")
