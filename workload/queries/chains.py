@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import jobs
@@ -41,6 +43,65 @@ def land_sessions(f: Frames):
     return run.read("auth", "bronze", "sessions_raw").withColumn("landed", F.lit(landed))
 
 
+#: The view that stands for the source of each contract.
+SOURCES = {
+    "payments": {"merchants": "pay_merchants", "customers": "pay_customers", "methods": "pay_methods", "payments": "pay_payments",
+                 "refunds": "pay_refunds", "fees": "pay_fees", "settlements": "pay_settlements"},
+    "rideon": {"cities": "ride_cities", "vehicle_categories": "ride_categories", "riders": "ride_riders", "drivers": "ride_drivers",
+               "vehicles": "ride_vehicles", "rides": "ride_rides", "fares": "ride_fares", "ride_payments": "ride_payments",
+               "ratings": "ride_ratings", "driver_payouts": "ride_payouts"},
+    "auth": {"users": "auth_users", "credentials": "auth_credentials", "user_profiles": "auth_profiles", "roles": "auth_roles",
+             "permissions": "auth_permissions", "role_permissions": "auth_role_permissions", "user_roles": "auth_user_roles",
+             "sessions": "auth_sessions", "login_attempts": "auth_attempts", "oauth_accounts": "auth_oauth", "mfa_devices": "auth_devices",
+             "password_reset_tokens": "auth_tokens", "audit_log": "auth_audit"},
+}
+LANDED = "table_name rows:i keys:i key_chars:i day:d source payloads:i"
+
+
+def _bronze_name(domain: str, table: str) -> str:
+    return f"{table}_raw" if domain == "auth" else f"{domain}_{table}_raw"
+
+
+def _landed_sql(domain: str) -> str:
+    def one(table: str, view: str) -> str:
+        contract = spec(domain, "bronze", _bronze_name(domain, table))
+        key = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in contract.keys)
+        return (f"SELECT '{contract.name}' AS table_name, COUNT(*) AS rows, COUNT(DISTINCT {key}) AS keys, SUM(LENGTH({key})) AS key_chars, "
+                f"DATE '{DAYS[0]}' AS day, '{contract.source_name}' AS source, COUNT(*) AS payloads FROM {{{view}}}")
+
+    return " UNION ALL ".join(one(*x) for x in SOURCES[domain].items())
+
+
+def _land_all(f: Frames, domain: str):
+    """Every contract of a domain lands twice under one run id, and is there once."""
+    run, found = _run(f, shared_folder(f.spark, "lake"), DAYS[0]), []
+    for table, view in SOURCES[domain].items():
+        contract = spec(domain, "bronze", _bronze_name(domain, table))
+        for _ in range(2):
+            _land(run, domain, contract.name, getattr(f, view))
+        key = F.concat_ws("/", *contract.keys)
+        found.append(run.read(domain, "bronze", contract.name).agg(
+            F.lit(contract.name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"),
+            F.sum(F.length(key)).alias("key_chars"), F.max("logical_date").alias("day"), F.max("source").alias("source"),
+            F.count("raw_payload").alias("payloads")))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(LANDED, _landed_sql("payments"))
+def land_payments(f: Frames):
+    return _land_all(f, "payments")
+
+
+@query(LANDED, _landed_sql("rideon"))
+def land_rides(f: Frames):
+    return _land_all(f, "rideon")
+
+
+@query(LANDED, _landed_sql("auth"))
+def land_identity(f: Frames):
+    return _land_all(f, "auth")
+
+
 @query(
     "session_id user_id auth_method day:d user_sk",
     """SELECT session_id, user_id, upper(trim(auth_method)) AS auth_method, CASE WHEN CAST(right(session_id, 1) AS INT) % 2 = 0

@@ -288,6 +288,23 @@ VIEWS = {
             DATE '2024-01-30' AS logical_date
         FROM {customer}
     """,
+    "auth_credentials": """
+        SELECT 'c' || CAST(event_id AS STRING) AS credential_id, CAST(user_id AS STRING) AS user_id, 'hash' AS password_hash,
+            'argon2' AS algo, ts AS password_changed_at, event_id % 10 = 0 AS must_reset FROM {events}
+    """,
+    "auth_profiles": """
+        SELECT CAST(c_custkey AS STRING) AS user_id, c_name AS full_name, '555-' || CAST(c_custkey AS STRING) AS phone, 'en' AS locale,
+            'UTC' AS timezone, CAST(NULL AS STRING) AS avatar_url, DATE '1980-01-01' AS date_of_birth,
+            TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM {customer}
+    """,
+    "auth_tokens": """
+        SELECT 't' || CAST(event_id AS STRING) AS token_id, CAST(user_id AS STRING) AS user_id, 'hash' AS token_hash, ts AS created_at,
+            ts + INTERVAL '1' HOUR AS expires_at, CASE WHEN event_id % 2 = 0 THEN ts END AS used_at FROM {events}
+    """,
+    "auth_audit": """
+        SELECT event_id AS audit_id, CAST(user_id AS STRING) AS user_id, event_type, ts AS event_at, '10.0.0.1' AS ip_address,
+            CAST(NULL AS STRING) AS detail FROM {events}
+    """,
     # --- sensors and markets ------------------------------------------------
     "weather_bronze": """
         SELECT city, 40.4 AS lat, 49.9 AS lon, observation_ts,
