@@ -33,10 +33,10 @@ from tidemark.llm.common import ship, staged
 
 ship(__name__)
 
-#: Words whose tokens a task remembers, the longest of them, and texts that are cut into words at a time.
-MEMO, MEMO_CHARS, TEXTS_AT_ONCE = 300_000, 64, 250
+#: Words whose tokens a task remembers, the longest of them, and rows that it holds unpacked.
+MEMO, MEMO_CHARS, ROWS_AT_ONCE = 200_000, 64, 250
 #: Pairs that a task counts before it passes them on, and links that are spelled out at a time.
-HELD, LINKS_AT_ONCE = 1_000_000, 500_000
+HELD, LINKS_AT_ONCE = 500_000, 250_000
 #: Counts that are sent to every task, at most: 16 bytes each.
 HEAD = 1_000_000
 #: Blanks that no other white space touches: both tokenizers begin anew there.
@@ -131,8 +131,8 @@ class Tokens:
 
     def ids(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids by A and by B of each text, none where the bytes of one of them are not the text's."""
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            some = texts[at : at + TEXTS_AT_ONCE]
+        for at in range(0, len(texts), ROWS_AT_ONCE):
+            some = texts[at : at + ROWS_AT_ONCE]
             split = [_words(t or "") for t in some]
             every = set(chain.from_iterable(split))
             if len(self.known) + len(every) > MEMO:
@@ -220,6 +220,12 @@ def group_sizes(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     return of_a, of_b
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ROWS_AT_ONCE rows."""
+    for batch in batches:
+        yield from (batch.slice(at, ROWS_AT_ONCE) for at in range(0, batch.num_rows, ROWS_AT_ONCE))
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, parts)])
     values = np.concatenate([np.empty(0, np.int32), *parts]).astype(np.int32, copy=False)
@@ -244,7 +250,7 @@ def align(docs: DataFrame, tokenizers: Tokenizers, key: str = "doc_id", text: st
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokenizers.load()
-        for batch in batches:
+        for batch in _few(batches):
             a_ids, b_ids, a_sizes, b_sizes = [], [], [], []
             for a, b in tokens.ids(batch.column(1).to_pylist()):
                 m, n = group_sizes(np.cumsum(tokens.a_sizes[a]).tolist(), np.cumsum(tokens.b_sizes[b]).tolist())
@@ -315,7 +321,7 @@ def pair_counts(aligned: DataFrame, n_a: int, n_b: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         rows = 0
-        for batch in batches:
+        for batch in _few(batches):
             for key, _ in _per_document([_unpacked(c) for c in batch.columns], n_a, n_b):
                 held.append(np.unique(key % (n_a * n_b), return_counts=True))
                 rows += len(held[-1][0])
@@ -389,16 +395,17 @@ def report(aligned: DataFrame, counts: DataFrame, n_a: int, n_b: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, ns, best = sent.value
         spelled = Spelling(n_a, n_b)
-        for batch in batches:
+        pairs, ns = np.append(pairs, -1), np.append(ns, 0)  # a place for pairs beyond the last one
+        for batch in _few(batches):
             total, tops, links = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             rest: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 4]
             lists = [_unpacked(batch.column(c)) for c in LISTS]
             for key, often in _per_document(lists, n_a, n_b):
                 row, pair = np.divmod(key, n_a * n_b)
                 most = best[pair // n_b]
-                at = np.searchsorted(pairs, pair)
-                known = np.append(pairs, -1)[at] == pair
-                n = np.where(known, np.append(ns, 0)[at], 0)
+                at = np.searchsorted(pairs[:-1], pair)
+                known = pairs[at] == pair
+                n = np.where(known, ns[at], 0)
                 np.add.at(total, row, often * n)
                 np.add.at(tops, row, often * (known & (n == most)))
                 np.add.at(links, row, often)
