@@ -34,7 +34,7 @@ from tidemark.llm.common import ship, staged
 ship(__name__)
 
 #: Words whose tokens a task remembers, the longest of them, and rows that it holds unpacked.
-MEMO, MEMO_CHARS, ROWS_AT_ONCE = 200_000, 64, 250
+MEMO, MEMO_CHARS, ROWS_AT_ONCE = 300_000, 64, 250
 #: Pairs that a task counts before it passes them on, and links that are spelled out at a time.
 HELD, LINKS_AT_ONCE = 500_000, 250_000
 #: Counts that are sent to every task, at most: 16 bytes each.
@@ -124,7 +124,7 @@ class Tokens:
 
     def _of_b(self, text: str, words: list[str]) -> np.ndarray | None:
         """Ids by B; None where their bytes are not the text's. Bytes that are wrong in a word can be right in the whole."""
-        if self.odd.isdisjoint(words):
+        if not self.odd or self.odd.isdisjoint(words):
             return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
         ids = self.b.encode(text)
         return np.array(ids, np.int32) if b"".join([self.b_bytes[n] for n in ids]) == (" " + text).encode() else None
@@ -183,11 +183,10 @@ def _piece(piece: str) -> bytes:
     return piece.replace("▁", " ").encode()
 
 
-def group_sizes(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+def group_sizes(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of A and of B in each group, in order; a, b: end offsets of their tokens, with the same last one."""
-    of_a: list[int] = []
-    of_b: list[int] = []
-    i = j = 0
+    i = j = groups = 0
+    irregular: list[tuple[int, int, int]] = []  # group, tokens of A, tokens of B
     while i < len(a):
         begin, step = i, 4
         while (block := a[i : i + step]) and block == b[j : j + step]:
@@ -199,11 +198,9 @@ def group_sizes(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
             if (block := a[i : i + step]) and block == b[j : j + step]:
                 i += len(block)
                 j += len(block)
-        if i > begin:
-            of_a += [1] * (i - begin)
-            of_b += [1] * (i - begin)
-            if i == len(a):
-                break
+        groups += i - begin
+        if i == len(a):
+            break
         first, other = i, j
         x, y = a[i], b[j]
         while x != y:
@@ -215,9 +212,13 @@ def group_sizes(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
                 y = b[j]
         i += 1
         j += 1
-        of_a.append(i - first)
-        of_b.append(j - other)
-    return of_a, of_b
+        irregular.append((groups, i - first, j - other))
+        groups += 1
+    sizes = np.ones((2, groups), np.int32)
+    if irregular:
+        at, m, n = zip(*irregular)
+        sizes[0, at], sizes[1, at] = m, n
+    return sizes[0], sizes[1]
 
 
 def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +255,7 @@ def align(docs: DataFrame, tokenizers: Tokenizers, key: str = "doc_id", text: st
             a_ids, b_ids, a_sizes, b_sizes = [], [], [], []
             for a, b in tokens.ids(batch.column(1).to_pylist()):
                 m, n = group_sizes(np.cumsum(tokens.a_sizes[a]).tolist(), np.cumsum(tokens.b_sizes[b]).tolist())
-                for column, value in zip((a_ids, b_ids, a_sizes, b_sizes), (a, b, np.array(m, np.int32), np.array(n, np.int32))):
+                for column, value in zip((a_ids, b_ids, a_sizes, b_sizes), (a, b, m, n)):
                     column.append(value)
             columns = map(_packed if packed else _lists, (a_ids, b_ids, a_sizes, b_sizes))
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *LISTS])
