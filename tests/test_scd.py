@@ -150,3 +150,37 @@ def test_null_key_over_three_runs(spark, rows):
     assert got == sorted([
         (None, "b", "2024-01-01", "2024-01-03", False), (None, "c", "2024-01-03", "2024-01-04", False),
         ("1", "a", "2024-01-01", "2024-01-04", False), ("2", "d", "2024-01-04", "9999-12-31", True)], key=str)
+
+
+@LAX
+@given(states=STATES, seed=st.integers(0, 99))
+def test_days_in_any_order_equal_rebuild(spark, states, seed):
+    """NULL stands for one of the keys."""
+    schema = "day date, " + SRC
+    rows = [(day(d), None if k == "u3" else k, a, f"{d}") for (d, k), a in states.items()]
+    rebuilt = scd.scd2_rebuild(spark.createDataFrame(rows, schema), "nk", ["a"], "day")
+    days = sorted({r[0] for r in rows})
+    random.Random(seed).shuffle(days)
+    dim, known = None, []
+    for on in days:
+        src = [r[1:] for r in rows if r[0] == on]
+        before = spark.createDataFrame(known, schema)
+        late = start(spark, src, on) if dim is None else scd.scd2_splice(
+            dim, before, spark.createDataFrame(src, SRC), "nk", ["a"], "day", on)
+        dim = spark.createDataFrame(late.collect(), late.schema)
+        known += [r for r in rows if r[0] == on]
+    assert sorted(map(str, dim.collect())) == sorted(map(str, rebuilt.select(*dim.columns).collect()))
+
+
+def test_late_day_repeated_with_other_values(spark):
+    schema = "day date, " + SRC
+    rows = [(day(1), "u1", "x", "n"), (day(5), "u1", "x", "n"), (day(9), "u1", "z", "n")]
+    dim = scd.scd2_rebuild(spark.createDataFrame(rows, schema), "nk", ["a"], "day")
+    known = spark.createDataFrame(rows, schema)
+    for a in ("y", "w", "x"):
+        dim = scd.scd2_splice(dim, known, spark.createDataFrame([("u1", a, "n")], SRC), "nk", ["a"], "day", day(3))
+        dim = spark.createDataFrame(dim.collect(), dim.schema)
+        known = spark.createDataFrame([*rows, (day(3), "u1", a, "n")], schema)
+        middle = [] if a == "x" else [("u1", a, ts(3), ts(5), False), ("u1", "x", ts(5), ts(9), False)]
+        first = ("u1", "x", ts(1), ts(9) if a == "x" else ts(3), False)
+        assert history(dim) == sorted([first, *middle, ("u1", "z", ts(9), END, True)], key=str)

@@ -93,6 +93,57 @@ def scd2_rebuild(
     )
 
 
+def scd2_splice(
+    dim: DataFrame,
+    states: DataFrame,
+    src: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    day: str,
+    effective: dt.date | str,
+    sk: str = "sk",
+) -> DataFrame:
+    """The dimension after the source states of a day that may lie inside its closed history.
+
+    states: the dated states (day and src's columns, one per key and day) that dim was made of;
+    those of the day itself are replaced by src. A late state opens a version where it differs
+    from the state before it, and the state after it opens one where that differs from the late
+    one; versions of the key that touch the time between are cut or taken out, all others
+    stay as they are. Days applied in any order, each once its states are known to the next, equal
+    scd2_rebuild. A NULL key is a key; src has one row per key; versions of dim have no gaps.
+
+    A key's group holds at most three versions and two new ones; its states meet in a partial
+    aggregate of the nearest on either side.
+    """
+    start, on = as_timestamp(effective), F.lit(effective).cast("date")
+    late = src.select(F.col(key).alias("_k"), F.struct(*src.columns).alias("_new"), record_hash(tracked).alias("_new_hash"))
+    others = states.where(F.col(day) != on).withColumn("_hash", record_hash(tracked))
+    others = others.join(late.select("_k"), F.col(key).eqNullSafe(F.col("_k")), "left_semi")
+    around = others.groupBy(F.col(key).alias("_ak")).agg(
+        F.max_by("_hash", F.when(F.col(day) < on, F.col(day))).alias("_before"),
+        F.min_by(F.struct(day, *src.columns), F.when(F.col(day) > on, F.col(day))).alias("_next"),
+        F.min_by("_hash", F.when(F.col(day) > on, F.col(day))).alias("_next_hash"),
+    )
+    placed = late.join(around, F.col("_k").eqNullSafe(F.col("_ak")), "left")
+    opens = placed.where("_before IS NULL OR _before <> _new_hash").select("_new.*")
+    reopens = placed.where("_next_hash <> _new_hash").select("_next.*")
+    new = open_versions(opens, key, tracked, effective, sk).select(*dim.columns).unionByName(
+        open_versions(reopens, key, tracked, F.col(day).cast("timestamp"), sk).select(*dim.columns))
+
+    until = F.coalesce(F.col(f"_next.{day}").cast("timestamp"), F.lit(OPEN_END).cast("timestamp"))
+    spans = placed.select("_k", until.alias("_until"), F.lit(True).alias("_late"))
+    pair = dim.join(spans, F.col(key).eqNullSafe(F.col("_k")), "left")
+    touched = F.coalesce(F.col("_late") & (F.col("_effective_from") <= F.col("_until")) & (F.col("_effective_to") >= start), F.lit(False))
+    pair = pair.withColumn("_touched", touched)
+    pieces = pair.where("_touched").select(*dim.columns, (F.col("_effective_from") >= start).alias("_gone")).unionByName(
+        new.withColumns({"_gone": F.lit(False), "_effective_to": F.lit(None).cast("timestamp")}))
+    pieces = pieces.withColumn("_end", F.max("_effective_to").over(Window.partitionBy(key))).where("NOT _gone")
+    following = F.lead("_effective_from").over(Window.partitionBy(key).orderBy("_effective_from"))
+    pieces = pieces.withColumn("_effective_to", F.coalesce(following, "_end", F.lit(OPEN_END).cast("timestamp")))
+    pieces = pieces.withColumn("_is_current", F.col("_effective_to") == F.lit(OPEN_END).cast("timestamp"))
+    return pair.where("NOT _touched").select(*dim.columns).unionByName(pieces.select(*dim.columns))
+
+
 def pit_join_direct(
     fact: DataFrame,
     dim: DataFrame,

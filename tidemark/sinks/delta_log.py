@@ -29,6 +29,23 @@ from tidemark.sinks.tables import _balanced, _delete, _filesystem
 MOST_BATCHES, MOST_SHARE = 50, 0.25
 
 
+def committed(spark: SparkSession, folder: str, column: str) -> list[int]:
+    """Numbers N of the committed folders column=N, rising."""
+    fs, root = _filesystem(spark, folder)
+    if not fs.exists(root):
+        return []
+    found = [(re.fullmatch(rf"{column}=(\d+)", s.getPath().getName()), s.getPath()) for s in fs.listStatus(root)]
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(m[1]) for m, p in found if m and fs.exists(marker(p, "_SUCCESS")))
+
+
+def matching(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows joined to other's keys, NULL as a key like any other; how: left_semi or left_anti."""
+    other = other.select(*keys).alias("_other")
+    same = reduce(lambda a, b: a & b, [F.col(f"_rows.{k}").eqNullSafe(F.col(f"_other.{k}")) for k in keys])
+    return rows.alias("_rows").join(other, same, how)
+
+
 @dataclass(frozen=True)
 class DeltaLog:
     """keys: NULL is a key like any other. order: which of a key's rows counts, the newest batch where it is
@@ -42,13 +59,7 @@ class DeltaLog:
     partition: Sequence[str] = ()
 
     def _committed(self, kind: str, column: str) -> list[int]:
-        """Numbers of the committed folders, rising."""
-        fs, folder = _filesystem(self.spark, f"{self.path}/{kind}")
-        if not fs.exists(folder):
-            return []
-        found = [(re.fullmatch(rf"{column}=(\d+)", s.getPath().getName()), s.getPath()) for s in fs.listStatus(folder)]
-        marker = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(int(m[1]) for m, p in found if m and fs.exists(marker(p, "_SUCCESS")))
+        return committed(self.spark, f"{self.path}/{kind}", column)
 
     def bases(self) -> list[int]:
         return self._committed("base", "_upto")
@@ -103,14 +114,9 @@ class DeltaLog:
         if not numbers:
             return base.select(*names)
         if self.order:  # a batch may hold a row that is older than the base's
-            held = self._matching(base, newest, "left_semi").withColumn("_batch", F.lit(-1).cast("long"))
+            held = matching(base, newest, self.keys, "left_semi").withColumn("_batch", F.lit(-1).cast("long"))
             newest = latest_per_key(newest.unionByName(held), self.keys, [*self.order, F.desc("_batch")])
-        return self._matching(base, log, "left_anti").select(*names).unionByName(newest.select(*names))
-
-    def _matching(self, rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
-        other = other.select(*self.keys).alias("_other")
-        same = reduce(lambda a, b: a & b, [F.col(f"_rows.{k}").eqNullSafe(F.col(f"_other.{k}")) for k in self.keys])
-        return rows.alias("_rows").join(other, same, how)
+        return matching(base, log, self.keys, "left_anti").select(*names).unionByName(newest.select(*names))
 
     def fold(self) -> bool:
         """Writes the table as a new base; False if the log is empty. Repeating a fold that died is safe."""

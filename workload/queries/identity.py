@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import scd
 from tidemark.operators.keyed import latest_per_key
 from tidemark.plans import identity as plan
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, written_once
 from tidemark.sinks.tables import scd2_table
 from tidemark.sources.lake import read_table
 from workload.frames import RUN_TS, Frames
@@ -246,6 +246,22 @@ def scd2_null_key(f: Frames):
     return _plain_versions(read_table(f.spark, path))
 
 
+LATE_DAYS = [dt.date(2024, 1, n) for n in (17, 5, 6, 23)]
+
+
+@query(VERSION_COLUMNS, f"SELECT * FROM {VERSIONS}")
+def scd2_late_days(f: Frames):
+    """Days that come after all others, in no order, are spliced into the closed history."""
+    states = written_once(daily_states(f), "states")
+    known = states.where(~F.col("day").isin(LATE_DAYS))
+    dim = scd.scd2_rebuild(known, "user_nk", HISTORY_TRACKED, "day", "user_sk")
+    for day in LATE_DAYS:
+        src = states.where(F.col("day") == F.lit(day))
+        dim = written_once(scd.scd2_splice(dim, known, src.drop("day"), "user_nk", HISTORY_TRACKED, "day", day, "user_sk"), "dim_user")
+        known = known.unionByName(src)
+    return _plain_versions(dim)
+
+
 @query(
     """attempt_id:i user_sk date_key:i auth_method_sk attempted_at:t is_success:i is_mfa_challenged:i failure_reason
     attempt_date:d""",

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import evolve, history, quality
 from tidemark.operators.keyed import latest_per_key
 from tidemark.sinks import file_stats as skipping
-from tidemark.sinks import key_index, layout, positions, tables
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, written_once
+from tidemark.sinks import checksum_tree, key_index, layout, positions, tables
+from tidemark.sinks.version_store import VersionStore
 from tidemark.sources import lake
 from workload.frames import Frames
 from workload.queries import keyed as keyed_queries
@@ -221,6 +222,41 @@ def as_of(f: Frames):
     return history.as_of(log_of(f), ["o_custkey"], 4)
 
 
+def _stored(f: Frames, upto: int) -> VersionStore:
+    """The log's versions 1 to 7 by commits, with a full state at every third."""
+    log = written_once(log_of(f), "log")
+    schema = log.drop("version", "op").schema
+    store = VersionStore(f.spark, shared_folder(f.spark, "versions"), schema, ["o_custkey"], every=3)
+    for version in range(1, upto + 1):
+        store.commit(log.where(F.col("version") == version), version)
+    return store
+
+
+@query(STATE, f"SELECT * FROM {_state(4)}")
+def as_of_stored(f: Frames):
+    """A stored version: its newest full state and the changes after it."""
+    return _stored(f, 5).read(4)
+
+
+@query("o_custkey:i o_orderkey:i o_totalprice:n", f"SELECT * FROM {_state(1)}")
+def rollback_stored(f: Frames):
+    store = _stored(f, 4)
+    store.rollback(1, 5)
+    return store.read(5)
+
+
+@query(
+    "o_custkey:i change",
+    f"""SELECT COALESCE(a.o_custkey, b.o_custkey) AS o_custkey, CASE WHEN a.o_custkey IS NULL THEN 'added'
+        WHEN b.o_custkey IS NULL THEN 'removed' ELSE 'changed' END AS change
+        FROM {_state(2)} a FULL JOIN {_state(4)} b ON a.o_custkey = b.o_custkey
+        WHERE a.o_totalprice IS DISTINCT FROM b.o_totalprice""",
+)
+def diff_stored(f: Frames):
+    """Only keys that the log names between the two versions take part."""
+    return _stored(f, 4).diff(2, 4, ["o_totalprice"])
+
+
 @query(STATE, f"SELECT * FROM {_state(3)}")
 def tag_read(f: Frames):
     tags = commits_of(f).select(
@@ -468,6 +504,24 @@ def dq_report(f: Frames):
     )
 
 
+@query(
+    "o_orderkey:i change",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 1 THEN 'removed' ELSE 'changed' END AS change FROM {orders}
+        WHERE o_orderkey % 1000 IN (1, 2) UNION ALL
+        SELECT -o_orderkey, 'added' FROM {orders} WHERE o_orderkey % 1000 = 3""",
+)
+def changed_keys(f: Frames):
+    """Keys that differ between a table and its rewritten copy, by trees of checksums."""
+    last = F.col("o_orderkey") % 1000
+    price = F.when(last == 2, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    after = f.orders.where(last != 1).withColumn("o_totalprice", price)
+    after = after.unionByName(f.orders.where(last == 3).withColumn("o_orderkey", -F.col("o_orderkey")))
+    paths = [shared_folder(f.spark, name) for name in ("before", "after")]
+    for df, path in zip((f.orders, after), paths):
+        checksum_tree.write(df, ["o_orderkey"], path, folder_bits=4)
+    return checksum_tree.changed_keys(f.spark, *paths, ["o_orderkey"], folder_bits=4)
+
+
 # --- key index ------------------------------------------------------------------
 
 
