@@ -88,7 +88,9 @@ def mix(docs: DataFrame, size: Column, weights: list[float], share: float, passe
     sources = doc.groupBy("skey").agg(F.first("source").alias("source"), F.sum("size").alias("total"), F.count("*").alias("rows"))
     plan = targets(rank_weights(sources, weights), share, passes).select("skey", "rank", "weight", "total", "rows", "target", "level")
 
-    doc = doc.join(plan, "skey")
+    # By an expression, so that the rows do not count as dealt by skey: the windows below deal them by
+    # (skey, bucket), and a large source is many tasks.
+    doc = doc.join(plan.withColumnRenamed("skey", "_plan"), F.concat("skey", F.lit("")) == F.col("_plan")).drop("_plan")
     unit = F.col("h").cast("double") / 2.0**64 + 0.5
     doc = doc.withColumn("bucket", F.floor(unit * F.ceil(F.col("rows") / F.lit(BUCKET_ROWS))))
     order = [F.col(c) for c in ("h", "doc_id", "size", *["row_id"] * bool(row_id))]
