@@ -2,11 +2,11 @@
 
 Templates are short licence notices. Of each template's words the rarest in the corpus
 (highest IDF, from document counts over all documents) go into the index with their
-positions. A file looks up only these words: each hit puts a template at an offset, and
+positions, so many that the others weigh less than a match must: every match is looked up. A file looks up only these words: each hit puts a template at an offset, and
 equal offsets from several hits fall together. A placed template is then compared word
 by word, weighted by IDF, and must hold one of its mandatory phrases at its place.
 
-The index has INDEX_WORDS words per template, so its size does not depend on the data;
+The index holds words of the templates only, so its size does not depend on the data;
 matching is an expression per row, without a shuffle. Only the word counts are aggregated.
 """
 
@@ -35,7 +35,7 @@ TEMPLATES = [
 ]
 #: Base phrases and their labels; fixed values of the contract.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-INDEX_WORDS = 3
+#: Share of a template's weight that a placed one must have.
 MIN_COVERAGE = 0.8
 WORD_BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -75,8 +75,15 @@ def index(spark: SparkSession, weights: DataFrame, templates=TEMPLATES) -> DataF
         t["label"].alias("label"), t["words"].alias("words"), t["phrases"].alias("phrases"),
         F.transform(t["words"], lambda w: F.element_at("weights", w)).alias("idf"),
     ))
-    rarest = lambda t: F.slice(F.sort_array(F.transform(t["words"], lambda w, i: F.struct(
-        (-F.get(t["idf"], i)).alias("order"), i.alias("place"), w.alias("word")))), 1, INDEX_WORDS)
+
+    def rarest(t: Column) -> Column:
+        """The rarest words, until the others together weigh less than MIN_COVERAGE of all."""
+        by_idf = F.sort_array(F.transform(t["words"], lambda w, i: F.struct(
+            (-F.get(t["idf"], i)).alias("order"), i.alias("place"), w.alias("word"))))
+        weigh = lambda ws: F.aggregate(ws, F.lit(0.0), lambda a, x: a - x["order"])
+        return let(by_idf, lambda ws: F.filter(
+            ws, lambda _, i: weigh(F.slice(ws, i + 1, F.size(ws))) >= MIN_COVERAGE * weigh(ws) - 1e-9))
+
     postings = lambda ts: F.flatten(F.transform(ts, lambda t, n: F.transform(rarest(t), lambda x: F.struct(
         x["word"].alias("word"), n.alias("n"), x["place"].alias("place")))))
     built = listed.select(weighed.alias("templates")).withColumn("postings", postings(F.col("templates")))
