@@ -11,7 +11,8 @@ question's and of the answer's word shingles must stand in the text around the p
 
 No pair above the threshold is lost: bounds are never below scores. The index of one shard
 of items holds SHARD_WORDS words at most and is what is broadcast; more items are more
-shards, each a pass over the documents.
+shards, each a pass over the documents. Weights, mean length and passage size are those of
+all items, counted once, so results do not depend on shards.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import ship, staged
 
 ship(__name__)
 
@@ -77,11 +78,29 @@ def shingles(words: list[str], n: int = SHINGLE) -> set[tuple]:
     return set(zip(*[words[k:] for k in range(n)]))
 
 
+@dataclass
+class Totals:
+    """Of all items with words: their number, mean and largest number of words; items per word, for a shard's words."""
+
+    items: int
+    mean: float
+    longest: int
+    seen: dict[str, int]
+
+
+def totals_of(items: list[tuple[int, str]]) -> Totals:
+    lists = [words for words in (item_words(t) for _, t in items) if words]
+    return Totals(len(lists), sum(map(len, lists)) / max(len(lists), 1), max(map(len, lists), default=1),
+                  Counter(w for words in lists for w in set(words)))
+
+
 @dataclass
 class Index:
-    """Of a shard of items (id, text). Items without words are left out: nothing can hold them."""
+    """Of a shard of items (id, text). Items without words are left out: nothing can hold them.
+    totals: of all items, where there are more shards."""
 
     items: list[tuple[int, str]]
+    totals: Totals | None = None
     ids: list[int] = field(default_factory=list)
 
     def __post_init__(self):
@@ -89,15 +108,14 @@ class Index:
         self.ids = [i for i, _ in self.items]
         lists = [item_words(t) for _, t in self.items]
         self.term = {w: n for n, w in enumerate(sorted({w for words in lists for w in words}))}
-        self.longest = max(map(len, lists), default=1)
-        seen = Counter(w for words in lists for w in set(words))
-        mean = sum(map(len, lists)) / max(len(lists), 1)
+        totals = self.totals or totals_of(self.items)
+        self.longest = totals.longest
         self.postings: list[list[tuple[int, float]]] = [[] for _ in self.term]
         for n, words in enumerate(lists):
             weight = {}
             for w, tf in Counter(words).items():
-                idf = math.log(1 + (len(lists) - seen[w] + 0.5) / (seen[w] + 0.5))
-                weight[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
+                idf = math.log(1 + (totals.items - totals.seen[w] + 0.5) / (totals.seen[w] + 0.5))
+                weight[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / totals.mean))
             own = sum(weight.values())
             for w, x in weight.items():
                 self.postings[self.term[w]].append((n, x / own))
@@ -228,11 +246,11 @@ def _held(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str
     schema = "doc_id long, hash long, item_id long, score double, question_overlap double, answer_overlap double"
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
 
-    def one_pass(shard: list[tuple[int, str]]) -> DataFrame:
-        known = spark.sparkContext.broadcast(shard)
+    def one_pass(shard: list[tuple[int, str]], totals: Totals) -> DataFrame:
+        known = spark.sparkContext.broadcast((shard, totals))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(known.value)
+            index = Index(*known.value)
             memo = Spellings(index.term)
             for batch in batches:
                 ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -244,13 +262,35 @@ def _held(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str
 
         return texts.mapInArrow(run, schema)
 
+    n_items, mean, longest, seen = _counted(wanted.withColumn("shard", shard_of))
     found = None
     for n in range(n_shards):
         shard = [tuple(r) for r in wanted.where(shard_of == n).sort("id", "text").collect()]
-        found = one_pass(shard) if found is None else found.unionByName(one_pass(shard))
+        totals = Totals(n_items, mean, longest, dict(seen.where(F.col("shard") == n).select("word", "n").collect()))
+        one = one_pass(shard, totals)
+        found = one if found is None else found.unionByName(one)
     return found
 
 
+def _counted(items: DataFrame) -> tuple[int, float, int, DataFrame]:
+    """Items with words, their mean and largest number of words; shard, word, n: items of all shards that
+    hold a shard's word. items: text, shard."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [item_words(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(map(len, lists), pa.int64()), pa.array([sorted(set(w)) for w in lists], pa.list_(pa.string()))],
+                ["shard", "size", "words"])
+
+    listed = items.select("shard", "text").mapInArrow(run, "shard long, size long, words array<string>").where("size > 0")
+    listed = staged(listed, "items")
+    n, total, longest = listed.agg(F.count("*"), F.sum("size"), F.max("size")).first()
+    words = listed.select("shard", F.explode("words").alias("word")).groupBy("shard", "word").agg(F.count("*").alias("n"))
+    everywhere = words.groupBy("word").agg(F.sum("n").alias("n"))
+    seen = staged(words.select("shard", "word").join(everywhere, "word"), "items")
+    return n, (total or 0) / max(n, 1), longest or 1, seen
+
+
 def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", by_row: bool = False) -> DataFrame:
     """The rows of docs, with their columns, that hold no item. By row: rows are told apart by key
     and text, so only those that hold an item go; otherwise every row of such a row's key goes."""
