@@ -113,19 +113,19 @@ def _pack(first: np.ndarray, windows: np.ndarray, offset: np.ndarray, hot) -> np
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """d, anchor, run (first window, windows and offset in one number) of every run of docs (d, t)."""
+    """row, anchor, run (first window, windows and offset in one number) of every run of docs (row, t)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for number, first, windows, offset, h in runs_of([t or b"" for t in batch.column(1).to_pylist()]):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[number]), pa.array(h), pa.array(_pack(first, windows, offset, 0))], ["d", "anchor", "run"])
+                    [pa.array(ids[number]), pa.array(h), pa.array(_pack(first, windows, offset, 0))], ["row", "anchor", "run"])
 
-    return docs.select("d", "t").mapInArrow(run, "d long, anchor long, run long")
+    return docs.select("row", "t").mapInArrow(run, "row long, anchor long, run long")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The wanted runs (d, runs: array of packed numbers) with their bytes, from docs (d, tie, t).
+    """The wanted runs (row, runs: array of packed numbers) with their bytes, from docs (row, d, tie, t).
 
     Equal runs of one batch are sent once, for the earliest place; the others are repeats as
     they stand and come without bytes.
@@ -140,7 +140,7 @@ def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 for p, windows, offset, hot in zip(*(x.tolist() for x in (places >> 16, places >> 9 & 127, places >> 2 & 127, places & 1))):
                     content = text[p : p + windows + DEPTH - 1]
                     if len(content) < windows + DEPTH - 1:
-                        continue  # of another row with this id
+                        continue  # of another row with this hash
                     gram = xxhash.xxh3_64_intdigest(content[offset : offset + GRAM]) - (1 << 63)
                     key, here = (content, offset), (d, tie, p)
                     there = first_at.get(key)
@@ -154,7 +154,7 @@ def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 10_000]), types)],
                                                  ["d", "tie", "at", "windows", "offset", "anchor", "hot", "bytes"])
 
-    found = docs.join(wanted.withColumnRenamed("d", "w"), F.col("d") == F.col("w")).select("d", "tie", "t", "runs")
+    found = docs.join(wanted, "row").select("d", "tie", "t", "runs")
     return found.mapInArrow(run, RUNS)
 
 
@@ -237,11 +237,12 @@ def _hot_spans(runs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """d, tie, start, end: byte spans of docs (d, tie, t) covered by windows that also start earlier;
     spans of one text may overlap or repeat."""
+    docs = docs.withColumn("row", F.xxhash64("d", "tie"))  # rows of one id and different texts stand apart
     anchors = anchor_rows(docs)
     # Written, so that the join below has two plain sides and a common anchor can be split.
     counts = staged(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "radix-anchors")
-    again = anchors.join(counts, "anchor").select("d", F.col("run").bitwiseOR(F.when(F.col("n") >= hot, 1).otherwise(0)).alias("run"))
-    wanted = staged(again.groupBy("d").agg(F.collect_set("run").alias("runs")), "radix-runs")
+    again = anchors.join(counts, "anchor").select("row", F.col("run").bitwiseOR(F.when(F.col("n") >= hot, 1).otherwise(0)).alias("run"))
+    wanted = staged(again.groupBy("row").agg(F.collect_set("run").alias("runs")), "radix-runs")
     total = wanted.agg(F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()[0]
     runs = staged(fetch(docs, wanted), "radix-runs", compression="zstd")
 
