@@ -1,6 +1,7 @@
 """SimHash trees, language codes, decontamination, token files and repeats against plain Python."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -385,3 +386,28 @@ def test_repeated_rows_are_one(spark, documents):
 
 def test_repeats_of_a_table(spark):
     assert as_tuples(registry.op10_repeats(spark, SF).collect()) == sorted(repeats_by_hand(sorted(texts_of(spark).items())), key=str)
+
+
+def test_leaks_do_not_depend_on_shards(spark, documents, monkeypatch):
+    """Items with a long common stem: their own words alone tell them apart."""
+    stem = " ".join(f"stem{n}" for n in range(25))
+    items = spark.createDataFrame([(n, f"{stem} own{n}a own{n}b own{n}c own{n}d own{n}e. Answer{n} is{n} this{n} one{n} here{n}") for n in range(10)], "item_id long, text string")
+    texts = [(n, f"before {stem} own{n}a own{n}b own{n}c own{n}d own{n}e. Answer{n} is{n} this{n} one{n} here{n} after") for n in range(5)]
+    docs = documents(*texts, (100, stem), (101, f"{stem} other words follow here and there and everywhere"))
+    found = []
+    for words in (200_000, 60):
+        monkeypatch.setattr(decontam_wand, "SHARD_WORDS", words)
+        rows = decontam_wand.leaks(docs, items).collect()
+        found.append(sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in rows))
+    assert found[0] == found[1] and [r[:2] for r in found[0]] == [(n, n) for n in range(5)]
+
+
+def test_repeats_of_rows_with_one_id(spark, documents):
+    """A third of the ids null, each with a text of its own."""
+    rng = random.Random(3)
+    own = lambda: "".join(rng.choices("abcdefgh", k=150))
+    shared = own()
+    rows = [(None if n % 3 == 0 else n, own() + (shared if n % 2 else "")) for n in range(30)]
+    got = suffix_radix.removed(documents(*rows)).collect()
+    assert sum(r["n_removed"] > 0 for r in got) == 14
+    assert sum(r["n_removed"] for r in got if r["n_removed"]) >= 14 * 150

@@ -1,8 +1,10 @@
 """Mixing, URL rules, secret ledger, quality votes and license index against plain Python."""
 
 import hashlib
+import math
 import re
 import random
+import string
 
 import pytest
 from hypothesis import given, settings
@@ -369,3 +371,52 @@ def test_license_rows_stay_whole(documents, clashing):
     got = license_index.scan(docs)
     assert got.select("row.*").columns == docs.columns and got.count() == 3
     assert license_index.scan(documents()).collect() == []
+
+
+def license_matches(text, idf):
+    """label, place and score of every template that is there, tried at every place."""
+    words, found = license_words(text), set()
+    for label, notice, phrases in license_index.TEMPLATES:
+        t = notice.split()
+        for at in range(-len(t) + 1, len(words)):
+            equal = [0 <= at + i < len(words) and words[at + i] == v for i, v in enumerate(t)]
+            score = sum(idf[v] for v, e in zip(t, equal) if e) / sum(idf[v] for v in t)
+            there = any(all(equal[k : k + p.count(" ") + 1]) for p in phrases for k in [notice[: notice.index(p)].count(" ")])
+            if there and score >= license_index.MIN_COVERAGE:
+                found.add((label, at, round(score, 9)))
+    return found
+
+
+def license_words(text):
+    return [w for w in re.split(r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))) if w]
+
+
+def test_license_matches_by_brute_force(documents):
+    rng, rows = random.Random(5), []
+    for n in range(300):
+        words = rng.choice(license_index.TEMPLATES)[1].split()
+        for at in rng.sample(range(len(words)), min(len(words), rng.randrange(6))):
+            words[at] = rng.choice(["x", "the", words[0]])
+        rows.append((n, " ".join(["so"] * rng.randrange(3) + words + ["The", "MIT"] * rng.randrange(2))))
+    words = sorted({w for _, notice, _ in license_index.TEMPLATES for w in notice.split()})
+    having = [set(license_words(t)) for _, t in rows]
+    idf = {w: math.log((1 + len(rows)) / (1 + sum(w in h for h in having))) + 0.01 for w in words}
+    got = {r["row"]["doc_id"]: {(m["label"], m["at"], round(m["score"], 9)) for m in r["matches"]} for r in license_index.scan(documents(*rows)).collect()}
+    assert got == {n: license_matches(t, idf) for n, t in rows}
+    assert sum(map(bool, got.values())) > 100
+
+
+def test_notice_without_its_rarest_words_is_found(documents):
+    notice = license_index.TEMPLATES[2][1].split()
+    altered = " ".join([*notice[:-3], "x", "y", "z"])  # words that stand nowhere else are the rarest
+    docs = documents((1, altered), *[(n, "some other words") for n in range(2, 200)])
+    assert [m["label"] for m in license_index.scan(docs).where("row.doc_id = 1").first()["matches"]] == ["mit"]
+
+
+def test_a_source_is_dealt_by_its_buckets(spark, documents, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 10)
+    docs = documents(*[(n, "a b", "en", "one") for n in range(200)])
+    schedule = mixing.mix(docs, F.lit(2), [1.0], 1.0)
+    plan = schedule._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(skey#\d+, bucket#\d+", plan)
+    assert schedule.where("taken > 0").count() == 200
