@@ -118,6 +118,9 @@ class DeltaLog:
             newest = latest_per_key(newest.unionByName(held), self.keys, [*self.order, F.desc("_batch")])
         return matching(base, log, self.keys, "left_anti").select(*names).unionByName(newest.select(*names))
 
+    def _matching(self, rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        return matching(rows, other, self.keys, how)
+
     def fold(self) -> bool:
         """Writes the table as a new base; False if the log is empty. Repeating a fold that died is safe."""
         numbers, bases = self.batches(), self.bases()
