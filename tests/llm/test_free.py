@@ -158,6 +158,46 @@ def test_groups_are_of_similar_texts_only(documents):
     assert len(got - wanted) <= 2  # and hardly a link is missed
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10_000), st.integers(0, 3000), st.integers(0, 400))
+def test_bound_admits_every_similar_pair(seed, common, own):
+    rng = np.random.default_rng(seed)
+    h = rng.integers(0, 2**64, common + 2 * own, dtype=np.uint64)
+    if seed % 3 == 0:  # all in few buckets: counts of 255 and more
+        h = np.unique(h // np.uint64(simhash_trees.BUCKETS) * np.uint64(simhash_trees.BUCKETS))
+    one, two = np.unique(h[: common + own]), np.unique(np.r_[h[:common], h[common + own :]])
+    counts = np.frombuffer(simhash_trees.bucket_counts(one) + simhash_trees.bucket_counts(two), np.uint8).reshape(2, -1)
+    n = np.array([len(one), len(two)])
+    got = simhash_trees.may_be_similar(counts, n, np.array([0]), np.array([1]))
+    both = len(np.intersect1d(one, two))
+    if 5 * both >= 4 * (len(one) + len(two) - both):
+        assert got[0]
+    if common == 0 and own > 0 and seed % 3:
+        assert not got[0] or own > 200
+
+
+def test_near_texts_that_are_not_similar_are_not_all_paired(spark, documents, monkeypatch):
+    """A group of 150 texts at similarity 0.75 of each other: after the first search hardly a pair is a candidate, all rows stay."""
+    rng, tried = np.random.default_rng(7), []
+    base = [f"b{k}" for k in range(1200)]
+    texts = []
+    for n in range(150):
+        text = list(base)
+        for k in rng.choice(240, 17, replace=False):
+            text[5 * k] = f"n{n}x{k}"
+        texts.append(" ".join(text))
+    similar = simhash_trees._similar
+
+    def counted(pairs, sets):
+        tried.append(pairs.count())
+        return similar(pairs, sets)
+
+    monkeypatch.setattr(simhash_trees, "_similar", counted)
+    got = simhash_trees.one_of_each(documents(*enumerate(texts))).collect()
+    assert len(got) == 150
+    assert tried[0] > 150 and sum(tried[1:]) < 150 * 149 / 2 / 10
+
+
 def test_one_of_each_group_whatever_the_ids(documents, clashing):
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice([f"w{n}" for n in range(3000)], 200)) for _ in range(6)]

@@ -15,7 +15,7 @@ node at most one link (to the smallest of its part), never the pairs of a group.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations, repeat
 
@@ -40,6 +40,9 @@ COARSE, COARSE_RADIUS = 128, 36
 FRONTIER = 2_000_000
 #: Links of a row that are given at a time where all are asked for.
 AT_ONCE = 32
+#: A text's shingles are counted by their hash modulo so many, one byte a count: what two texts
+#: share is at most the sum of the smaller counts. Pairs are compared so many at a time.
+BUCKETS, COMPARED = 1024, 20_000
 #: Words of a text that are in memory as separate strings at a time.
 WORDS_AT_ONCE = 200_000
 
@@ -89,6 +92,27 @@ def shingle_set(text: bytes | None, n: int) -> np.ndarray:
     return np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(text or b"", n)]))
 
 
+def bucket_counts(shingles: np.ndarray) -> bytes:
+    """BUCKETS bytes; a count of 255 stands for any number from there."""
+    places = (shingles % np.uint64(BUCKETS)).astype(np.int64)
+    return np.minimum(np.bincount(places, minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(counts: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows a and b can share as much as is asked: never False for a pair that does.
+
+    counts: bucket_counts as rows; n: shingles of each. A row with a count of 255 is not bounded.
+    """
+    open_ = counts.max(axis=1, initial=0) == 255
+    out = np.empty(len(a), bool)
+    for at in range(0, len(a), COMPARED):
+        p, q = a[at : at + COMPARED], b[at : at + COMPARED]
+        most = np.minimum(np.minimum(counts[p], counts[q]).sum(axis=1, dtype=np.int64), np.minimum(n[p], n[q]))
+        most = np.where(open_[p] | open_[q], np.minimum(n[p], n[q]), most)
+        out[at : at + COMPARED] = OF * most >= SHARED * (n[p] + n[q] - most)
+    return out
+
+
 def _widened(h: np.ndarray, width: int) -> np.ndarray:
     """The hashes, and width - 1 more from each by a fixed mixing function, side by side."""
     if width == 1:
@@ -175,12 +199,12 @@ def forest_links(shard: np.ndarray, x: np.ndarray, radius: int) -> np.ndarray:
     return forest_pairs(shard, x, radius, np.arange(len(shard)))[1]
 
 
-def forest_pairs(shard: np.ndarray, x: np.ndarray, radius: int, root: np.ndarray, tried: np.ndarray | None = None,
-                 every: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def forest_pairs(shard: np.ndarray, x: np.ndarray, radius: int, root: np.ndarray,
+                 counts: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Linked rows a, b (two columns) that join up every part, and for each row its part's smallest.
 
     root: what each row is known to be in one part with (the smallest row of it); no pairs are
-    given for that. tried: a * len(shard) + b of pairs, both ways, that do not count as links.
+    given for that. counts: says of near rows a, b which count as links (both ways alike).
     every: all links between such parts, AT_ONCE of a row at a time, and root as it was.
     Rows are sorted by shard. One BK-tree per shard: all rows walk down from their shard's
     first row together; the first to reach a (node, distance) becomes that child. Then every
@@ -190,9 +214,11 @@ def forest_pairs(shard: np.ndarray, x: np.ndarray, radius: int, root: np.ndarray
 
     def join(some: list[tuple[np.ndarray, np.ndarray]], root: np.ndarray) -> np.ndarray:
         a, b = (np.concatenate(c) for c in zip(*some))
-        if tried is not None and len(tried):
-            new = ~np.isin(a * len(shard) + b, tried)
-            a, b = a[new], b[new]
+        if counts is not None:
+            apart = root[a] != root[b]
+            a, b = a[apart], b[apart]
+            links = counts(a, b)
+            a, b = a[links], b[links]
         if every:
             apart = np.unique(np.stack([a, b], axis=1)[root[a] != root[b]], axis=0)
             nth = np.arange(len(apart)) - np.searchsorted(apart[:, 0], apart[:, 0])
@@ -339,20 +365,25 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
     """node, root of every row of prints (id, print) that is similar to another; texts: id, text (binary).
 
     Shards propose links enough to join up their parts; each is checked on its texts'
-    shingles. Where one fails, its shard is searched again for all links between what is still
-    apart, without the failed ones, until none is left: a link that fails never hides another.
+    shingles. Where one fails, its shard is searched again without the failed ones, until none
+    is left: a link that fails never hides another. Those searches see the texts' bucket
+    counts, so near texts that cannot be similar are no links: few fail from then on, and links
+    that join up the parts are enough. Should some fail nevertheless, all links between what
+    is still apart are taken, AT_ONCE of a row at a time.
     """
     met, width = meetings(prints, scheme), scheme.bits // 64
     n_slices = _slices(met.count())
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, scheme.words).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+            sets = [shingle_set(t, scheme.words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(map(bucket_counts, sets), pa.binary()),
+            ], ["id", "shingles", "counts"])
 
     wanted = met.select(F.col("a").alias("id")).distinct()
     once = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
-    sets = staged(once.mapInArrow(shingled, "id long, shingles binary"), "shingles")
+    sets = staged(once.mapInArrow(shingled, "id long, shingles binary, counts binary"), "shingles")
 
     def search(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
         rows = rows.sort_values(["shard", "id"]).drop_duplicates(["shard", "id"], ignore_index=True)
@@ -362,7 +393,16 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
         failed = rows.loc[rows["tried"].notna(), ["shard", "at", "tried"]].explode("tried").astype("int64")
         failed = failed.merge(rows[["shard", "id", "at"]], left_on=["shard", "tried"], right_on=["shard", "id"])
         p, q = failed["at_x"].to_numpy(), failed["at_y"].to_numpy()
-        pairs, _ = forest_pairs(rows["shard"].to_numpy(), x, scheme.radius, root, np.r_[p * len(rows) + q, q * len(rows) + p], every)
+        tried = np.r_[p * len(rows) + q, q * len(rows) + p]
+        bounds = np.frombuffer(b"".join(rows["counts"].dropna()), np.uint8).reshape(-1, BUCKETS)
+
+        def can_be(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            new = ~np.isin(a * len(rows) + b, tried)
+            new[new] = may_be_similar(bounds, rows["n"].to_numpy(), a[new], b[new])
+            return new
+
+        # The first search has no bounds, and nothing was tried yet.
+        pairs, _ = forest_pairs(rows["shard"].to_numpy(), x, scheme.radius, root, can_be if len(bounds) else None, every)
         ends = np.sort(rows["id"].to_numpy()[pairs], axis=1)
         return pd.DataFrame({"shard": rows["shard"].to_numpy()[pairs[:, 0]], "a": ends[:, 0], "b": ends[:, 1]}).drop_duplicates()
 
@@ -371,19 +411,24 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
 
     part = met.select(F.xxhash64("shard", "b").alias("shard"), F.col("a").alias("id")).join(prints, "id")
     part = part.withColumn("slice", F.pmod("shard", F.lit(n_slices)))
-    now = part.withColumns({"root": F.col("id"), "tried": F.lit(None).cast("array<bigint>")})
-    checked, roots = None, None
+    now = part.withColumns({"root": F.col("id"), "tried": F.lit(None).cast("array<bigint>"),
+                            "counts": F.lit(None).cast("binary"), "n": F.lit(0).cast("long")})
+    bounds = sets.select("id", "counts", (F.octet_length("shingles") / 8).cast("long").alias("n"))
+    checked, roots, rounds = None, None, 0
     while True:
-        found = proposed(now, checked is not None)
-        if checked is not None and found.isEmpty():
+        found = proposed(now, rounds > 1)
+        if rounds and found.isEmpty():
             return roots
-        judged = staged(_similar(found.select("a", "b").distinct(), sets), "judged")
-        again = found.select("shard") if checked is not None else found.join(judged.where("NOT similar"), ["a", "b"], "left_semi").select("shard")
+        rounds += 1
+        judged = staged(_similar(found.select("a", "b").distinct(), sets.select("id", "shingles")), "judged")
+        failed = found.join(judged.where("NOT similar"), ["a", "b"], "left_semi").select("shard")
+        again = found.select("shard") if rounds > 2 else failed
         checked = judged if checked is None else checked.unionByName(judged)
         roots = staged(components(checked.where("similar").select("a", "b")), "components")
         tried = checked.where("NOT similar").groupBy(F.col("a").alias("id")).agg(F.collect_list("b").alias("tried"))
         now = part.join(again.distinct(), "shard", "left_semi").join(roots.withColumnRenamed("node", "id"), "id", "left")
-        now = now.withColumn("root", F.coalesce("root", "id")).join(tried, "id", "left")
+        now = now.withColumn("root", F.coalesce("root", "id")).join(tried, "id", "left").join(bounds, "id")
+        now = now.withColumn("slice", F.pmod("shard", F.lit(4 * n_slices)))  # rows with counts are larger
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id", text: str = "text") -> DataFrame:
