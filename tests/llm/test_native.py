@@ -5,6 +5,7 @@ import math
 import re
 import random
 import string
+from itertools import combinations
 
 import pytest
 from hypothesis import given, settings
@@ -177,6 +178,48 @@ def test_mined_rules_match_by_brute_force(spark):
     assert hit == {n for n, b in enumerate(baskets) if any(set(t) <= set(b) for t in found)}
 
 
+def test_words_that_come_together_are_one_class(spark):
+    """Verdicts against all combinations, by brute force; and twenty common words are mined in seconds."""
+    rng = random.Random(4)
+    baskets = []
+    for _ in range(200):
+        b = rng.sample("abcdefgh", 3) + ["x", "y", "z"]  # x y z: in all rows; a comes with a2 and a3
+        baskets.append(b + ["a2", "a3"] if "a" in b else b)
+    blocked = ["a" in b and "b" in b or "c" in b and "d" in b for b in baskets]
+    labelled = spark.createDataFrame(list(zip(baskets, blocked)), "tokens array<string>, blocked boolean")
+    rules = url_rules.mine(labelled, 0.01, 0.9)
+    assert {"a", "a2", "a3"} in [set(c) for r in rules.collect() for c in r["classes"]]
+
+    least = 5
+    found = []
+    for k in (1, 2, 3, 4):
+        for some in combinations(sorted({t for b in baskets for t in b}), k):
+            held = [y for b, y in zip(baskets, blocked) if set(some) <= set(b)]
+            if sum(held) >= least and sum(held) >= 0.9 * len(held):
+                found.append(set(some))
+    queries = [rng.sample(["a", "a2", "a3", "b", "c", "d", "e", "f", "x", "new"], k=rng.randint(1, 5)) for _ in range(150)]
+    pages = spark.createDataFrame([(str(n), q) for n, q in enumerate(queries)], "id string, tokens array<string>")
+    hit = {int(r["id"]) for r in url_rules.match(pages, rules).collect()}
+    wanted = {n for n, q in enumerate(queries) if any(f <= set(q) for f in found)}
+    assert wanted and hit == wanted
+
+    words = [f"w{n}" for n in range(20)]
+    wide = spark.createDataFrame([(words + [f"u{n % 7}"], n % 7 == 0) for n in range(200)], "tokens array<string>, blocked boolean")
+    mined = url_rules.mine(wide).collect()
+    assert {tuple(r["antecedent"]) for r in mined} == {("u0",), ("u0", "w0")}
+    assert all(set(words) in map(set, r["classes"]) for r in mined if "w0" in r["antecedent"])
+
+
+def test_url_odd_rows(spark, clashing):
+    """Clashing columns, a very long url, one of many tokens, repeated rows."""
+    urls = ["http://a.org/" + "x" * 200_000, "http://b.org/" + "/".join(f"t{n}" for n in range(3000)), "http://c.com/", "http://c.com/"]
+    pages = spark.createDataFrame([(n % 3, u) for n, u in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(0, True), (1, False), (None, True)], "id long, blocked boolean")
+    got = rows_of(url_rules.judge(clashing(pages).withColumn("host", F.lit("h")).withColumn("tokens", F.lit(1)), labels, registry.URL_RULES))
+    assert sorted((r["host"], r["rule"], r["verdict"]) for r in got) == [
+        ("a.org", None, "allow"), ("b.org", None, "allow"), ("c.com", "com/", "allow"), ("c.com", "com/", "allow")]
+
+
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     labels = spark.createDataFrame([], "id long, blocked boolean")

@@ -2,9 +2,11 @@
 
 URLs are sets of tokens (host labels, path and query words, tagged by where they stand).
 FP-growth finds the token combinations that are frequent among labelled URLs; those whose
-rule "combination -> block" has enough support and confidence become block rules. A rule
-is indexed under its rarest token: a URL looks up its tokens and is blocked where all of a
-found rule's tokens are its own. Explicit (host, path) rules come before mined ones.
+rule "combination -> block" has enough support and confidence become block rules. Tokens that
+occur in exactly the same labelled URLs are mined as one class: any of them says the same, and
+n words that always come together are one item instead of 2 ** n combinations. A rule is
+indexed under the class that fewest URLs have: a URL looks up its tokens and is blocked where
+it has a token of each of a found rule's classes. Explicit (host, path) rules come before mined ones.
 
 Everything is DataFrame functions and Spark's own FP-growth. Mined rules are few (support
 bounds their number) but nothing here relies on it: they stay a table.
@@ -12,14 +14,18 @@ bounds their number) but nothing here relies on it: they stay a table.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower
+from tidemark.llm.common import ascii_lower, staged
 
 BLOCK, ALLOW = "label=block", "label=allow"
+#: A rule is of so large a share of the labelled URLs, and of so many at least.
 MIN_SUPPORT = 0.002
+MIN_URLS = 5
 MIN_CONFIDENCE = 0.9
 
 
@@ -59,26 +65,57 @@ def explicit(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     return pages.join(best, F.col("id") == F.col("b_id"), "left").drop("b_id")
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Block rules (antecedent, confidence, support) from labelled (tokens, blocked boolean)."""
-    items = F.array_append("tokens", F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))
-    baskets = labelled.select(items.alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+def token_classes(baskets: DataFrame, least: int) -> DataFrame:
+    """token, item: tokens of baskets (row, tokens) in `least` rows or more; item is the smallest
+    token that occurs in exactly the same rows, told by their number and two sums of 64-bit row hashes."""
+    total = lambda *seed: F.sum(F.xxhash64("row", *seed).cast("decimal(38,0)"))
+    spread = baskets.select("row", F.explode(F.array_distinct("tokens")).alias("token"))
+    rows = spread.groupBy("token").agg(F.count("*").alias("n"), total().alias("s1"), total(F.lit(1)).alias("s2")).where(F.col("n") >= least)
+    items = rows.groupBy("n", "s1", "s2").agg(F.min("token").alias("item"))
+    return rows.join(items, ["n", "s1", "s2"]).select("token", "item")
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+         min_urls: int = MIN_URLS) -> DataFrame:
+    """Block rules (antecedent, confidence, support, classes) from labelled (tokens, blocked boolean).
+
+    antecedent: one token of each class; classes: all tokens of each, in the same order. Rows
+    without tokens count towards the support. No labelled rows, no rules.
+    """
+    rows = staged(labelled.select("tokens", "blocked", F.monotonically_increasing_id().alias("row")), "labelled-urls")
+    n = max(rows.count(), 1)
+    support = min(1.0, max(min_support, min_urls / n))
+    classes = staged(token_classes(rows, math.ceil(support * n)), "token-classes")
+    spread = rows.select("row", F.explode("tokens").alias("token")).join(classes, "token")
+    mapped = spread.groupBy("row").agg(F.collect_set("item").alias("items"))
+    label = F.when(F.col("blocked"), BLOCK).otherwise(ALLOW)
+    baskets = rows.join(mapped, "row", "left").select(
+        F.array_append(F.coalesce("items", F.array().cast("array<string>")), label).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where(F.array_contains("consequent", BLOCK) & ~F.array_contains("antecedent", ALLOW))
-    return rules.select("antecedent", "confidence", "support")
+    rules = rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
+    whole = classes.groupBy("item").agg(F.array_sort(F.collect_set("token")).alias("class"))
+    parts = rules.withColumn("item", F.explode("antecedent")).join(whole, "item")
+    of_rule = F.array_sort(F.collect_list(F.struct("item", "class")))
+    return parts.groupBy("antecedent", "confidence", "support").agg(F.transform(of_rule, lambda x: x["class"]).alias("classes"))
 
 
 def match(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """pages (id, tokens) that a rule blocks: id, mined (the strongest rule's tokens), confidence.
+    """pages (id, tokens) that a rule blocks: id, mined (the strongest rule's antecedent), confidence.
 
-    Each rule is posted under its rarest token, so a URL meets a rule once at most.
+    Each rule is posted under the tokens of one class, the one that fewest pages have; nulls have no tokens.
     """
-    spread = rules.select("antecedent", "confidence", F.explode("antecedent").alias("token"))
-    common = spread.groupBy("token").agg(F.count("*").alias("n"))
-    keyed = spread.join(common, "token").groupBy("antecedent", "confidence").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
+    parts = rules.select("antecedent", "confidence", "classes", F.posexplode("classes").alias("nth", "class"))
+    spread = parts.withColumn("token", F.explode("class"))
+    seen = pages.select("id", F.explode("tokens").alias("token"))
+    common = seen.join(spread.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    counted = spread.join(common, "token", "left").groupBy("antecedent", "confidence", "classes", "nth").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.collect_list("token").alias("class"))
+    least = counted.groupBy("antecedent", "confidence", "classes").agg(F.min_by("class", F.struct("n", "nth")).alias("class"))
+    keyed = least.select("antecedent", "confidence", "classes", F.explode("class").alias("token"))
     hits = pages.select("id", "tokens", F.explode("tokens").alias("token")).join(keyed, "token")
-    hits = hits.where(F.size(F.array_except("antecedent", "tokens")) == 0)
-    best = F.max(F.struct("confidence", F.array_sort("antecedent").alias("mined")))
+    hits = hits.where(F.forall("classes", lambda c: F.arrays_overlap(c, F.col("tokens"))))
+    best = F.max(F.struct("confidence", F.col("antecedent").alias("mined")))
     return hits.groupBy("id").agg(best.alias("best")).select("id", "best.mined", "best.confidence")
 
 
@@ -87,7 +124,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
 
     labels: (id, blocked) for some pages; pages that an explicit rule decides are labelled
     by it. Without explicit or mined rule a page is allowed. Null urls have empty host and
-    path. Repeated rows are judged alike and stay.
+    path. Repeated rows are judged alike and stay; an empty table gives no rows. Other columns of
+    pages are not returned, whatever their names. A url is one set of tokens however long it is.
     """
     host, path = split_url(F.col(url))
     split = pages.select(F.col(key).alias(key), F.col(url).alias("url"), host.alias("host"), path.alias("path"))
@@ -99,7 +137,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
         labels.select(F.col("id").alias("l_id"), "blocked"), "l_id").groupBy("id").agg(F.max("blocked").alias("blocked"))
     labelled = said.join(by_label, "id", "left").select(
         "tokens", F.coalesce(F.col("said") == "block", "blocked").alias("blocked")).where("blocked IS NOT NULL")
-    mined = match(said.select("id", "tokens"), mine(labelled))
+    mined = match(said.select("id", "tokens"), staged(mine(labelled), "url-rules"))
     verdicts = said.select("id", "rule", "said").join(mined, "id", "left")
     out = split.withColumn("id", F.sha2(F.coalesce("url", F.lit("")), 256)).join(verdicts, "id", "left")
     verdict = F.coalesce("said", F.when(F.col("mined").isNotNull(), "block"), F.lit("allow"))
