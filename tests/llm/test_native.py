@@ -344,6 +344,50 @@ def test_repeat_words_by_brute_force(spark, texts):
         assert r["n_repeat_words"] == measures_by_hand(r["text"])["n_repeat_words"]
 
 
+def em_by_hand(counts):
+    """The share of good documents, and of them behind each rule's bad and good votes; counts: {votes: documents}."""
+    q = quality_votes
+    good = {v: 1 - q.TRUST if -1 in v else 0.95 for v in counts}
+
+    def share(of, prior):
+        n = sum(counts[v] for v in counts if of(v))
+        return (sum(counts[v] * good[v] for v in counts if of(v)) + prior * (1 + q.TRUST_WEIGHT * n)) / (n + 1 + q.TRUST_WEIGHT * n)
+
+    def model():
+        return share(lambda v: True, q.GOOD), [
+            [share(lambda v: v[r] == side, prior) for side, prior in ((-1, 1 - q.TRUST), (1, q.GOOD))] for r in range(len(q.RULES))]
+
+    for _ in range(q.ITERATIONS):
+        now = model()
+        good = {v: posterior_by_hand(now, v) for v in counts}
+    return model()
+
+
+def posterior_by_hand(model, vote_list):
+    odds = quality_votes.GOOD / (1 - quality_votes.GOOD)
+    for vote, (bad, good) in zip(vote_list, model[1]):
+        p = {-1: bad, 0: model[0], 1: good}[vote]
+        odds *= p / (1 - p) / (model[0] / (1 - model[0]))
+    return odds / (1 + odds)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fit_and_posterior_by_plain_em(spark, seed):
+    """On random votes, on votes of one side only, and of a rule that never votes."""
+    rng = random.Random(seed)
+    sides = [rng.choice([(-1, 0, 1), (-1, 0), (0, 1), (0,)]) for _ in quality_votes.RULES]
+    counts = {tuple(rng.choice(s) for s in sides): rng.randint(1, 10 ** rng.randint(0, 6)) for _ in range(40)}
+    patterns = spark.createDataFrame([(list(v), n) for v, n in counts.items()], "votes array<int>, n long")
+    model = quality_votes.fit(patterns)
+    got = model.first()["model"]
+    share, rules = em_by_hand(counts)
+    assert got["good"] == pytest.approx(share, abs=1e-9)
+    assert [list(r) for r in got["rules"]] == [pytest.approx(r, abs=1e-9) for r in rules]
+    judged = patterns.withColumn("model", model.scalar()).select("votes", quality_votes.posterior(F.col("model"), F.col("votes")).alias("p"))
+    for r in judged.collect():
+        assert r["p"] == pytest.approx(posterior_by_hand((share, rules), r["votes"]), abs=1e-9)
+
+
 def test_quality_keeps_rows_whole(documents, clashing):
     good = " ".join(f"word{n}" for n in range(60))
     docs = clashing(documents((1, good), (1, good), (2, "x " * 60), (None, good), (3, None)))
