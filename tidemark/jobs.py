@@ -245,21 +245,23 @@ def run_job(run: Run, domain: str, layer: str, table: str) -> None:
 
 
 def land_rows(run: Run, table: str, domain: str, rows: DataFrame) -> int:
-    """Source rows into a bronze table: replace the day of a snapshot table, else append."""
+    """Source rows into a bronze table: replace the day of a snapshot table, else append.
+
+    All of them are of the run's day, which is the one partition they go to: no shuffle is needed."""
     contract = spec(domain, "bronze", table)
     bronze = to_bronze(rows, contract, run.day, run.run_ts, run.run_id)
     path, partition = run.path(domain, "bronze", table), list(contract.partition)
     if contract.mode == "snapshot":
-        return tables.overwrite_slice_checked(bronze, path, partition)
-    return _append(run, domain, table, bronze, partition)
+        return tables.overwrite_slice_checked(bronze, path, partition, landed=partition == ["logical_date"])
+    return _append(run, domain, table, bronze, partition, landed=partition == ["logical_date"])
 
 
-def _append(run: Run, domain: str, table: str, rows: DataFrame, partition: list[str]) -> int:
+def _append(run: Run, domain: str, table: str, rows: DataFrame, partition: list[str], landed: bool = False) -> int:
     """Appends a run's rows, once for each run id."""
     path = run.path(domain, "bronze", table)
     if run.run_id == NO_RUN_ID:
-        return tables.counted(rows, lambda df: tables.append(df, path, partition))
-    return load_run(rows, path, partition, f"{run.root.rstrip('/')}/_loads", f"{domain}.{table}", str(run.day), run.run_id)
+        return tables.counted(rows, lambda df: tables.append(df, path, partition, landed))
+    return load_run(rows, path, partition, f"{run.root.rstrip('/')}/_loads", f"{domain}.{table}", str(run.day), run.run_id, landed)
 
 
 def land_table(

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A task writes up to so many partitions side by side; only rows of further ones are sorted first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sinks.layout import _path, list_files
-from tidemark.sinks.tables import _balanced, _delete, _filesystem, counted
+from tidemark.sinks.tables import LANDED, _balanced, _delete, _filesystem, counted
 
 ENTRY = "table string, day string, run string, rows bigint"
 
@@ -38,10 +38,10 @@ def entries(spark: SparkSession, journal: str) -> DataFrame:
     return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
 
 
-def load_run(df: DataFrame, path: str, partition: Sequence[str], journal: str, table: str, day: str, run: str) -> int:
+def load_run(df: DataFrame, path: str, partition: Sequence[str], journal: str, table: str, day: str, run: str, landed: bool = False) -> int:
     """Appends df to the table at path unless the journal has the run; returns the run's rows.
 
-    Repeated with the same table, day and run, it finishes what the first attempt began."""
+    landed: as for tables.append. Repeated with the same table, day and run, it finishes what the first attempt began."""
     spark, name = df.sparkSession, _name(table, day, run)
     entry, beside = f"{journal}/{name}", f"{path.rstrip('/')}.load-{name}"
     ready = f"{beside}/_entry"  # committed once all rows are written; Spark does not read it as data
@@ -51,8 +51,8 @@ def load_run(df: DataFrame, path: str, partition: Sequence[str], journal: str, t
             _delete(spark, beside)
         return spark.read.parquet(entry).first()["rows"]
     if not _committed(spark, ready):
-        rows = counted(df, lambda d: _balanced(d, partition).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy(*partition).parquet(f"{beside}/rows"))
+        rows = counted(df, lambda d: (d if landed else _balanced(d, partition)).write.options(**LANDED if landed else {}).mode(
+            "overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition).parquet(f"{beside}/rows"))
         made = spark.range(1).select(F.lit(table).alias("table"), F.lit(day).alias("day"), F.lit(run).alias("run"), F.lit(rows).cast("bigint").alias("rows"))
         made.write.mode("overwrite").parquet(ready)
     move_files(spark, f"{beside}/rows", path)

@@ -84,13 +84,20 @@ def _balanced(df: DataFrame, partition: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition]) if partition else df.hint("rebalance")
 
 
-def append(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
-    _balanced(df, partition).write.mode("append").partitionBy(*partition).parquet(path)
+#: Write options of landed rows: their payloads are repetitive texts.
+LANDED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 
 
-def overwrite_slice(df: DataFrame, path: str, partition: Sequence[str]) -> None:
-    """Replace exactly the partitions present in df."""
-    writer = _balanced(df, partition).write.mode("overwrite").partitionBy(*partition)
+def append(df: DataFrame, path: str, partition: Sequence[str] = (), landed: bool = False) -> None:
+    """landed: rows of one partition, written by the tasks that read them, with no shuffle."""
+    rows = df if landed else _balanced(df, partition)
+    rows.write.options(**LANDED if landed else {}).mode("append").partitionBy(*partition).parquet(path)
+
+
+def overwrite_slice(df: DataFrame, path: str, partition: Sequence[str], landed: bool = False) -> None:
+    """Replace exactly the partitions present in df; landed: as for append."""
+    rows = df if landed else _balanced(df, partition)
+    writer = rows.write.options(**LANDED if landed else {}).mode("overwrite").partitionBy(*partition)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
@@ -107,9 +114,9 @@ def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
         return 0
 
 
-def overwrite_slice_checked(df: DataFrame, path: str, partition: Sequence[str]) -> int:
+def overwrite_slice_checked(df: DataFrame, path: str, partition: Sequence[str], landed: bool = False) -> int:
     """overwrite_slice that reports an empty source; no partition is touched then."""
-    rows = counted(df, lambda d: overwrite_slice(d, path, partition))
+    rows = counted(df, lambda d: overwrite_slice(d, path, partition, landed))
     if rows == 0:
         raise EmptySourceError(f"no source rows for {path}")
     return rows
