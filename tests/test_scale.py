@@ -31,3 +31,20 @@ def test_landed_rows_are_written_by_the_tasks_that_read_them(spark, tmp_path):
             assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
     assert jobs.land_rows(run, "rideon_fares_raw", "rideon", fares) == 40
     assert run.read("rideon", "bronze", "rideon_fares_raw").count() == 40
+
+
+def test_lifetime_logs_hold_the_columns_that_marts_need(spark, tmp_path):
+    from tidemark.plans.lifetimes import CustomerLifetimes
+
+    marts = CustomerLifetimes(spark, str(tmp_path))
+    stamp = "TIMESTAMP '2024-01-01' AS created_at, DATE '2024-01-01' AS logical_date, TIMESTAMP '2024-01-01' AS ingest_ts"
+    paid = spark.range(9).selectExpr("'p' || id AS payment_id", "'c' AS customer_id", "CAST(id AS DECIMAL(14,2)) AS amount", "'completed' AS status",
+                                     "repeat('x', 99) AS description", *stamp.split(", "))
+    back = spark.range(3).selectExpr("'r' || id AS refund_id", "'p' || id AS payment_id", "CAST(1 AS DECIMAL(14,2)) AS amount", "'why' AS reason",
+                                     "repeat('x', 99) AS currency", *stamp.split(", "))
+    for batch in range(2):
+        marts.run(paid, back, batch)
+    state = marts.states().read().first()
+    assert (state["n"], state["total_spend"], state["total_refunds"]) == (9, 36, 3)
+    logs = [spark.read.parquet(f"{tmp_path}/{name}/log") for name in ("payments", "refunds")]
+    assert not {"description", "currency"} & {c for log in logs for c in log.columns}

@@ -35,6 +35,12 @@ PAID = Lifetime("rider_id", "string", None, {
     "fares": ("int(status = 'captured' AND amount IS NOT NULL)", "bigint"),
 })
 
+#: The columns of the sources that the marts, and the order of a key's rows, depend on; the logs hold no others.
+PAYMENT = ["payment_id", "customer_id", "created_at", "amount", "status", "logical_date", "ingest_ts"]
+REFUND = ["refund_id", "payment_id", "amount", "reason", "logical_date", "ingest_ts"]
+RIDE = ["ride_id", "rider_id", "requested_at", "status", "distance_km", "ingest_ts", "vehicle_id", "driver_id"]
+RIDE_PAYMENT = ["payment_id", "rider_id", "amount", "status", "ingest_ts", "driver_id"]
+
 
 def _newest(*ties: str):
     return [F.desc_nulls_last(c) for c in ("logical_date", "ingest_ts", *ties)]
@@ -62,23 +68,24 @@ class CustomerLifetimes:
         """States are written last: a run that has written them is done, one that died is repeated."""
         if self.states().has(batch):
             return
-        payments, refunds = (written_once(df, "lifetime-batch") for df in (payments, refunds))
+        payments, refunds = (written_once(df.select(names), "lifetime-batch") for df, names in ((payments, PAYMENT), (refunds, REFUND)))
         paid = DeltaLog(self.spark, f"{self.root}/payments", payments.schema, ["payment_id"], _newest())
         back = DeltaLog(self.spark, f"{self.root}/refunds", refunds.schema, ["refund_id"], _newest("reason"))
         ids = payments.select("payment_id").union(_touched(back, refunds, batch, "payment_id")).distinct()
         ids = written_once(ids, "lifetime-ids")
-        before = self.units(_only(paid.read(before=batch), ids, "payment_id"), _only(back.read(before=batch), ids, "payment_id"))
-        before = written_once(before, "lifetime-before")
+        # All rows that the batch can replace: older payments of refunds that it moves are among the ids.
+        known, returned = (written_once(_only(log.read(before=batch), ids, "payment_id"), "lifetime-known") for log in (paid, back))
         paid.write(payments, batch)
         back.write(refunds, batch)
-        after = self.units(_only(paid.read(before=batch + 1), ids, "payment_id"), _only(back.read(before=batch + 1), ids, "payment_id"))
-        advance(CUSTOMER, before, after, self.states(), CUSTOMER.days_log(self.spark, f"{self.root}/days"), batch)
+        after = self.units(paid.after(known, batch), back.after(returned, batch))
+        advance(CUSTOMER, self.units(known, returned), after, self.states(), CUSTOMER.days_log(self.spark, f"{self.root}/days"), batch)
 
     def states(self) -> DeltaLog:
         return CUSTOMER.states_log(self.spark, f"{self.root}/states")
 
     def logs(self, payments: DataFrame, refunds: DataFrame) -> list[DeltaLog]:
         """All of them, to be folded."""
+        payments, refunds = payments.select(PAYMENT), refunds.select(REFUND)
         return [DeltaLog(self.spark, f"{self.root}/payments", payments.schema, ["payment_id"], _newest()),
                 DeltaLog(self.spark, f"{self.root}/refunds", refunds.schema, ["refund_id"], _newest("reason")),
                 self.states(), CUSTOMER.days_log(self.spark, f"{self.root}/days")]
@@ -105,22 +112,21 @@ class RiderLifetimes:
     root: str
 
     def run(self, rides: DataFrame, payments: DataFrame, batch: int) -> None:
-        self._run(rides, "rides", "ride_id", ("vehicle_id", "driver_id"), RODE, batch)
-        self._run(payments, "payments", "payment_id", ("rider_id", "driver_id"), PAID, batch)
+        self._run(rides, RIDE, "rides", "ride_id", ("vehicle_id", "driver_id"), RODE, batch)
+        self._run(payments, RIDE_PAYMENT, "payments", "payment_id", ("rider_id", "driver_id"), PAID, batch)
 
-    def _run(self, rows: DataFrame, name: str, key: str, ties: tuple[str, ...], spec: Lifetime, batch: int) -> None:
+    def _run(self, rows: DataFrame, names: list[str], name: str, key: str, ties: tuple[str, ...], spec: Lifetime, batch: int) -> None:
         states = spec.states_log(self.spark, f"{self.root}/{name}_states")
         if states.has(batch):
             return
-        rows = written_once(rows, "lifetime-batch")
+        rows = written_once(rows.select([c for c in names if c in rows.columns]), "lifetime-batch")
         order = [F.desc_nulls_last(c) for c in ("ingest_ts", *ties) if c in rows.columns]
         log = DeltaLog(self.spark, f"{self.root}/{name}", rows.schema, [key], order)
         ids = written_once(rows.select(key).distinct(), "lifetime-ids")
-        before = written_once(self.units(_only(log.read(before=batch), ids, key)), "lifetime-before")
+        known = written_once(_only(log.read(before=batch), ids, key), "lifetime-known")
         log.write(rows, batch)
-        after = self.units(_only(log.read(before=batch + 1), ids, key))
         days = spec.days_log(self.spark, f"{self.root}/{name}_days") if spec.day else None
-        advance(spec, before, after, states, days, batch)
+        advance(spec, self.units(known), self.units(log.after(known, batch)), states, days, batch)
 
     @staticmethod
     def units(rows: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ class DeltaLog:
             raise ValueError(f"batch {batch} of {self.path} comes after a later one")
         names = self.schema.names
         first = latest_per_key(rows.select(*names), self.keys, self.order or [F.lit(1)])
-        _balanced(first, ()).write.mode("overwrite").parquet(self._folder("log", batch))
+        first.write.mode("overwrite").parquet(self._folder("log", batch))  # dealt by key: even
         return True
 
     def _log(self, numbers: list[int]) -> DataFrame:
@@ -107,7 +107,8 @@ class DeltaLog:
         base = self.spark.read.schema(self.schema).parquet(self._folder("base", bases[-1])) if bases else None
         if where is not None:
             log, base = log.where(where), base.where(where) if base is not None else None
-        newest = latest_per_key(log, self.keys, [*self.order, F.desc("_batch")])
+        # One batch holds each key once.
+        newest = latest_per_key(log, self.keys, [*self.order, F.desc("_batch")]) if len(numbers) > 1 else log
         names = self.schema.names
         if base is None:
             return newest.select(*names)
@@ -118,6 +119,11 @@ class DeltaLog:
             newest = latest_per_key(newest.unionByName(held), self.keys, [*self.order, F.desc("_batch")])
         return matching(base, log, self.keys, "left_anti").select(*names).unionByName(newest.select(*names))
 
+    def after(self, known: DataFrame, batch: int) -> DataFrame:
+        """What a written batch makes of rows that were there before it, which hold all that were of its keys."""
+        both = known.select(*self.schema.names).withColumn("_batch", F.lit(-1).cast("long")).unionByName(self._log([batch]))
+        return latest_per_key(both, self.keys, [*self.order, F.desc("_batch")]).drop("_batch")
+
     def _matching(self, rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
         return matching(rows, other, self.keys, how)
 
