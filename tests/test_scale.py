@@ -48,3 +48,15 @@ def test_lifetime_logs_hold_the_columns_that_marts_need(spark, tmp_path):
     assert (state["n"], state["total_spend"], state["total_refunds"]) == (9, 36, 3)
     logs = [spark.read.parquet(f"{tmp_path}/{name}/log") for name in ("payments", "refunds")]
     assert not {"description", "currency"} & {c for log in logs for c in log.columns}
+
+
+def test_the_key_index_keeps_a_few_bytes_for_a_key(spark, tmp_path):
+    from tidemark.sinks import key_index
+
+    rows = spark.range(4000).selectExpr("id AS k", "concat('p', id % 3) AS p")
+    key_index.upsert_indexed(rows, str(tmp_path / "t"), ["k"], ["p"])
+    index = key_index._read(spark, str(tmp_path / "t"), [rows.schema["p"]])
+    size, found = index.selectExpr("sum(length(to_json(struct(bits))))", "sum(size(bits))").first()
+    assert 3900 < found <= 4000 and size < 40 * 4000
+
+

@@ -3,7 +3,8 @@
 Each partition has bitmaps of its keys' hashes. A hash picks one of the partition's buckets
 and a bit in it; a partition has so many buckets that a bitmap holds KEYS_PER_BITMAP keys on
 average. A source becomes bitmaps of the same form, one set for each number of buckets that
-occurs, and a partition is named where two bitmaps have a bit in common. A partition
+occurs, and a partition is named where two bitmaps have a bit in common. Few bits of a bitmap
+are set, so it is kept as the list of their places, some ten bytes a key. A partition
 that is named in vain costs a read of its keys; none that holds a key is left out.
 
 The index knows the files that it was made from. A partition whose files are others now,
@@ -29,7 +30,7 @@ INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 def index_path(path: str) -> str:
-    return f"{path.rstrip('/')}.keys"
+    return f"{path.rstrip('/')}.key-bits"
 
 
 @contextmanager
@@ -62,7 +63,7 @@ def _state(spark: SparkSession, path: str, types: Sequence[T.StructField]) -> Da
 
 
 def _read(spark: SparkSession, path: str, types: Sequence[T.StructField]) -> DataFrame:
-    own = T.StructType.fromDDL("files bigint, buckets bigint, bucket bigint, bits binary")
+    own = T.StructType.fromDDL("files bigint, buckets bigint, bucket bigint, bits array<int>")
     schema = T.StructType([*own.fields, *types])
     if not exists(spark, index_path(path)):
         return spark.createDataFrame([], schema)
@@ -76,7 +77,7 @@ def _place(h: Column, buckets: Column) -> tuple[Column, Column]:
 
 def _bitmaps(hashes: DataFrame, by: Sequence[str]) -> DataFrame:
     bucket, bit = _place(F.col("h"), F.col("buckets"))
-    return hashes.withColumns({"bucket": bucket, "bit": bit}).groupBy(*by, "buckets", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    return hashes.withColumns({"bucket": bucket, "bit": bit}).groupBy(*by, "buckets", "bucket").agg(F.sort_array(F.collect_set(F.col("bit").cast("int"))).alias("bits"))
 
 
 def _not_indexed(state: DataFrame, index: DataFrame, partition: Sequence[str]) -> DataFrame:
@@ -115,9 +116,7 @@ def candidates(source: DataFrame, path: str, keys: Sequence[str], partition: Seq
     sizes = [r[0] for r in index.select("buckets").distinct().collect()]  # powers of two: 63 at most
     asked = source.select(F.xxhash64(*keys).alias("h"), F.explode(F.array(*[F.lit(n) for n in sizes]).cast("array<bigint>")).alias("buckets"))
     asked = _bitmaps(asked, []).withColumnRenamed("bits", "asked")
-    both = index.join(asked, ["buckets", "bucket"]).select(*partition, "bucket", F.explode(F.array("bits", "asked")).alias("bits"))
-    common = F.bitmap_count(F.bitmap_or_agg("bits")) < F.sum(F.bitmap_count("bits"))
-    hit = both.groupBy(*partition, "bucket").agg(common.alias("common")).where("common").select(*partition)
+    hit = index.join(asked, ["buckets", "bucket"]).where(F.arrays_overlap("bits", "asked")).select(*partition)
     return hit.union(unknown).distinct()
 
 
