@@ -60,3 +60,10 @@ def test_the_key_index_keeps_a_few_bytes_for_a_key(spark, tmp_path):
     assert 3900 < found <= 4000 and size < 40 * 4000
 
 
+def test_writes_of_few_and_of_many_partitions(spark, tmp_path, rows):
+    """No sort for few partitions a task; rows of further ones are sorted and all are there."""
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == 8
+    for n in (3, 40):
+        df = spark.range(1000).selectExpr("id", f"id % {n} AS p")
+        tables.append(df, str(tmp_path / str(n)), ["p"])
+        assert rows(read_table(spark, str(tmp_path / str(n)), schema=df.schema)) == rows(df)
