@@ -157,3 +157,25 @@ def test_a_packing_that_dies(spark, path, rows, monkeypatch, step):
     layout.finish_packing(spark, path)
     assert rows(read_table(spark, path, schema=start.schema).select("k", "v", "p")) == rows(start)
     assert not layout._pending(spark, path) and len(files(path)) == (39 if step == "written" else 6)
+
+
+def test_statistics_of_texts_sort_a_row_for_each_batch_only(spark, tmp_path):
+    """Texts beyond ASCII, NULLs, bytes and a file whose texts are all NULL; the rows themselves are never sorted."""
+    path = str(tmp_path / "t")
+    made = spark.range(6000).selectExpr(
+        "id AS k", "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 5 = 0 THEN '\U0001d7d8' WHEN id % 3 = 0 THEN '￮' ELSE 'x' || id END AS t",
+        "CAST(CAST(id AS STRING) AS BINARY) AS b")
+    made.repartition(3, "k").write.parquet(path)
+    spark.range(4).selectExpr("id AS k", "CAST(NULL AS STRING) AS t", "CAST(NULL AS BINARY) AS b").coalesce(1).write.mode("append").parquet(path)
+    got = layout.column_stats(spark, path, ["t", "k", "b"])
+    assert got.columns == ["file_path", *[f"{c}_{m}" for c in "tkb" for m in ("min", "max", "nulls", "values")]]
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert all("MapInArrow" in part for part in plan.split("SortAggregate")[2::2])  # what a partial one is given
+    wanted = spark.read.parquet(path).selectExpr("_metadata.file_path AS file_path", "*").toPandas()
+    for row in got.collect():
+        mine = wanted[wanted["file_path"] == row["file_path"]]
+        for c in "tkb":
+            values = [v.encode() if c == "t" else bytes(v) if c == "b" else v for v in mine[c] if v is not None]
+            ends = [v.encode() if c == "t" and v is not None else bytes(v) if c == "b" and v is not None else v for v in (row[f"{c}_min"], row[f"{c}_max"])]
+            assert ends == [min(values, default=None), max(values, default=None)]
+            assert (row[f"{c}_nulls"], row[f"{c}_values"]) == (len(mine) - len(values), len(values))

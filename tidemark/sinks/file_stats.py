@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sinks.layout import list_files
+from tidemark.sinks.layout import list_files, stats_per_file
 from tidemark.sinks.tables import exists
 from tidemark.sources.lake import read_table
 
@@ -47,8 +47,7 @@ def refresh_stats(spark: SparkSession, path: str, columns: Sequence[str]) -> int
     new = [r["file_path"] for r in files.toLocalIterator()]
     if new:
         rows = _read_files(spark, path, new, read_table(spark, path).schema)
-        measures = [m for c in columns for m in (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.count_if(F.isnull(c)).alias(f"{c}_nulls"))]
-        found = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*measures)
+        found = stats_per_file(rows, columns).select("file_path", *[f"{c}_{m}" for c in columns for m in ("min", "max", "nulls")])
         files.join(found, "file_path", "left").hint("rebalance").write.mode("append").parquet(stats_path(path))
     return len(new)
 

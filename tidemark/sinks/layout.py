@@ -8,9 +8,10 @@ that Spark's file metadata gives, on every side alike; partitions by their folde
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,13 +83,42 @@ def footprint(summary: DataFrame) -> DataFrame:
 
 def column_stats(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """file_path and per column c: c_min, c_max (of the column's type), c_nulls, c_values."""
+    return stats_per_file(spark.read.parquet(path), columns)
+
+
+def stats_per_file(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column_stats of rows that were read from files.
+
+    Spark sorts all rows of a task for the smallest of texts, as it has no hash aggregate of
+    them. So texts are first reduced to a row for each file of a batch; the rest needs no sort.
+    """
+    kinds = {f.name: f.dataType for f in rows.select(*columns).schema}
+    texts = [c for c in columns if isinstance(kinds[c], (T.StringType, T.BinaryType))]
+    file = F.col("_metadata.file_path").alias("file_path")
     measures = []
     for c in columns:
-        measures += [
-            F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"),
-            F.count_if(F.isnull(c)).alias(f"{c}_nulls"), F.count(c).alias(f"{c}_values"),
-        ]
-    return spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*measures)
+        ends = [] if c in texts else [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+        measures += [*ends, F.count_if(F.isnull(c)).alias(f"{c}_nulls"), F.count(c).alias(f"{c}_values")]
+    found = rows.groupBy(file).agg(*measures)
+    if texts:
+        found = found.join(_text_ends(rows.select(file, *texts), texts, kinds), "file_path")
+    return found.select("file_path", *[f"{c}_{m}" for c in columns for m in ("min", "max", "nulls", "values")])
+
+
+def _text_ends(rows: DataFrame, texts: Sequence[str], kinds: dict[str, T.DataType]) -> DataFrame:
+    """file_path, c_min and c_max of each of texts, compared by their bytes; rows: file_path and the texts."""
+    ends = [(n, m) for n in range(len(texts)) for m in ("min", "max")]
+
+    def reduce_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plain = pa.Table.from_batches([batch]).rename_columns(["file_path", *[f"c{n}" for n in range(len(texts))]])
+            least = plain.group_by("file_path").aggregate([(f"c{n}", m) for n, m in ends])
+            yield from least.select(["file_path", *[f"c{n}_{m}" for n, m in ends]]).combine_chunks().to_batches()
+
+    schema = T.StructType([T.StructField("file_path", T.StringType()), *[T.StructField(f"c{n}_{m}", kinds[texts[n]]) for n, m in ends]])
+    reduced = rows.mapInArrow(reduce_, schema)
+    named = [(F.min if m == "min" else F.max)(f"c{n}_{m}").alias(f"{texts[n]}_{m}") for n, m in ends]
+    return reduced.groupBy("file_path").agg(*named)
 
 
 def merge_stats(stats: DataFrame, columns: Sequence[str], by: Sequence[Column] = ()) -> DataFrame:
