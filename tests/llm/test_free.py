@@ -198,6 +198,41 @@ def test_near_texts_that_are_not_similar_are_not_all_paired(spark, documents, mo
     assert tried[0] > 150 and sum(tried[1:]) < 150 * 149 / 2 / 10
 
 
+def test_each_fingerprint_is_one_node_and_each_text_is_searched_again_once(documents, monkeypatch):
+    """Texts that differ in blanks and case have one fingerprint; near texts that fail meet in many shards."""
+    rng, nodes, parts = np.random.default_rng(8), [], []
+    base = [f"b{k}" for k in range(1200)]
+    texts = [" ".join(base), "  ".join(base), " ".join(base).upper()]
+    for n in range(30):
+        text = list(base)
+        for k in rng.choice(240, 17, replace=False):
+            text[5 * k] = f"n{n}x{k}"
+        texts += [" ".join(text), "\t".join(text)]
+    meetings, staged = simhash_trees.meetings, simhash_trees.staged
+
+    def met(prints, scheme):
+        nodes.append((prints.count(), prints.select("print").distinct().count()))
+        return meetings(prints, scheme)
+
+    def kept(df, purpose, **options):
+        out = staged(df, purpose, **options)
+        if purpose == "parts":
+            parts.append((out.count(), out.select("id").distinct().count()))
+        return out
+
+    monkeypatch.setattr(simhash_trees, "meetings", met)
+    monkeypatch.setattr(simhash_trees, "staged", kept)
+    got = sorted(r["doc_id"] for r in simhash_trees.one_of_each(documents(*enumerate(texts))).collect())
+    assert nodes == [(31, 31)]
+    assert parts and all(a == b <= 63 for a, b in parts)
+    sets = [set(zip(*(t.lower().split()[k:] for k in range(5)))) for t in texts]
+    similar = [[5 * len(x & y) >= 4 * len(x | y) for y in sets] for x in sets]
+    root = list(range(len(texts)))
+    for _ in root:
+        root = [min(r for r, s in zip(root, row) if s) for row in similar]
+    assert got == sorted(set(root))
+
+
 def test_one_of_each_group_whatever_the_ids(documents, clashing):
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice([f"w{n}" for n in range(3000)], 200)) for _ in range(6)]

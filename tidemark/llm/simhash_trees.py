@@ -364,16 +364,34 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     """node, root of every row of prints (id, print) that is similar to another; texts: id, text (binary).
 
-    Shards propose links enough to join up their parts; each is checked on its texts'
-    shingles. Where one fails, its shard is searched again without the failed ones, until none
-    is left: a link that fails never hides another. Those searches see the texts' bucket
-    counts, so near texts that cannot be similar are no links: few fail from then on, and links
-    that join up the parts are enough. Should some fail nevertheless, all links between what
-    is still apart are taken, AT_ONCE of a row at a time.
+    Trees hold each fingerprint once, by the smallest of its ids, to which its other ids are
+    linked. Shards propose links enough to join up their parts; each is checked on its texts'
+    shingles. What the proposed links join up, checked or not, is a part of near texts, and a
+    link that failed can hide another of its part only if its ends are still apart. Such a part
+    is searched again as a whole, each text once however many shards it was in, without the
+    failed links, until none is left. Those searches see the texts' bucket counts, so near
+    texts that cannot be similar are no links: few fail from then on, and links that join up
+    the parts are enough. Should some fail nevertheless, all links between what is still apart
+    are taken, AT_ONCE of a row at a time.
     """
-    met, width = meetings(prints, scheme), scheme.bits // 64
+    width = scheme.bits // 64
+    nodes = staged(prints.groupBy("print").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "prints")
+    met = meetings(nodes.select("id", "print"), scheme)
     n_slices = _slices(met.count())
 
+    def near(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["shard", "id"]).drop_duplicates(["shard", "id"])
+        x, ids = np.frombuffer(b"".join(rows["print"]), np.uint64).reshape(-1, width), rows["id"].to_numpy()
+        pairs, _ = forest_pairs(rows["shard"].to_numpy(), x, scheme.radius, np.arange(len(rows)))
+        ends = np.sort(ids[pairs], axis=1)
+        return pd.DataFrame({"a": ends[:, 0], "b": ends[:, 1]}).drop_duplicates()
+
+    sharded = met.select(F.xxhash64("shard", "b").alias("shard"), F.col("a").alias("id")).join(nodes.select("id", "print"), "id")
+    found = sharded.withColumn("slice", F.pmod("shard", F.lit(n_slices))).groupBy("slice").applyInPandas(near, "a long, b long")
+    same = prints.join(nodes.where("n > 1").select("print", F.col("id").alias("a")), "print")
+    same = same.where("id <> a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+    found = staged(found.unionByName(same).distinct(), "candidates")
+
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, scheme.words) for t in batch.column(1).to_pylist()]
@@ -381,54 +399,61 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
                 batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(map(bucket_counts, sets), pa.binary()),
             ], ["id", "shingles", "counts"])
 
-    wanted = met.select(F.col("a").alias("id")).distinct()
+    wanted = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     once = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
     sets = staged(once.mapInArrow(shingled, "id long, shingles binary, counts binary"), "shingles")
 
     def search(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
-        rows = rows.sort_values(["shard", "id"]).drop_duplicates(["shard", "id"], ignore_index=True)
+        rows = rows.sort_values(["part", "id"], ignore_index=True)
         x = np.frombuffer(b"".join(rows["print"]), np.uint64).reshape(-1, width)
         rows["at"] = np.arange(len(rows))
-        root = rows.groupby(["shard", "root"])["at"].transform("min").to_numpy().copy()
-        failed = rows.loc[rows["tried"].notna(), ["shard", "at", "tried"]].explode("tried").astype("int64")
-        failed = failed.merge(rows[["shard", "id", "at"]], left_on=["shard", "tried"], right_on=["shard", "id"])
+        root = rows.groupby(["part", "root"])["at"].transform("min").to_numpy().copy()
+        failed = rows.loc[rows["tried"].notna(), ["part", "at", "tried"]].explode("tried").astype("int64")
+        failed = failed.merge(rows[["part", "id", "at"]], left_on=["part", "tried"], right_on=["part", "id"])
         p, q = failed["at_x"].to_numpy(), failed["at_y"].to_numpy()
         tried = np.r_[p * len(rows) + q, q * len(rows) + p]
-        bounds = np.frombuffer(b"".join(rows["counts"].dropna()), np.uint8).reshape(-1, BUCKETS)
+        bounds = np.frombuffer(b"".join(rows["counts"]), np.uint8).reshape(-1, BUCKETS)
 
         def can_be(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             new = ~np.isin(a * len(rows) + b, tried)
             new[new] = may_be_similar(bounds, rows["n"].to_numpy(), a[new], b[new])
             return new
 
-        # The first search has no bounds, and nothing was tried yet.
-        pairs, _ = forest_pairs(rows["shard"].to_numpy(), x, scheme.radius, root, can_be if len(bounds) else None, every)
+        pairs, _ = forest_pairs(rows["part"].to_numpy(), x, scheme.radius, root, can_be, every)
         ends = np.sort(rows["id"].to_numpy()[pairs], axis=1)
-        return pd.DataFrame({"shard": rows["shard"].to_numpy()[pairs[:, 0]], "a": ends[:, 0], "b": ends[:, 1]}).drop_duplicates()
+        return pd.DataFrame({"a": ends[:, 0], "b": ends[:, 1]}).drop_duplicates()
 
     def proposed(rows: DataFrame, every: bool) -> DataFrame:
-        return staged(rows.groupBy("slice").applyInPandas(lambda r: search(r, every), "shard long, a long, b long"), "candidates")
-
-    part = met.select(F.xxhash64("shard", "b").alias("shard"), F.col("a").alias("id")).join(prints, "id")
-    part = part.withColumn("slice", F.pmod("shard", F.lit(n_slices)))
-    now = part.withColumns({"root": F.col("id"), "tried": F.lit(None).cast("array<bigint>"),
-                            "counts": F.lit(None).cast("binary"), "n": F.lit(0).cast("long")})
+        return staged(rows.groupBy("slice").applyInPandas(lambda r: search(r, every), "a long, b long"), "candidates")
+
+    def apart(judged: DataFrame, roots: DataFrame) -> DataFrame:
+        """id: an end of each link that failed and whose ends are not joined up otherwise."""
+        of_a, of_b = (roots.select(F.col("node").alias(c), F.col("root").alias(f"of_{c}")) for c in "ab")
+        ends = judged.where("NOT similar").join(of_a, "a", "left").join(of_b, "b", "left")
+        return ends.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select(F.col("a").alias("id"))
+
+    checked = judged = staged(_similar(found, sets.select("id", "shingles")), "judged")
+    roots = staged(components(checked.where("similar").select("a", "b")), "components")
+    open_ = staged(apart(judged, roots), "apart")
+    if open_.isEmpty():
+        return roots
+    parts = staged(components(found).select(F.col("node").alias("id"), F.col("root").alias("part")), "parts")
     bounds = sets.select("id", "counts", (F.octet_length("shingles") / 8).cast("long").alias("n"))
-    checked, roots, rounds = None, None, 0
+    every = False
     while True:
-        found = proposed(now, rounds > 1)
-        if rounds and found.isEmpty():
+        again = parts.join(open_, "id", "left_semi").select("part").distinct()
+        now = parts.join(again, "part", "left_semi").join(prints, "id").join(bounds, "id")
+        tried = checked.where("NOT similar").groupBy(F.col("a").alias("id")).agg(F.collect_list("b").alias("tried"))
+        now = now.join(roots.withColumnRenamed("node", "id"), "id", "left").join(tried, "id", "left")
+        now = now.withColumn("root", F.coalesce("root", "id")).withColumn("slice", F.pmod("part", F.lit(4 * n_slices)))  # larger rows
+        found = proposed(now, every)
+        if found.isEmpty():
             return roots
-        rounds += 1
-        judged = staged(_similar(found.select("a", "b").distinct(), sets.select("id", "shingles")), "judged")
-        failed = found.join(judged.where("NOT similar"), ["a", "b"], "left_semi").select("shard")
-        again = found.select("shard") if rounds > 2 else failed
-        checked = judged if checked is None else checked.unionByName(judged)
+        judged = staged(_similar(found, sets.select("id", "shingles")), "judged")
+        checked = checked.unionByName(judged)
         roots = staged(components(checked.where("similar").select("a", "b")), "components")
-        tried = checked.where("NOT similar").groupBy(F.col("a").alias("id")).agg(F.collect_list("b").alias("tried"))
-        now = part.join(again.distinct(), "shard", "left_semi").join(roots.withColumnRenamed("node", "id"), "id", "left")
-        now = now.withColumn("root", F.coalesce("root", "id")).join(tried, "id", "left").join(bounds, "id")
-        now = now.withColumn("slice", F.pmod("shard", F.lit(4 * n_slices)))  # rows with counts are larger
+        open_ = found.select(F.col("a").alias("id")) if every else apart(judged, roots)
+        every = True
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id", text: str = "text") -> DataFrame:
