@@ -39,13 +39,13 @@ HEADER = "<4sIBII"
 HEADER_SIZE = struct.calcsize(HEADER)
 BLOCK_IDS = 8_192
 #: Blocks coded side by side; bounds a task's memory at about 0.5 MB each.
-LANES = 256
+LANES = 512
 #: What a seen digit adds to its counts of order 0, 1 and 2; every digit starts with 1.
 GAIN = (1, 4, 12)
 #: Hashed contexts of order 1 and of order 2, per block.
 CONTEXTS = 1 << 10
 #: Text bytes that a partition of the files holds on average.
-PARTITION_BYTES = 16 << 20
+PARTITION_BYTES = 32 << 20
 #: Chunks of text whose ids are remembered.
 MEMO = 400_000
 ENCODED_AT_ONCE = 2_000
@@ -284,7 +284,7 @@ class Tokens:
         """Each chunk's ids, from one call over all of them: a token's place tells its chunk."""
         begins = np.cumsum([0, *[len(c) + 1 for c in chunks]])
         found = self.tokenizer.encode(" ".join(chunks), add_special_tokens=False)
-        places = np.fromiter((first for first, _ in found.offsets), np.int64, len(found.offsets))
+        places = np.fromiter(chain.from_iterable(found.offsets), np.int64)[::2]  # of pairs: first, end
         raw, edges = np.array(found.ids, "<u4").tobytes(), (4 * np.searchsorted(places, begins)).tolist()
         return (raw[a:b] for a, b in zip(edges, edges[1:]))
 
