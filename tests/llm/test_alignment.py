@@ -116,6 +116,18 @@ def test_groups_by_sets_of_ends(kinds):
     assert [x.tolist() for x in alignment.group_sizes(a, b)] == [between(a), between(b)]
 
 
+def test_groups_of_long_stretches_from_arrays():
+    """Stretches around the blocks' lengths, end offsets as arrays: no lists are made of them."""
+    rng = np.random.default_rng(4)
+    for kept in (0.5, 0.9, 0.99, 1.0):
+        for n in (1, 7, 8, 9, 16, 24, 25, 400):
+            ends = np.cumsum(rng.integers(1, 9, n))
+            a, b = (ends[np.r_[rng.random(n - 1) < kept, True]] for _ in range(2))
+            cuts = np.intersect1d(a, b)
+            wanted = [np.diff(np.searchsorted(x, cuts, "right"), prepend=0).tolist() for x in (a, b)]
+            assert [x.tolist() for x in alignment.group_sizes(a, b)] == wanted
+
+
 @pytest.mark.parametrize("at_once", [1, 7, 4_000_000])
 def test_links_in_parts(at_once, monkeypatch):
     monkeypatch.setattr(alignment, "LINKS_AT_ONCE", at_once)

@@ -2,9 +2,9 @@
 
 Both tokenizations of a text cover the same bytes. Where a token of each ends at one offset,
 the text is cut; what lies between two cuts is a group, and all its tokens are linked. The
-end offsets are two rising arrays: from a cut on, blocks of doubling length (from 4 tokens) are compared at
+end offsets are two rising arrays: from a cut on, blocks of doubling length (from 8 tokens) are compared at
 the current index shift, so that a stretch of one-to-one groups is jumped in a few steps;
-where a block differs the stretch's end is found by halving. The irregular group there is
+where a block differs the stretch's end is the first bit that does. The irregular group there is
 resolved by walking both arrays to the next common end, which gives the new shift.
 
 A pair of ids counts once for each document that links it. Documents' pairs are counted
@@ -20,7 +20,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 
@@ -183,33 +183,37 @@ def _piece(piece: str) -> bytes:
     return piece.replace("▁", " ").encode()
 
 
-def group_sizes(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def group_sizes(a: Sequence[int], b: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of A and of B in each group, in order; a, b: end offsets of their tokens, with the same last one."""
+    # Blocks are compared as bytes, eight an offset; single offsets are read through the views.
+    whole_a, whole_b = (np.asarray(x, np.int64).tobytes() for x in (a, b))
+    at_a, at_b = memoryview(whole_a).cast("q"), memoryview(whole_b).cast("q")
     i = j = groups = 0
+    end = len(at_a)
     irregular: list[tuple[int, int, int]] = []  # group, tokens of A, tokens of B
-    while i < len(a):
-        begin, step = i, 4
-        while (block := a[i : i + step]) and block == b[j : j + step]:
-            i += len(block)
-            j += len(block)
+    while i < end:
+        begin, step = i, 8
+        while (block := whole_a[8 * i : 8 * (i + step)]) == (other := whole_b[8 * j : 8 * (j + step)]) and block:
+            i += len(block) // 8
+            j += len(block) // 8
             step *= 2
-        while step > 1:  # the stretch ends within the last block
-            step //= 2
-            if (block := a[i : i + step]) and block == b[j : j + step]:
-                i += len(block)
-                j += len(block)
+        if block != other:  # the stretch ends at the first bit that differs
+            odd = int.from_bytes(block, "little") ^ int.from_bytes(other, "little")
+            same = ((odd & -odd).bit_length() - 1) // 64
+            i += same
+            j += same
         groups += i - begin
-        if i == len(a):
+        if i == end:
             break
         first, other = i, j
-        x, y = a[i], b[j]
+        x, y = at_a[i], at_b[j]
         while x != y:
             if x < y:
                 i += 1
-                x = a[i]
+                x = at_a[i]
             else:
                 j += 1
-                y = b[j]
+                y = at_b[j]
         i += 1
         j += 1
         irregular.append((groups, i - first, j - other))
@@ -254,7 +258,7 @@ def align(docs: DataFrame, tokenizers: Tokenizers, key: str = "doc_id", text: st
         for batch in _few(batches):
             a_ids, b_ids, a_sizes, b_sizes = [], [], [], []
             for a, b in tokens.ids(batch.column(1).to_pylist()):
-                m, n = group_sizes(np.cumsum(tokens.a_sizes[a]).tolist(), np.cumsum(tokens.b_sizes[b]).tolist())
+                m, n = group_sizes(np.cumsum(tokens.a_sizes[a]), np.cumsum(tokens.b_sizes[b]))
                 for column, value in zip((a_ids, b_ids, a_sizes, b_sizes), (a, b, m, n)):
                     column.append(value)
             columns = map(_packed if packed else _lists, (a_ids, b_ids, a_sizes, b_sizes))
@@ -363,8 +367,8 @@ class Spelling:
 
     def __init__(self, n_a: int, n_b: int):
         self.n_a, self.n_b = n_a, n_b
-        self.text = [b"%d%s" % (n, end) for end in (b",", b"|") for n in range(n_a)]
-        self.text += [b"%d%s" % (n, end) for end in (b",", b";") for n in range(n_b)]
+        text = [b"%d%s" % (n, end) for end in (b",", b"|") for n in range(n_a)]
+        self.text = np.array(text + [b"%d%s" % (n, end) for end in (b",", b";") for n in range(n_b)], object)
 
     def __call__(self, a: np.ndarray, b: np.ndarray, m: np.ndarray, n: np.ndarray) -> bytes:
         """a, b: ids; m, n: how many of them each group has."""
@@ -376,7 +380,7 @@ class Spelling:
         both[at_a], both[at_b] = a, b + 2 * self.n_a
         both[at_a[ends_a - 1]] += self.n_a
         both[at_b[ends_b - 1]] += self.n_b
-        return b"".join(map(self.text.__getitem__, both.tolist()))[:-1]
+        return b"".join(self.text[both].tolist())[:-1]
 
 
 def report(aligned: DataFrame, counts: DataFrame, n_a: int, n_b: int) -> DataFrame:
