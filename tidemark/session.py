@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A task writes up to so many partitions side by side; only rows of further ones are sorted first.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # A table of many partitions is listed by so many tasks at most; unset, each folder is a task of its own.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
 }
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import jobs
@@ -124,6 +127,15 @@ def sessions_of_two_days(f: Frames):
     return silver.join(facts, "session_id")
 
 
+def _side_by_side(spark: SparkSession, jobs_: list[Callable[[], None]]) -> None:
+    """Runs jobs that do not need each other at once: cores that one leaves idle, as in a stage's last
+    tasks or while files are made, serve the others. The first failure is raised when all have ended."""
+    with ThreadPoolExecutor(len(jobs_)) as pool:
+        # Each is wrapped by itself: threads may not share local properties, which hold Spark's execution ids.
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs_]:
+            done.result()
+
+
 @query(
     "day:d total_payments:i total_volume:n refund_volume:n fee_volume:n",
     f"""WITH d AS (SELECT MAX(CAST(created_at AS DATE)) AS day FROM {{pay_payments}})
@@ -136,12 +148,19 @@ def payments_bronze_to_gold(f: Frames):
     """Landing, silver and the mart of the last day."""
     root, landed = shared_folder(f.spark, "lake"), DAYS[0]
     run = _run(f, root, landed)
-    for table in ("payments", "refunds", "fees"):
+
+    def to_silver(table: str) -> Callable[[], None]:
         # As the source delivers it: the newest state of a row in one extract.
         newest = [F.desc("ingest_ts"), *([F.desc("reason")] if table == "refunds" else [])]
         rows = latest_per_key(getattr(f, f"pay_{table}"), spec("payments", "bronze", f"payments_{table}_raw").keys, newest)
-        _land(run, "payments", f"payments_{table}_raw", rows)
-        jobs.run_job(run, "payments", "silver", f"fact_{table}")
+
+        def job() -> None:
+            _land(run, "payments", f"payments_{table}_raw", rows)
+            jobs.run_job(run, "payments", "silver", f"fact_{table}")
+
+        return job
+
+    _side_by_side(f.spark, [to_silver(t) for t in ("payments", "refunds", "fees")])
     last = run.read("payments", "silver", "fact_payments").agg(F.max("payment_date")).first()[0]
     mart = _run(f, root, last)
     jobs.run_job(mart, "payments", "gold", "daily_payment_summary")
