@@ -120,12 +120,16 @@ def counts_by_vectors(documents: DataFrame) -> DataFrame:
 
 
 def counts_by_aggregates(documents: DataFrame) -> DataFrame:
-    """The same, by shuffled aggregates. Totals are written before documents are counted, so that
-    the shuffled rows of one go before those of the other come."""
-    each = documents.select("lang", "source", F.explode("terms").alias("term"))
-    total = staged(each.groupBy("lang", "source", "term").agg(F.count("*").alias("n")), "divergence-sums", compression="zstd")
-    df = documents.select("lang", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("df"))
-    return total.join(df.where(F.col("df") >= MIN_DF).select("lang", "term"), ["lang", "term"], "left_semi")
+    """The same, by shuffled aggregates. A document's distinct terms go before all its terms, so one
+    aggregate counts its occurrences and its documents."""
+    own = documents.select("lang", "source", "terms", F.array_distinct("terms").alias("own"))
+    each = own.select("lang", "source", F.size("own").alias("distinct"), F.posexplode(F.concat("own", "terms")).alias("place", "term"))
+    counted = each.groupBy("lang", "source", "term").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("place") < F.col("distinct")).alias("docs"))
+    total = staged(counted.select("lang", "source", "term", (F.col("rows") - F.col("docs")).alias("n"), "docs"), "divergence-sums", compression="zstd")
+    df = total.groupBy("lang", "term").agg(F.sum("docs").alias("df"))
+    kept = total.join(df.where(F.col("df") >= MIN_DF).select("lang", "term"), ["lang", "term"], "left_semi")
+    return kept.select("lang", "source", "term", "n")
 
 
 def _pairs(block: pa.Table) -> pa.Table:
