@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE_RUN, let, staged, words
+from tidemark.llm.common import SPACE, let, staged, words
 
 #: name: (bad if, good if), SQL over the measures; neither: abstains. Bad goes first.
 RULES = {
@@ -69,13 +69,14 @@ def measure(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
     df = docs.select(F.struct(*(keep or ["*"])).alias("row"), body.alias("t"))
     df = df.withColumn("w", words(F.col("t")))
     df = df.withColumn("wh", F.transform("w", lambda x: F.xxhash64(x)))
+    # Of each word and the four after it; the last four begin none.
     window = F.transform(
-        F.sequence(F.lit(0), F.size("wh") - 5),
-        lambda i: F.xxhash64(*[F.get(F.col("wh"), i + k) for k in range(5)]),
+        F.slice("wh", F.lit(1), F.greatest(F.size("wh") - 4, F.lit(0))),
+        lambda x, i: F.xxhash64(x, *[F.get(F.col("wh"), i + k) for k in range(1, 5)]),
     )
-    df = df.withColumn("h", F.when(F.size("wh") >= 5, window).otherwise(F.array().cast("array<bigint>")))
+    df = df.withColumn("h", window)
     kept_only = lambda cls: F.length(F.regexp_replace("t", f"[^{cls}]+", ""))
-    lines = F.filter(F.split("t", "\n"), lambda x: F.length(F.regexp_replace(x, SPACE_RUN, "")) > 0)
+    lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
     df = df.withColumn("lines", lines)
     return df.select("row", F.struct(
         F.size("w").cast("long").alias("n_words"),
