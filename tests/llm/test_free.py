@@ -233,6 +233,58 @@ def test_each_fingerprint_is_one_node_and_each_text_is_searched_again_once(docum
     assert got == sorted(set(root))
 
 
+def test_short_texts_one_word_apart_are_one_group(documents):
+    """Four shingles of five: such fingerprints differ in 192 bits on average, which half of the pairs exceed."""
+    rows = []
+    for n in range(80):
+        text = [f"t{n}x{k}" for k in range(9)]
+        rows += [(2 * n, " ".join(text[:8])), (2 * n + 1, " ".join(text))]
+    rows += [(200 + k, " ".join(f"c{w}" for w in range(k, k + 20))) for k in range(4)]  # 15 of 17 shared, step by step
+    assert sorted(r["doc_id"] for r in simhash_trees.one_of_each(documents(*rows)).collect()) == [*range(0, 160, 2), 200]
+
+
+def test_missed_pairs_are_found_whatever_the_fingerprints(documents, monkeypatch):
+    """Nothing is proposed by fingerprints; texts of all lengths around 0.8, some with a passage that all share."""
+    rng, texts = np.random.default_rng(11), []
+    passage = [f"p{k}" for k in range(60)]
+    for n in range(60):
+        base = (passage if n % 3 == 0 else []) + [f"b{n}x{k}" for k in range(int(rng.integers(1, 150)))]
+        texts += [base, base[: len(base) - len(base) // 6], base[len(base) // 9 :] + [f"e{n}"]]
+    texts += [[], [" "]]
+    monkeypatch.setattr(simhash_trees, "meetings", lambda prints, scheme: prints.selectExpr("id AS shard", "id AS a", "id AS b").limit(0))
+    docs = documents(*[(n, " ".join(t)) for n, t in enumerate(texts)])
+    got = sorted(r["doc_id"] for r in simhash_trees.one_of_each(docs).collect())
+    sets = [{tuple(t[k : k + 5]) for k in range(max(len(t) - 4, 1))} for t in [" ".join(t).split() for t in texts]]
+    similar = [[5 * len(x & y) >= 4 * len(x | y) for y in sets] for x in sets]
+    root = list(range(len(texts)))
+    for _ in root:
+        root = [min(r for r, s in zip(root, row) if s) for row in similar]
+    assert got == sorted(set(root)) and len(got) < len(texts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10_000), st.sampled_from([5, 100, 2_000_000]))
+def test_similar_sets_meet_by_their_rarest(seed, at_once):
+    rng = np.random.default_rng(seed)
+    pool, sets = rng.integers(0, 2**64, 80, dtype=np.uint64), []
+    for _ in range(6):
+        base = rng.choice(pool, rng.integers(1, 40), replace=False)
+        sets += [np.unique(np.r_[base[rng.random(len(base)) > 0.08], rng.choice(pool, rng.integers(0, 3))]) for _ in range(5)]
+    sets.sort(key=len)
+    n, root = np.array([len(s) for s in sets]), rng.integers(0, 12, len(sets))
+    steps = rng.integers(0, 4, simhash_trees.RARITIES).astype(np.uint8)
+    doc, shingle, left = simhash_trees._rows_of_rarest(n, [simhash_trees.rarest(s, steps).tobytes() for s in sets])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(simhash_trees, "FRONTIER", at_once)
+        met = [p for a, b in simhash_trees.may_meet(shingle, doc, left, n, root) for p in zip(a.tolist(), b.tolist())]
+    assert len(met) == len(set(met)) and all(root[a] != root[b] for a, b in met)
+    for b in range(len(sets)):
+        for a in range(b):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if root[a] != root[b] and n[a] and 5 * both >= 4 * (n[a] + n[b] - both):
+                assert (a, b) in met
+
+
 def test_one_of_each_group_whatever_the_ids(documents, clashing):
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice([f"w{n}" for n in range(3000)], 200)) for _ in range(6)]

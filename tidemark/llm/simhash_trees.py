@@ -6,6 +6,8 @@ shard is a BK-tree, children keyed by their Hamming distance to the parent, and
 follows only edges within the radius of the distance to the node. What a shard finds are
 links; documents linked directly or through others form a component. Where a similarity is
 asked for, links are candidates only: each is checked on the texts' shingles before it counts.
+Fingerprints lose a few similar pairs, of short texts above all; so texts that are not joined up
+by then also meet by their rarest shingles, of which similar ones share one: no pair is lost.
 
 Shards are by key, so trees and queries meet in a shuffle and nothing is broadcast. Only
 distinct fingerprints enter trees: thousands of exact copies are one node. The trees of a
@@ -15,7 +17,7 @@ node at most one link (to the smallest of its part), never the pairs of a group.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations, repeat
 
@@ -43,6 +45,12 @@ AT_ONCE = 32
 #: A text's shingles are counted by their hash modulo so many, one byte a count: what two texts
 #: share is at most the sum of the smaller counts. Pairs are compared so many at a time.
 BUCKETS, COMPARED = 1024, 20_000
+#: Shingles of all texts are counted by their hash modulo so many, to tell rare ones.
+RARITIES = 1 << 20
+#: Counts of those that are summed up as one row.
+RARITIES_AT_ONCE = 4096
+#: Rows of texts by rare shingles that one task takes on average.
+LIST_ROWS = 250_000
 #: Words of a text that are in memory as separate strings at a time.
 WORDS_AT_ONCE = 200_000
 
@@ -346,6 +354,19 @@ def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
     return sliced.groupBy("slice").applyInPandas(search, "a long, b long").distinct()
 
 
+def _sets(texts: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
+    """id, shingles (sorted hashes), counts (bucket_counts) of each of wanted (id); texts: id, text (binary)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, scheme.words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(map(bucket_counts, sets), pa.binary()),
+            ], ["id", "shingles", "counts"])
+
+    once = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
+    return staged(once.mapInArrow(run, "id long, shingles binary, counts binary"), "shingles")
+
+
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, similar: whether the shingles of sets (id, shingles: sorted hashes) are as similar as asked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,8 +382,9 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long, similar boolean")
 
 
-def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """node, root of every row of prints (id, print) that is similar to another; texts: id, text (binary).
+def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
+    """node, root of every row of prints (id, print) that is similar to another as proposed by
+    fingerprints, and a, b, similar of the pairs checked; texts: id, text (binary).
 
     Trees hold each fingerprint once, by the smallest of its ids, to which its other ids are
     linked. Shards propose links enough to join up their parts; each is checked on its texts'
@@ -392,16 +414,7 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
     same = same.where("id <> a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
     found = staged(found.unionByName(same).distinct(), "candidates")
 
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, scheme.words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(map(bucket_counts, sets), pa.binary()),
-            ], ["id", "shingles", "counts"])
-
-    wanted = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    once = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
-    sets = staged(once.mapInArrow(shingled, "id long, shingles binary, counts binary"), "shingles")
+    sets = _sets(texts, found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), scheme)
 
     def search(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
         rows = rows.sort_values(["part", "id"], ignore_index=True)
@@ -436,7 +449,7 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
     roots = staged(components(checked.where("similar").select("a", "b")), "components")
     open_ = staged(apart(judged, roots), "apart")
     if open_.isEmpty():
-        return roots
+        return roots, checked
     parts = staged(components(found).select(F.col("node").alias("id"), F.col("root").alias("part")), "parts")
     bounds = sets.select("id", "counts", (F.octet_length("shingles") / 8).cast("long").alias("n"))
     every = False
@@ -448,7 +461,7 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
         now = now.withColumn("root", F.coalesce("root", "id")).withColumn("slice", F.pmod("part", F.lit(4 * n_slices)))  # larger rows
         found = proposed(now, every)
         if found.isEmpty():
-            return roots
+            return roots, checked
         judged = staged(_similar(found, sets.select("id", "shingles")), "judged")
         checked = checked.unionByName(judged)
         roots = staged(components(checked.where("similar").select("a", "b")), "components")
@@ -456,6 +469,134 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> D
         every = True
 
 
+def rarities(texts: DataFrame, scheme: Scheme) -> np.ndarray:
+    """For each shingle hash modulo RARITIES how often such shingles are in texts, in steps of an eighth of a doubling."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(RARITIES, np.int64)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                np.add.at(counts, (shingle_set(t, scheme.words) % np.uint64(RARITIES)).astype(np.int64), 1)
+        parts = [c.tobytes() for c in counts.reshape(-1, RARITIES_AT_ONCE)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], ["part", "counts"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(RARITIES_AT_ONCE, np.int64)
+        for counts in rows["counts"]:
+            total += np.frombuffer(counts, np.int64)
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "steps": [(8 * np.log2(1 + total)).clip(0, 255).astype(np.uint8).tobytes()]})
+
+    sums = texts.select("text").mapInArrow(count, "part long, counts binary").groupBy("part").applyInPandas(add, "part long, steps binary")
+    steps = dict(sums.collect())
+    return np.frombuffer(b"".join(bytes(steps[p]) for p in sorted(steps)), np.uint8)
+
+
+def rarest(shingles: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """So many of the rarest that two similar texts have one of theirs in common; steps: rarities of all."""
+    order = np.lexsort((shingles, steps[(shingles % np.uint64(RARITIES)).astype(np.int64)]))
+    return shingles[order[: len(shingles) + -SHARED * len(shingles) // OF + 1]]
+
+
+def _rows_of_rarest(n: np.ndarray, rarest: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document (its place), shingle and left (see may_meet) of each of the documents' rarest; n: shingles of each."""
+    many = np.fromiter(map(len, rarest), np.int64, len(n)) // 8
+    doc = np.repeat(np.arange(len(n)), many)
+    nth = np.arange(len(doc)) - (np.cumsum(many) - many)[doc]
+    return doc, np.frombuffer(b"".join(rarest), np.uint64), n[doc] - nth
+
+
+def may_meet(shingle: np.ndarray, doc: np.ndarray, left: np.ndarray, n: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Documents a, b of different roots with a shingle in common that can be similar by sizes; each pair once.
+
+    shingle, doc, left: rows of rarest; of the document's shingles so many are left from this one
+    on. n, root: shingles and root of each document, by n. What similar ones share is left from
+    their first common shingle on. Pairs are held FRONTIER at a time.
+    """
+    order = np.lexsort((doc, shingle))
+    shingle, doc, left = shingle[order], doc[order], left[order]
+    first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+    sizes, roots = np.diff(np.r_[first, len(shingle)]), root[doc]
+    mixed = np.repeat(np.minimum.reduceat(roots, first) != np.maximum.reduceat(roots, first), sizes)
+    nth, doc, left = np.repeat(np.arange(len(first)), sizes)[mixed], doc[mixed], left[mixed]
+    if not len(doc):
+        return
+    size, wide = n[doc], int(n.max()) + 1
+    largest = np.minimum(OF * size // SHARED, (SHARED + OF) * left // SHARED - size).clip(0, wide - 1)
+    many = np.searchsorted(nth * wide + size, nth * wide + largest, "right") - np.arange(1, len(doc) + 1)
+    many = np.maximum(many, 0)
+    rows = np.argsort(doc, kind="stable")
+    starts = np.flatnonzero(np.r_[True, doc[rows][1:] != doc[rows][:-1]])
+    block = np.cumsum(np.add.reduceat(many[rows], starts)) // FRONTIER
+    cuts = starts[np.flatnonzero(np.r_[True, block[1:] != block[:-1]])]
+    for begin, end in zip(cuts, np.r_[cuts[1:], len(rows)]):
+        some = rows[begin:end]
+        a = np.repeat(some, many[some])
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(many[some]) - many[some], many[some])
+        fits = (root[doc[a]] != root[doc[b]]) & ((SHARED + OF) * left[b] >= SHARED * (size[a] + size[b]))
+        pairs = np.unique(doc[a[fits]] * len(n) + doc[b[fits]])
+        yield pairs // len(n), pairs % len(n)
+
+
+def missed(roots: DataFrame, checked: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """a, b: the similar texts that roots (node, root; of texts joined up) leave apart; texts: id, text (binary).
+    checked: a, b of pairs whose similarity is known.
+
+    Texts meet by each of their rarest shingles, in any fixed order of all shingles, so the
+    counts that give it need not be exact. Those that can be similar by sizes are linked to the
+    smallest of a task, not paired; what that joins up is a part, and its texts are paired
+    inside one task, which gives the pairs that bucket counts admit.
+    """
+    steps = rarities(texts, scheme)
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, scheme.words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([rarest(s, steps).tobytes() for s in sets], pa.binary()),
+            ], ["id", "n", "rarest"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, of, n = (batch.column(c).to_numpy() for c in range(3))
+            doc, shingle, left = _rows_of_rarest(n, batch.column(3).to_pylist())
+            columns = [shingle.view(np.int64), own[doc], of[doc], n[doc] << 32 | left]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "id", "root", "sizes"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[c.to_numpy() for c in batch.columns] for batch in batches if batch.num_rows]
+        if held:
+            shingle, own, of, sizes = (np.concatenate(c) for c in zip(*held))
+            ids, at, which = np.unique(own, return_index=True, return_inverse=True)
+            by_n = np.argsort(sizes[at] >> 32, kind="stable")
+            ids, at, place = ids[by_n], at[by_n], np.argsort(by_n)
+            part = np.arange(len(ids))
+            for a, b in may_meet(shingle, place[which], sizes & 0xFFFFFFFF, sizes[at] >> 32, of[at]):
+                part = _roots(len(ids), a, b, part)
+            linked = part != np.arange(len(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[part[linked]])], ["a", "b"])
+
+    def pair(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["n", "id"], ignore_index=True)
+        n, ids, pairs = rows["n"].to_numpy(), rows["id"].to_numpy(), [np.empty((0, 2), np.int64)]
+        doc, shingle, left = _rows_of_rarest(n, rows["rarest"])
+        bounds = np.frombuffer(b"".join(rows["counts"]), np.uint8).reshape(-1, BUCKETS)
+        for a, b in may_meet(shingle, doc, left, n, rows["root"].to_numpy()):
+            admitted = may_be_similar(bounds, n, a, b)
+            pairs.append(ids[np.stack([a[admitted], b[admitted]], axis=1)])
+        ends = np.sort(np.concatenate(pairs), axis=1)
+        return pd.DataFrame({"a": ends[:, 0], "b": ends[:, 1]})
+
+    wanted = texts.mapInArrow(rare, "id long, n long, rarest binary").groupBy("id").agg(F.first("n").alias("n"), F.first("rarest").alias("rarest"))
+    rares = staged(wanted.join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"), "n", "rarest"), "rarest")
+    n_rows = rares.agg(F.sum(F.octet_length("rarest"))).first()[0] or 0
+    rows = rares.mapInArrow(each, "shingle long, id long, root long, sizes long").repartition(max(1, n_rows // 8 // LIST_ROWS), "shingle")
+    parts = components(rows.mapInArrow(meet, "a long, b long")).select(F.col("node").alias("id"), F.col("root").alias("part"))
+    parts = staged(parts, "lists")
+    sets = _sets(texts, parts.select("id"), scheme)
+    near = parts.join(rares, "id").join(sets.select("id", "counts"), "id").withColumn("slice", F.pmod("part", F.lit(_slices(n_rows // 8))))
+    found = staged(near.groupBy("slice").applyInPandas(pair, "a long, b long").join(checked, ["a", "b"], "left_anti"), "candidates")
+    return staged(_similar(found, sets.select("id", "shingles")).where("similar").select("a", "b"), "judged")
+
+
 def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, print, component_id (smallest doc_id reachable, itself included) of every row.
 
@@ -482,8 +623,11 @@ def one_of_each(docs: DataFrame, scheme: Scheme = SIMILAR, key: str = "doc_id",
     prints = fingerprints(docs, scheme, key, text).groupBy("hash").agg(F.min("doc_id").alias("first"), F.first("print").alias("print"))
     prints = staged(prints.withColumnRenamed("hash", "id"), "prints")
     texts = docs.select(F.xxhash64(text).alias("id"), F.col(text).cast("binary").alias("text"))
-    roots = similar_components(prints.select("id", "print"), texts, scheme).withColumnRenamed("node", "id")
-    placed = prints.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    roots, checked = similar_components(prints.select("id", "print"), texts, scheme)
+    apart = missed(roots, checked, texts, scheme)
+    if not apart.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(apart))
+    placed = prints.select("id", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     stays = placed.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("odd"), "first", "id")).alias("stays"))
     stays = stays.select(F.col("stays.first").alias("_stays"), F.col("stays.id").alias("_text"))
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("_key"), F.xxhash64(text).alias("_hash"))
