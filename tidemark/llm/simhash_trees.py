@@ -469,8 +469,8 @@ def similar_components(prints: DataFrame, texts: DataFrame, scheme: Scheme) -> t
         every = True
 
 
-def rarities(texts: DataFrame, scheme: Scheme) -> np.ndarray:
-    """For each shingle hash modulo RARITIES how often such shingles are in texts, in steps of an eighth of a doubling."""
+def rarities(texts: DataFrame, scheme: Scheme) -> tuple[np.ndarray, int]:
+    """For each shingle hash modulo RARITIES how often such shingles are in texts, in steps of an eighth of a doubling; and all."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(RARITIES, np.int64)
         for batch in batches:
@@ -483,11 +483,12 @@ def rarities(texts: DataFrame, scheme: Scheme) -> np.ndarray:
         total = np.zeros(RARITIES_AT_ONCE, np.int64)
         for counts in rows["counts"]:
             total += np.frombuffer(counts, np.int64)
-        return pd.DataFrame({"part": rows["part"].iloc[:1], "steps": [(8 * np.log2(1 + total)).clip(0, 255).astype(np.uint8).tobytes()]})
+        steps = (8 * np.log2(1 + total)).clip(0, 255).astype(np.uint8).tobytes()
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "n": [int(total.sum())], "steps": [steps]})
 
-    sums = texts.select("text").mapInArrow(count, "part long, counts binary").groupBy("part").applyInPandas(add, "part long, steps binary")
-    steps = dict(sums.collect())
-    return np.frombuffer(b"".join(bytes(steps[p]) for p in sorted(steps)), np.uint8)
+    counts = texts.select("text").mapInArrow(count, "part long, counts binary")
+    sums = sorted(counts.groupBy("part").applyInPandas(add, "part long, n long, steps binary").collect())
+    return np.frombuffer(b"".join(bytes(steps) for _, _, steps in sums), np.uint8), sum(n for _, n, _ in sums)
 
 
 def rarest(shingles: np.ndarray, steps: np.ndarray) -> np.ndarray:
@@ -545,14 +546,19 @@ def missed(roots: DataFrame, checked: DataFrame, texts: DataFrame, scheme: Schem
     smallest of a task, not paired; what that joins up is a part, and its texts are paired
     inside one task, which gives the pairs that bucket counts admit.
     """
-    steps = rarities(texts, scheme)
+    steps, n_rows = rarities(texts, scheme)
+    n_rows -= SHARED * n_rows // OF
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rare(batches: Iterator[pa.RecordBatch], counted: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, scheme.words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([rarest(s, steps).tobytes() for s in sets], pa.binary()),
-            ], ["id", "n", "rarest"])
+            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([rarest(s, steps).tobytes() for s in sets], pa.binary())]
+            if counted:
+                columns.append(pa.array(map(bucket_counts, sets), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "rarest", "counts"][: len(columns)])
+
+    def placed(docs: DataFrame) -> DataFrame:
+        return docs.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -585,15 +591,16 @@ def missed(roots: DataFrame, checked: DataFrame, texts: DataFrame, scheme: Schem
         ends = np.sort(np.concatenate(pairs), axis=1)
         return pd.DataFrame({"a": ends[:, 0], "b": ends[:, 1]})
 
-    wanted = texts.mapInArrow(rare, "id long, n long, rarest binary").groupBy("id").agg(F.first("n").alias("n"), F.first("rarest").alias("rarest"))
-    rares = staged(wanted.join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"), "n", "rarest"), "rarest")
-    n_rows = rares.agg(F.sum(F.octet_length("rarest"))).first()[0] or 0
-    rows = rares.mapInArrow(each, "shingle long, id long, root long, sizes long").repartition(max(1, n_rows // 8 // LIST_ROWS), "shingle")
+    rares = texts.mapInArrow(lambda b: rare(b, False), "id long, n long, rarest binary")
+    rares = placed(rares.groupBy("id").agg(F.first("n").alias("n"), F.first("rarest").alias("rarest"))).select("id", "root", "n", "rarest")
+    rows = rares.mapInArrow(each, "shingle long, id long, root long, sizes long").repartition(max(1, n_rows // LIST_ROWS), "shingle")
     parts = components(rows.mapInArrow(meet, "a long, b long")).select(F.col("node").alias("id"), F.col("root").alias("part"))
     parts = staged(parts, "lists")
-    sets = _sets(texts, parts.select("id"), scheme)
-    near = parts.join(rares, "id").join(sets.select("id", "counts"), "id").withColumn("slice", F.pmod("part", F.lit(_slices(n_rows // 8))))
+    once = texts.join(parts, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
+    near = placed(once.mapInArrow(lambda b: rare(b, True), "id long, n long, rarest binary, counts binary")).join(parts, "id")
+    near = near.withColumn("slice", F.pmod("part", F.lit(_slices(n_rows))))
     found = staged(near.groupBy("slice").applyInPandas(pair, "a long, b long").join(checked, ["a", "b"], "left_anti"), "candidates")
+    sets = _sets(texts, found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), scheme)
     return staged(_similar(found, sets.select("id", "shingles")).where("similar").select("a", "b"), "judged")
 
 
